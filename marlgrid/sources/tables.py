@@ -38,16 +38,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, sf_dir: str, name: str, max_bytes_per_trigger: str = "64g"
+    spark: SparkSession, sf_dir: str, name: str, max_bytes_per_trigger: int | None = None
 ) -> DataFrame:
     """File stream over one table; new files under the path become new micro-batches.
 
+    All files present at the start form one micro-batch by default, so no row of
+    theirs is late, in whatever order the files cover time. Where files arrive in
+    time order, ``max_bytes_per_trigger`` works a backlog off in smaller steps.
+
     The braces make the path a glob, which the file source needs in order to
-    accept a single file as well as a folder. ``max_bytes_per_trigger`` bounds
-    one micro-batch, so a backlog is worked off in steps.
+    accept a single file as well as a folder.
     """
-    return (
-        spark.readStream.schema(SCHEMAS[name])
-        .option("maxBytesPerTrigger", max_bytes_per_trigger)
-        .parquet(f"{sf_dir}/{{{name}.parquet}}")
-    )
+    reader = spark.readStream.schema(SCHEMAS[name])
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return reader.parquet(f"{sf_dir}/{{{name}.parquet}}")

@@ -27,7 +27,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def types(table: pa.Table) -> dict[str, str]:
-    return {f.name: SAME_TYPE.get(str(f.type), str(f.type)) for f in sorted(table.schema, key=lambda f: f.name)}
+    return {field.name: SAME_TYPE.get(str(field.type), str(field.type)) for field in table.schema}
 
 
 def rows(table: pa.Table) -> list[tuple]:
@@ -37,10 +37,10 @@ def rows(table: pa.Table) -> list[tuple]:
 
 
 def assert_same(spark_df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> int:
-    got, want = spark_df.toArrow(), con.execute(sql).to_arrow_table()
-    assert types(got) == types(want)
+    got, want = spark_df.toArrow(), con.sql(sql).to_arrow_table()
+    assert types(got) == types(want), (types(got), types(want))
     got_rows, want_rows = rows(got), rows(want)
-    assert len(got_rows) == len(want_rows)
+    assert len(got_rows) == len(want_rows), (len(got_rows), len(want_rows))
     for g, w in zip(got_rows, want_rows):
         assert g == w, (g, w)
     return len(got_rows)
