@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 def rollup_of_sums(
     df: DataFrame, dims: Sequence[str], sums: Mapping[str, Column], level: str = "level"
 ) -> DataFrame:
-    """Sums over every prefix of ``dims``.
+    """Sums and counts over every prefix of ``dims``.
 
-    ``rollup`` copies each input row once per prefix. Sums can be added up again,
-    so the rows are first reduced to the finest groups and only those are copied.
+    ``sums`` are aggregates whose results can be added up again. ``rollup`` copies
+    each input row once per prefix; here the rows are first reduced to the finest
+    groups and only those are copied.
     ``level`` is ``grouping_id``: it tells a subtotal's null from a null in the data.
     """
-    finest = df.groupBy(*dims).agg(*[F.sum(col).alias(name) for name, col in sums.items()])
+    finest = df.groupBy(*dims).agg(*[agg.alias(name) for name, agg in sums.items()])
     return finest.rollup(*dims).agg(
         F.grouping_id().cast("int").alias(level),
         *[F.sum(name).alias(name) for name in sums],
@@ -33,8 +34,9 @@ def window_sums(
     sums: Mapping[str, Column],
     panes: int = 1,
 ) -> DataFrame:
-    """Sums per time window and ``by`` group, as ``window_start`` and ``window_end``.
+    """Sums and counts per time window and ``by`` group, with ``window_start`` and ``window_end``.
 
+    ``sums`` are aggregates whose results can be added up again.
     Windows start every ``slide`` and are ``panes`` slides long, so with the
     default of one pane they tumble. A row of a sliding window belongs to
     ``panes`` windows; rows are summed per pane first and only the panes are
@@ -43,7 +45,7 @@ def window_sums(
     slide_text = f"{slide.total_seconds():.6f} seconds"
     width_text = f"{(slide * panes).total_seconds():.6f} seconds"
     result = df.groupBy(F.window(time, slide_text).alias("_window"), *by).agg(
-        *[F.sum(col).alias(name) for name, col in sums.items()]
+        *[agg.alias(name) for name, agg in sums.items()]
     )
     if panes > 1:
         result = (

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlgrid.operators.skew import ROWS_PER_TASK, split_by_key_size
 from marlgrid.sources.scratch import materialize
 
-# Rows of one key that a single task may sort; a key with more is cut into slices.
-ROWS_PER_TASK = 5_000_000
-
 
 def carry_forward(
     df: DataFrame,
@@ -34,21 +32,13 @@ def carry_forward(
     df = df.withColumn("_value", value)
     nothing = F.lit(None).cast(df.schema["_value"].dataType)
     keyless = df.filter(F.col(by).isNull()).withColumn(out, nothing)
-    df = df.filter(F.col(by).isNotNull())
+    keys = split_by_key_size(df.filter(F.col(by).isNotNull()), by, rows_per_task)
     in_key = _up_to_here(Window.partitionBy(by), order)
-
-    counts = df.groupBy(by).agg(F.count("*").alias("_rows"))
-    long_keys = materialize(counts.filter(F.col("_rows") > rows_per_task), "long-keys")
-    long_rows = long_keys.agg(F.sum("_rows")).first()[0] or 0
-    if not long_rows:
-        return df.withColumn(out, in_key).unionByName(keyless).drop("_value")
-
-    keys = long_keys.select(by)
-    short = df.join(keys, by, "left_anti").withColumn(out, in_key)
-    rows = df.join(keys, by, "left_semi")
-    slices = -(-long_rows // rows_per_task)
-    long = _carry_in_slices(rows, by, order, out, slices)
-    return short.unionByName(long).unionByName(keyless).drop("_value")
+    result = keys.short.withColumn(out, in_key).unionByName(keyless)
+    if keys.long is not None:
+        slices = -(-keys.long_rows // rows_per_task)
+        result = result.unionByName(_carry_in_slices(keys.long, by, order, out, slices))
+    return result.drop("_value")
 
 
 def asof_join(

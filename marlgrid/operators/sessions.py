@@ -8,37 +8,62 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlgrid.operators.skew import ROWS_PER_TASK, split_by_key_size
+
 
 def sessionize(
-    df: DataFrame, by: str, time: str, gap: timedelta, sums: Mapping[str, Column]
+    df: DataFrame,
+    by: str,
+    time: str,
+    gap: timedelta,
+    sums: Mapping[str, Column],
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """One row per session with ``session_start``, ``last_event``, ``n_events`` and ``sums``.
 
     An event joins the session before it if it follows that session's last event
-    by less than ``gap``. This is the rule of ``session_window``, which however
-    moves every row of a key to one task.
+    by less than ``gap``, the rule of ``session_window``. ``sums`` are aggregates
+    whose results can be added up again.
 
-    Two events of one key in the same ``gap``-wide bucket are always in one
-    session. So rows are first reduced to one per key and bucket, with map-side
-    combining, and sessions are formed from those. What one task receives for a
-    key is bounded by the length of time covered, not by the number of events.
+    ``session_window`` moves all rows of a key to one task. It serves the keys of
+    up to ``rows_per_task`` rows; longer keys are reduced before they move.
     """
     seconds = f"{gap.total_seconds():.6f}"
-    buckets = df.groupBy(by, F.window(time, f"{seconds} seconds").alias("_bucket")).agg(
+    keys = split_by_key_size(df, by, rows_per_task)
+    sessions = (
+        keys.short.groupBy(by, F.session_window(time, f"{seconds} seconds"))
+        .agg(*_measures(time, sums))
+        .drop("session_window")
+    )
+    if keys.long is None:
+        return sessions
+    return sessions.unionByName(_from_buckets(keys.long, by, time, seconds, sums))
+
+
+def _measures(time: str, sums: Mapping[str, Column]) -> list[Column]:
+    return [
         F.min(time).alias("session_start"),
         F.max(time).alias("last_event"),
         F.count("*").alias("n_events"),
-        *[F.sum(col).alias(name) for name, col in sums.items()],
-    )
+        *[agg.alias(name) for name, agg in sums.items()],
+    ]
+
+
+def _from_buckets(
+    df: DataFrame, by: str, time: str, seconds: str, sums: Mapping[str, Column]
+) -> DataFrame:
+    # Two events of one key in the same gap-wide bucket are always in one session.
+    # One row per key and bucket, combined on the map side, is therefore enough to
+    # form the sessions, and bounded by the time covered, not by the events.
+    bucket = F.window(time, f"{seconds} seconds").getField("start")
+    buckets = df.groupBy(by, bucket.alias("_bucket")).agg(*_measures(time, sums))
     in_order = Window.partitionBy(by).orderBy("_bucket")
     idle = F.col("session_start") - F.lag("last_event").over(in_order)
     opens = F.coalesce(idle >= F.expr(f"INTERVAL '{seconds}' SECOND"), F.lit(True))
-    numbered = buckets.withColumn("_opens", opens.cast("bigint")).withColumn(
-        "_session", F.sum("_opens").over(in_order)
-    )
-    # Already partitioned by key for the window, so this groups without a shuffle.
+    session = F.sum(opens.cast("bigint")).over(in_order)
     return (
-        numbered.groupBy(by, "_session")
+        buckets.withColumn("_session", session)
+        .groupBy(by, "_session")  # needs no shuffle after the window over the key
         .agg(
             F.min("session_start").alias("session_start"),
             F.max("last_event").alias("last_event"),

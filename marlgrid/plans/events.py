@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlgrid.functions.money import amount, units
+from marlgrid.functions.money import amount, exact_sum, units
 from marlgrid.functions.properties import json_field
 from marlgrid.operators.aggregates import window_sums
 from marlgrid.operators.asof import carry_forward
@@ -17,9 +17,9 @@ from marlgrid.sources.tables import read_table
 SESSION_GAP = timedelta(hours=6)
 
 
-def value_units() -> Column:
-    """An event's value in cents, as a decimal so that sums cannot overflow."""
-    return units(F.col("value")).cast("decimal(18,0)")
+def event_sums() -> dict[str, Column]:
+    """Number of events and their value in cents."""
+    return {"n_events": F.count("*"), "value_units": exact_sum(units(F.col("value")))}
 
 
 def daily_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,9 +33,8 @@ def sliding_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str, slide: timedelta, panes: int) -> DataFrame:
-    sums = {"n_events": F.lit(1).cast("bigint"), "value_units": value_units()}
     events = read_table(spark, sf_dir, "events")
-    return window_sums(events, "ts", slide, ["event_type"], sums, panes).select(
+    return window_sums(events, "ts", slide, ["event_type"], event_sums(), panes).select(
         "window_start",
         "window_end",
         "event_type",
@@ -70,8 +69,10 @@ def last_view_before_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's sessions, with a gap of six hours between them."""
-    purchases = (F.col("event_type") == "purchase").cast("bigint")
-    sums = {"n_purchases": purchases, "value_units": value_units()}
+    sums = {
+        "n_purchases": F.count_if(F.col("event_type") == "purchase"),
+        "value_units": exact_sum(units(F.col("value"))),
+    }
     events = read_table(spark, sf_dir, "events")
     return sessionize(events, "user_id", "ts", SESSION_GAP, sums).select(
         "user_id",

@@ -30,13 +30,13 @@ def _charged() -> Column:
     return _discounted() * (100 + units(F.col("l_tax")))
 
 
-def _revenue_by_place_and_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines reduced to one row per order, with the order's year and customer's place.
+def _lines_by_place_and_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the order's year and the customer's nation and region.
 
     ``nation`` and ``region`` have a fixed size far below the broadcast threshold.
-    Which way ``customer`` joins is left to its measured size. Summing the lines
-    per order first keeps an order with very many lines from piling up in the join,
-    and the join on the order key needs no shuffle beyond the one for that sum.
+    Which way the other tables join is left to their size. In a sort-merge join
+    both inputs are plain shuffles of columns cut to the needed ones, the shape in
+    which adaptive execution splits a customer or order with very many rows.
     """
     places = (
         read_table(spark, sf_dir, "customer")
@@ -52,10 +52,8 @@ def _revenue_by_place_and_year(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(places, F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "o_year", "n_name", "r_name")
     )
-    lines = (
-        read_table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(exact_sum(_discounted()).alias("revenue_units"))
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", _discounted().alias("revenue_units")
     )
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
@@ -63,17 +61,17 @@ def _revenue_by_place_and_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 def revenue_by_region_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discounted revenue per customer region and order year."""
     return (
-        _revenue_by_place_and_year(spark, sf_dir)
+        _lines_by_place_and_year(spark, sf_dir)
         .groupBy("r_name", "o_year")
-        .agg(amount(F.sum("revenue_units"), 4).alias("revenue"))
+        .agg(amount(exact_sum(F.col("revenue_units")), 4).alias("revenue"))
     )
 
 
 def revenue_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discounted revenue per region, nation and year with all subtotals."""
-    sums = {"revenue_units": F.col("revenue_units")}
+    sums = {"revenue_units": exact_sum(F.col("revenue_units"))}
     return rollup_of_sums(
-        _revenue_by_place_and_year(spark, sf_dir), ["r_name", "n_name", "o_year"], sums
+        _lines_by_place_and_year(spark, sf_dir), ["r_name", "n_name", "o_year"], sums
     ).select(
         "r_name", "n_name", "o_year", "level", amount(F.col("revenue_units"), 4).alias("revenue")
     )

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlgrid.functions.money import amount, units
+from marlgrid.plans.events import event_sums
 from marlgrid.sources.tables import stream_table
 from marlgrid.streaming.dedup import drop_repeats
 from marlgrid.streaming.runner import run_once
@@ -24,10 +25,6 @@ SPELL_PANE = timedelta(hours=1)
 SPELL_IDLE = timedelta(hours=12)
 
 
-def _value_units() -> Column:
-    return units(F.col("value")).cast("decimal(18,0)")
-
-
 def _events(session: SparkSession, sf_dir: str) -> DataFrame:
     return stream_table(session, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -35,8 +32,7 @@ def _events(session: SparkSession, sf_dir: str) -> DataFrame:
 def _counts(spark: SparkSession, sf_dir: str, name: str, slide: timedelta, panes: int) -> DataFrame:
     def build(session: SparkSession) -> DataFrame:
         events = _events(session, sf_dir).withWatermark("ts", DELAY)
-        sums = {"n_events": F.lit(1).cast("bigint"), "value_units": _value_units()}
-        counts = stream_window_sums(events, "ts", slide, ["event_type"], sums, panes)
+        counts = stream_window_sums(events, "ts", slide, ["event_type"], event_sums(), panes)
         total = amount(F.col("value_units"), 2).alias("total_value")
         return counts.select("window_start", "window_end", "event_type", "n_events", total)
 
@@ -71,7 +67,7 @@ def stream_user_spells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(session: SparkSession) -> DataFrame:
         events = _events(session, sf_dir).withWatermark("ts", DELAY)
-        events = events.select("ts", "user_id", _value_units().alias("units"))
+        events = events.select("ts", "user_id", units(F.col("value")).alias("units"))
         spells = stream_spell_totals(events, "user_id", "ts", "units", SPELL_PANE, SPELL_IDLE)
         return spells.select(
             "user_id",

@@ -9,11 +9,14 @@ from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# The compression factor makes the planner compare rows in memory, not compressed
+# files, with the broadcast threshold.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

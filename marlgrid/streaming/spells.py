@@ -80,7 +80,7 @@ def stream_spell_totals(
     pane_seconds, idle_seconds = int(pane.total_seconds()), int(idle.total_seconds())
     panes = (
         stream.groupBy(F.window(time, f"{pane_seconds} seconds").alias("_window"), by)
-        .agg(F.count("*").alias("n"), F.sum(units).cast("bigint").alias("units"))
+        .agg(F.count("*").alias("n"), F.sum(units).alias("units"))
         .select(
             F.col(by).alias("key"),
             F.unix_seconds(F.col("_window.start")).alias("pane_start"),

@@ -1,4 +1,4 @@
-"""Windowed sums over a stream."""
+"""Windowed sums and counts over a stream."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ def stream_window_sums(
     slide_text = f"{slide.total_seconds():.6f} seconds"
     width_text = f"{(slide * panes).total_seconds():.6f} seconds"
     result = stream.groupBy(F.window(time, slide_text).alias("_window"), *by).agg(
-        *[F.sum(col).alias(name) for name, col in sums.items()]
+        *[agg.alias(name) for name, agg in sums.items()]
     )
     if panes > 1:
         result = (
