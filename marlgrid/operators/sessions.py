@@ -22,8 +22,8 @@ def sessionize(
     """One row per session with ``session_start``, ``last_event``, ``n_events`` and ``sums``.
 
     An event joins the session before it if it follows that session's last event
-    by less than ``gap``, the rule of ``session_window``. ``sums`` are aggregates
-    whose results can be added up again.
+    by ``gap`` or less; this is what ``session_window`` does. ``sums`` are
+    aggregates whose results can be added up again.
 
     ``session_window`` moves all rows of a key to one task. It serves the keys of
     up to ``rows_per_task`` rows; longer keys are reduced before they move.
@@ -59,7 +59,7 @@ def _from_buckets(
     buckets = df.groupBy(by, bucket.alias("_bucket")).agg(*_measures(time, sums))
     in_order = Window.partitionBy(by).orderBy("_bucket")
     idle = F.col("session_start") - F.lag("last_event").over(in_order)
-    opens = F.coalesce(idle >= F.expr(f"INTERVAL '{seconds}' SECOND"), F.lit(True))
+    opens = F.coalesce(idle > F.expr(f"INTERVAL '{seconds}' SECOND"), F.lit(True))
     session = F.sum(opens.cast("bigint")).over(in_order)
     return (
         buckets.withColumn("_session", session)
