@@ -1,0 +1,142 @@
+"""Physical plans: what is read, shuffled, broadcast and split."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from marlgrid.operators.joins import parents_without_children
+from marlgrid.plans import events, star
+
+SF = "/root/testdata/sf0.01"
+BATCH = [
+    star.revenue_by_region_year,
+    star.pricing_summary,
+    star.revenue_rollup,
+    star.orders_without_lines,
+    star.customers_with_orders,
+    star.top_customers_per_segment,
+    star.parts_returned_or_accepted,
+    star.parts_returned_and_accepted,
+    star.parts_returned_beyond_accepted,
+    star.part_set_summary,
+    events.last_view_before_purchase,
+    events.user_sessions,
+    events.daily_event_counts,
+    events.sliding_event_counts,
+    events.event_property_stats,
+]
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(df) -> int:
+    return len(re.findall(r"\bExchange hashpartitioning", plan(df)))
+
+
+@pytest.fixture
+def large(conf):
+    """Broadcasts as at scale: only tables of a few rows stay below the threshold."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "16000")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "16000")
+
+
+@pytest.mark.parametrize("query", BATCH, ids=lambda q: q.__name__)
+def test_no_cross_join_and_no_python(spark, large, query):
+    text = plan(query(spark, SF))
+    for node in ["CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "Python"]:
+        assert node not in text
+
+
+# Shuffles of each plan when nothing but nation and region is broadcast.
+@pytest.mark.parametrize(
+    ("query", "count"),
+    [
+        (star.revenue_by_region_year, 5),
+        (star.pricing_summary, 1),
+        (star.revenue_rollup, 6),
+        (star.orders_without_lines, 2),
+        (star.customers_with_orders, 2),
+        (star.top_customers_per_segment, 3),
+        (star.parts_returned_or_accepted, 1),
+        (star.parts_returned_and_accepted, 1),
+        (star.parts_returned_beyond_accepted, 1),
+        (star.part_set_summary, 2),
+        (events.last_view_before_purchase, 1),
+        (events.user_sessions, 1),
+        (events.daily_event_counts, 1),
+        (events.sliding_event_counts, 2),
+        (events.event_property_stats, 2),
+    ],
+    ids=lambda v: getattr(v, "__name__", None),
+)
+def test_number_of_shuffles(spark, large, query, count):
+    assert shuffles(query(spark, SF)) == count
+
+
+def test_only_fixed_size_tables_are_broadcast(spark, large):
+    text = plan(star.revenue_by_region_year(spark, SF))
+    assert text.count("BroadcastHashJoin") == 2
+    assert text.count("SortMergeJoin") == 2
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    text = plan(star.pricing_summary(spark, SF))
+    assert "LessThanOrEqual(l_shipdate" in text
+    assert "l_comment" not in text and "l_orderkey" not in text
+    text = plan(star.parts_returned_and_accepted(spark, SF))
+    assert "EqualTo(l_returnflag,R)" in text and "l_extendedprice" not in text
+    text = plan(events.last_view_before_purchase(spark, SF))
+    assert "In(event_type, [purchase,view])" in text.replace("view,purchase", "purchase,view")
+    assert "props" not in text
+
+
+def test_top_k_is_cut_before_the_shuffle(spark):
+    text = plan(star.top_customers_per_segment(spark, SF))
+    final, partial = text.index("10, Final"), text.index("10, Partial")
+    assert "Exchange" in text[final:partial]
+
+
+def test_rows_are_reduced_before_rollup_copies_them(spark):
+    text = plan(star.revenue_rollup(spark, SF))
+    assert "HashAggregate" in text[text.index("Expand") : text.index("Join")]
+
+
+def test_adaptive_execution_splits_a_hot_key(spark, conf, tmp_path, large):
+    """One customer with a third of all orders, and one order with a third of all lines."""
+    for name in ["region", "nation", "customer"]:
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = spark.read.parquet(f"{SF}/orders.parquet").repartition(8)
+    hot = F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_custkey")).cast("bigint")
+    orders.withColumn("o_custkey", hot).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").repartition(8)
+    hot = F.when(F.col("l_partkey") % 3 == 0, 7).otherwise(F.col("l_orderkey")).cast("bigint")
+    lines.withColumn("l_orderkey", hot).write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20000")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "3")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
+    conf("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    result = star.revenue_by_region_year(spark, str(tmp_path))
+    got = {(r.r_name, r.o_year): r.revenue for r in result.collect()}
+    assert plan(result).split("Initial Plan")[0].count("skew=true") == 2
+
+    conf("spark.sql.adaptive.enabled", "false")
+    again = star.revenue_by_region_year(spark, str(tmp_path)).collect()
+    assert got == {(r.r_name, r.o_year): r.revenue for r in again}
+
+
+def test_hot_children_are_reduced_before_the_shuffle(spark, large):
+    parents = spark.range(100).withColumnRenamed("id", "p")
+    hot = F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 100)
+    children = spark.range(0, 90_000, 1, 6).select(hot.alias("c")).filter("c < 90")
+    result = parents_without_children(parents, children, "p", "c")
+    assert sorted(r.p for r in result.collect()) == list(range(90, 100))
+    text = plan(result).split("Initial Plan")[-1]
+    shuffle = re.search(r"HashAggregate.*?Exchange.*?HashAggregate", text, re.S)
+    assert shuffle
