@@ -44,8 +44,8 @@ class SpellTotals(StatefulProcessor):
         end = int(ends.iloc[-1])
         self.spell.update((end, int(spell_n.iloc[-1]), int(spell_units.iloc[-1])))
         if old_end is not None:
-            self.handle.deleteTimer((old_end + self.idle) * 1000)
-        self.handle.registerTimer((end + self.idle) * 1000)
+            self.handle.deleteTimer(self.expiry_ms(old_end))
+        self.handle.registerTimer(self.expiry_ms(end))
         yield pd.DataFrame(
             {
                 "key": key[0],
@@ -57,6 +57,10 @@ class SpellTotals(StatefulProcessor):
             }
         )
 
+    def expiry_ms(self, end: int) -> int:
+        """When every pane that could continue a spell up to ``end`` has arrived."""
+        return (end + self.idle + self.pane) * 1000
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.spell.clear()
         return iter(())
