@@ -27,7 +27,8 @@ def carry_forward(
     Keys of up to ``rows_per_task`` rows are handled by one window over the key.
     Longer keys are cut into slices of consecutive rows: each slice carries its
     own values forward, and a row before its slice's first value takes the last
-    value of the slices before.
+    value of the slices before. ``df`` is read once per part and once to size the
+    keys; materialize it first if it is costly to compute.
     """
     df = df.withColumn("_value", value)
     nothing = F.lit(None).cast(df.schema["_value"].dataType)

@@ -25,6 +25,7 @@ from marlgrid.operators.keysets import (
 )
 from marlgrid.operators.ranking import top_k_per_group
 from marlgrid.operators.sessions import sessionize
+from marlgrid.operators.skew import split_by_key_size
 
 
 def events_frame(spark, rows):
@@ -213,3 +214,14 @@ def test_json_field(spark):
     df = spark.createDataFrame([(t,) for t in texts], "props string")
     got = [r.k for r in df.select(json_field(F.col("props"), "k", "int").alias("k")).collect()]
     assert got == [3, None, None, None, None, None]
+
+
+def test_key_sizes_are_estimated_from_a_sample(spark):
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+    rows = spark.range(0, 600_000, 1, 4).select(hot.cast("bigint").alias("k"), "id")
+    rows = rows.unionAll(spark.range(90_000).select(F.lit(None).cast("bigint"), "id"))
+    parts = split_by_key_size(rows, "k", 50_000)
+    assert {r.k for r in parts.long.select("k").distinct().collect()} == {7, None}
+    assert parts.long_rows == pytest.approx(290_000, rel=0.05)
+    assert parts.short.count() + parts.long.count() == 690_000
+    assert split_by_key_size(rows, "k", 300_000).long is None
