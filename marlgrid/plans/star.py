@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,7 +81,7 @@ def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity = exact_sum(units(F.col("l_quantity")))
     price = exact_sum(units(F.col("l_extendedprice")))
     discount = exact_sum(units(F.col("l_discount")))
-    shipped = F.col("l_shipdate") <= F.lit(datetime(2001, 9, 2))
+    shipped = F.col("l_shipdate") <= F.lit("2001-09-02").cast("timestamp_ntz")
     return (
         read_table(spark, sf_dir, "lineitem")
         .filter(shipped)

@@ -6,6 +6,7 @@ import sys
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -18,6 +19,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 OUTPUT = "key bigint, pane_start bigint, n bigint, units bigint, spell_n bigint, spell_units bigint"
 
 
+def _running(values: np.ndarray, opens: np.ndarray, carried: int) -> np.ndarray:
+    """Running totals that go on from ``carried`` and start again where ``opens``."""
+    total = carried + np.cumsum(values)
+    opened = np.maximum.accumulate(np.where(opens, np.arange(len(values)), -1))
+    return np.where(opened >= 0, total - (total - values)[opened], total)
+
+
 class SpellTotals(StatefulProcessor):
     """Adds running totals to a key's panes; forgets the key after ``idle`` seconds."""
 
@@ -31,27 +39,28 @@ class SpellTotals(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # A key has one row per pane, so this grows with time covered, not with events.
-        panes = pd.concat(list(rows)).sort_values("pane_start", ignore_index=True)
+        panes = pd.concat(list(rows), ignore_index=True)
+        panes = panes.iloc[np.argsort(panes["pane_start"].to_numpy())]
+        start, n, units = (panes[name].to_numpy() for name in ["pane_start", "n", "units"])
         old_end, old_n, old_units = self.spell.get() or (None, 0, 0)
 
-        ends = panes["pane_start"] + self.pane
-        previous_end = ends.shift(1, fill_value=old_end if old_end is not None else ends[0])
-        spell = (panes["pane_start"] - previous_end >= self.idle).cumsum()
-        continued = spell == 0  # panes that belong to the spell in the state
-        spell_n = panes["n"].groupby(spell).cumsum() + continued * old_n
-        spell_units = panes["units"].groupby(spell).cumsum() + continued * old_units
+        previous_end = np.concatenate([[start[0] if old_end is None else old_end], start[:-1]])
+        previous_end[1:] += self.pane
+        opens = start - previous_end >= self.idle
+        spell_n = _running(n, opens, old_n)
+        spell_units = _running(units, opens, old_units)
 
-        end = int(ends.iloc[-1])
-        self.spell.update((end, int(spell_n.iloc[-1]), int(spell_units.iloc[-1])))
+        end = int(start[-1]) + self.pane
+        self.spell.update((end, int(spell_n[-1]), int(spell_units[-1])))
         if old_end is not None:
             self.handle.deleteTimer(self.expiry_ms(old_end))
         self.handle.registerTimer(self.expiry_ms(end))
         yield pd.DataFrame(
             {
                 "key": key[0],
-                "pane_start": panes["pane_start"],
-                "n": panes["n"],
-                "units": panes["units"],
+                "pane_start": start,
+                "n": n,
+                "units": units,
                 "spell_n": spell_n,
                 "spell_units": spell_units,
             }

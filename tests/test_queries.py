@@ -25,6 +25,23 @@ def test_entry(spark):
 def test_query_matches_sql(spark, name, sf):
     folder = f"{TESTDATA}/{sf}"
     query, sql = contract.queries()[name], contract.oracle_sql()[name]
-    # At sf0.001 every order may have lines.
     n_rows = assert_same(query(spark, folder), duck(folder), sql)
     assert n_rows > 0
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "pricing_summary",
+        "revenue_by_region_year",
+        "last_view_before_purchase",
+        "user_sessions",
+        "daily_event_counts",
+        "stream_daily_event_counts",
+    ],
+)
+def test_times_do_not_depend_on_the_session_time_zone(spark, conf, name):
+    conf("spark.sql.session.timeZone", "America/New_York")
+    folder = f"{TESTDATA}/sf0.001"
+    query, sql = contract.queries()[name], contract.oracle_sql()[name]
+    assert_same(query(spark, folder), duck(folder), sql)
