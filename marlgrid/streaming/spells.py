@@ -16,7 +16,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 # Ship the state function itself, so that executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-OUTPUT = "key bigint, pane_start bigint, n bigint, units bigint, spell_n bigint, spell_units bigint"
+OUTPUT = (
+    "keyless boolean, key bigint, pane_start bigint, n bigint, units bigint, "
+    "spell_n bigint, spell_units bigint"
+)
 
 
 def _running(values: np.ndarray, opens: np.ndarray, carried: int) -> np.ndarray:
@@ -57,7 +60,8 @@ class SpellTotals(StatefulProcessor):
         self.handle.registerTimer(self.expiry_ms(end))
         yield pd.DataFrame(
             {
-                "key": key[0],
+                "keyless": key[0],
+                "key": key[1],
                 "pane_start": start,
                 "n": n,
                 "units": units,
@@ -91,11 +95,14 @@ def stream_spell_totals(
     can continue the spell.
     """
     pane_seconds, idle_seconds = int(pane.total_seconds()), int(idle.total_seconds())
+    # The state function would be called for every single row of a null key, so null
+    # is told from 0 by a column of its own.
     panes = (
         stream.groupBy(F.window(time, f"{pane_seconds} seconds").alias("_window"), by)
-        .agg(F.count("*").alias("n"), F.sum(units).alias("units"))
+        .agg(F.count("*").alias("n"), F.coalesce(F.sum(units), F.lit(0)).alias("units"))
         .select(
-            F.col(by).alias("key"),
+            F.col(by).isNull().alias("keyless"),
+            F.coalesce(by, F.lit(0)).alias("key"),
             F.unix_seconds(F.col("_window.start")).alias("pane_start"),
             F.window_time("_window").alias("pane_time"),
             "n",
@@ -103,13 +110,16 @@ def stream_spell_totals(
         )
     )
     return (
-        panes.groupBy("key")
+        panes.groupBy("keyless", "key")
         .transformWithStateInPandas(
             statefulProcessor=SpellTotals(pane_seconds, idle_seconds),
             outputStructType=OUTPUT,
             outputMode="Append",
             timeMode="EventTime",
         )
-        .withColumn("pane_start", F.timestamp_seconds("pane_start").cast("timestamp_ntz"))
-        .withColumnRenamed("key", by)
+        .select(
+            F.when(~F.col("keyless"), F.col("key")).alias(by),
+            F.timestamp_seconds("pane_start").cast("timestamp_ntz").alias("pane_start"),
+            *["n", "units", "spell_n", "spell_units"],
+        )
     )

@@ -170,7 +170,7 @@ def test_spell_state_is_dropped_when_idle(spark, tmp_path):
     def users_in_state():
         reader = spark.read.format("statestore").option("operatorId", 0)
         state = reader.option("stateVarName", "spell").load(f"{tmp_path}/checkpoint")
-        return {r["key"][0] for r in state.collect()}
+        return {r["key"]["key"] for r in state.collect()}
 
     feed = Feed(spark, tmp_path, spells)
     feed.add(event(1, 0.5, user=1), event(2, 0.5, user=2), event(3, 2.5, user=2)).run()
