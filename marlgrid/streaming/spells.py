@@ -55,9 +55,8 @@ class SpellTotals(StatefulProcessor):
 
         end = int(start[-1]) + self.pane
         self.spell.update((end, int(spell_n[-1]), int(spell_units[-1])))
-        if old_end is not None:
-            self.handle.deleteTimer(self.expiry_ms(old_end))
-        self.handle.registerTimer(self.expiry_ms(end))
+        if old_end is None:
+            self.handle.registerTimer(self.expiry_ms(end))
         yield pd.DataFrame(
             {
                 "keyless": key[0],
@@ -75,7 +74,12 @@ class SpellTotals(StatefulProcessor):
         return (end + self.idle + self.pane) * 1000
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.spell.clear()
+        # A key keeps one timer, which is set anew only when it has run out too early.
+        expiry = self.expiry_ms(self.spell.get()[0])
+        if expiry > expiredTimerInfo.getExpiryTimeInMs():
+            self.handle.registerTimer(expiry)
+        else:
+            self.spell.clear()
         return iter(())
 
     def close(self) -> None:
