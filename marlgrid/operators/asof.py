@@ -56,8 +56,10 @@ def asof_join(
 
     The latest is the last by (``time``, ``tie``) at or before the left row's
     ``time``, or strictly before it if not ``inclusive``. ``tie`` is unique per
-    side among rows of the same key and time. ``out`` is null where nothing matches.
+    side among rows of the same key and time. ``out`` is null where nothing matches;
+    a null key or time matches nothing.
     """
+    right = right.filter(F.col(time).isNotNull())
     whole_left, whole_right = F.struct(*left.columns), F.struct(*right.columns)
     right_side = 0 if inclusive else 1
     both = left.select(

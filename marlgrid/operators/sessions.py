@@ -22,8 +22,8 @@ def sessionize(
     """One row per session with ``session_start``, ``last_event``, ``n_events`` and ``sums``.
 
     An event joins the session before it if it follows that session's last event
-    by ``gap`` or less; this is what ``session_window`` does. ``sums`` are
-    aggregates whose results can be added up again.
+    by ``gap`` or less; this is what ``session_window`` does. An event without a
+    time is in no session. ``sums`` are aggregates whose results can be added up again.
 
     ``session_window`` moves all rows of a key to one task. It serves the keys of
     up to ``rows_per_task`` rows; longer keys are reduced before they move.

@@ -53,7 +53,8 @@ def last_view_before_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # At one instant a view counts as being before a purchase.
     order = ["ts", "is_purchase", "event_id"]
-    view = F.when(~F.col("is_purchase"), F.struct("event_id", "ts"))
+    is_view = ~F.col("is_purchase") & F.col("ts").isNotNull()
+    view = F.when(is_view, F.struct("event_id", "ts"))
     return (
         carry_forward(moves, "user_id", order, view, "view")
         .filter("is_purchase")

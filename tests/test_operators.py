@@ -37,6 +37,7 @@ def events_frame(spark, rows):
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_asof_join(spark, rows_per_task, inclusive):
     rows = awkward_events(seed=rows_per_task)
+    rows += [(1000, 1, None, "view", 0.0), (1001, 1, None, "purchase", 0.0)]
     events = events_frame(spark, rows)
     joined = asof_join(
         events.filter("kind = 'purchase'"),
@@ -57,7 +58,8 @@ def test_asof_join(spark, rows_per_task, inclusive):
         views = [
             (t, j)
             for j, u, t, k, _ in rows
-            if k == "view" and user is not None and u == user and (t <= ts if inclusive else t < ts)
+            if k == "view" and None not in (user, ts, t) and u == user
+            and (t <= ts if inclusive else t < ts)
         ]
         want[i] = max(views)[1] if views else None
     assert got == want
@@ -90,7 +92,9 @@ def test_sessionize(spark, rows_per_task, gap):
         "buys": F.count_if(F.col("kind") == "purchase"),
         "cents": exact_sum(units(F.col("value"))),
     }
-    sessions = sessionize(events_frame(spark, rows), "user", "ts", gap, sums, rows_per_task)
+    timeless = [(1000 + i, user, None, "view", 1.0) for i, user in enumerate([1, 1, 99, None])]
+    events = events_frame(spark, rows + timeless)
+    sessions = sessionize(events, "user", "ts", gap, sums, rows_per_task)
     got = [tuple(r) for r in sessions.collect()]
     assert len(got) == len(set(got))
     assert {(*r[:5], int(r[5])) for r in got} == brute_sessions(rows, gap)
