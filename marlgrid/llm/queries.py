@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlgrid.llm import url_rules
+from marlgrid.llm import repeats, url_rules
 
 # The prefix rules that the query is asked to apply.
 PREFIX_RULES = [
@@ -58,6 +58,23 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def op10_repeat_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's repeats, base rules and verdict."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.repeat_rules(docs).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "covered_words",
+        "longest_repeat",
+    )
+
+
 def _url_sql() -> str:
     quote = lambda text: "'" + text.replace("'", "''") + "'"
     rows = lambda rules: ", ".join(
@@ -98,6 +115,6 @@ def _url_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op9_url_rules]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op9_url_rules, op10_repeat_rules]
 
 SQL: dict[str, str] = {"op9_url_rules": _url_sql()}
