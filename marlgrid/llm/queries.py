@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marlgrid.llm import repeats, url_rules
+from marlgrid.llm import bpe, repeats, url_rules
 
 # The prefix rules that the query is asked to apply.
 PREFIX_RULES = [
@@ -46,11 +48,28 @@ PATTERN_RULES = [
 ]
 
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One table; the path may be a file or a folder of files."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, VOCABULARY).select("doc_id", "ids")
+    decoded = bpe.decode(encoded, VOCABULARY)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, prefix rule and verdict."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -115,6 +134,6 @@ def _url_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op9_url_rules, op10_repeat_rules]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op6_bpe, op9_url_rules, op10_repeat_rules]
 
 SQL: dict[str, str] = {"op9_url_rules": _url_sql()}

@@ -50,7 +50,10 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "_text"):
             texts = [x or "" for x in piece.column(piece.num_columns - 1).to_pylist()]
-            values = [pa.array(v, type=k) for v, k in zip(function(texts), kinds, strict=True)]
+            values = [
+                v if isinstance(v, pa.Array) else pa.array(v, type=k)
+                for v, k in zip(function(texts), kinds, strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns[:-1], *values], names=[*keep, *added]
             )
