@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlgrid.llm import bpe, repeats, url_rules
+from marlgrid.llm import bpe, language, repeats, url_rules
 
 # The prefix rules that the query is asked to apply.
 PREFIX_RULES = [
@@ -56,6 +56,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from the documents that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    # A null doc_id has no remainder, so it is not learned from.
+    model = language.learn(docs, "doc_id", ~held_out)
+    docs = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
+    return language.identify(docs, model)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text decoded from them."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -134,6 +144,6 @@ def _url_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op6_bpe, op9_url_rules, op10_repeat_rules]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op6_bpe, op9_url_rules, op10_repeat_rules]
 
 SQL: dict[str, str] = {"op9_url_rules": _url_sql()}
