@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlgrid.llm import bpe, html_text, language, repeats, url_rules
+from marlgrid.llm import bpe, html_text, language, repeats, url_rules, vectors
 
 # The prefix rules that the query is asked to apply.
 PREFIX_RULES = [
@@ -66,6 +66,11 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model)
 
 
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component at a cosine of 0.9 and more."""
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     return html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -149,6 +154,6 @@ def _url_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op4_html_text, op6_bpe, op9_url_rules, op10_repeat_rules]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op3_near_vectors, op4_html_text, op6_bpe, op9_url_rules, op10_repeat_rules]
 
 SQL: dict[str, str] = {"op9_url_rules": _url_sql()}
