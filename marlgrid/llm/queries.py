@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlgrid.llm import bpe, html_text, language, repeats, url_rules, vectors
+from marlgrid.llm import bpe, html_text, language, quality, repeats, toxicity, url_rules, vectors
 
 # The prefix rules that the query is asked to apply.
 PREFIX_RULES = [
@@ -66,6 +66,22 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's evidence, the shares of its source and language, and its posterior."""
+    return quality_rated(spark, read(spark, sf_dir, "documents"), sf_dir).select(
+        "doc_id", "evidence", "host_share", "path_share", "posterior", "rejected"
+    )
+
+
+def quality_rated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with the columns of ``quality.rate``; sources are hosts, languages their paths."""
+    labels = read(spark, sf_dir, "labels")
+    model = quality.learn(
+        read(spark, sf_dir, "documents"), labels, F.col("quality") == 1, "doc_id"
+    )
+    return quality.rate(docs, model, "source", "lang")
+
+
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links and component at a cosine of 0.9 and more."""
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
@@ -90,6 +106,21 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability of each labelled category, and whether it is toxic."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity_rated(spark, docs, sf_dir).drop("text")
+
+
+def toxicity_rated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with the columns of ``toxicity.rate``."""
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.learn(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), categories, "doc_id"
+    )
+    return toxicity.rate(docs, chain)
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, prefix rule and verdict."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -154,6 +185,6 @@ def _url_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op3_near_vectors, op4_html_text, op6_bpe, op9_url_rules, op10_repeat_rules]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op6_bpe, op7_toxicity, op9_url_rules, op10_repeat_rules]
 
 SQL: dict[str, str] = {"op9_url_rules": _url_sql()}

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Bytes of text that a task looks at together; a longer text stands alone.
 PIECE_BYTES = 2_000_000
@@ -42,20 +41,20 @@ def map_texts(
     are not kept.
     """
     keep = [name for name in keep if name not in added]
-    chosen = df.select(*keep, F.col(text).alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]]
+    chosen = df.select(*keep, *([] if text in keep else [text]))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name in keep]
     schema = ", ".join([*fields, *(f"`{name}` {kind}" for name, kind in added.items())])
     kinds = [_arrow(kind) for kind in added.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "_text"):
-            texts = [x or "" for x in piece.column(piece.num_columns - 1).to_pylist()]
+        for piece in pieces(batches, text):
+            texts = [x or "" for x in piece.column(piece.schema.get_field_index(text)).to_pylist()]
             values = [
                 v if isinstance(v, pa.Array) else pa.array(v, type=k)
                 for v, k in zip(function(texts), kinds, strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
-                [*piece.columns[:-1], *values], names=[*keep, *added]
+                [*piece.select(keep).columns, *values], names=[*keep, *added]
             )
 
     return chosen.mapInArrow(run, schema)
