@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlgrid.llm import bpe, html_text, language, quality, repeats, toxicity, url_rules, vectors
+from marlgrid.llm import (
+    bpe,
+    html_text,
+    language,
+    minhash,
+    quality,
+    repeats,
+    toxicity,
+    url_rules,
+    vectors,
+)
 
 # The prefix rules that the query is asked to apply.
 PREFIX_RULES = [
@@ -121,6 +131,11 @@ def toxicity_rated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.rate(docs, chain)
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class among texts of a similarity of 0.8 and more."""
+    return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, prefix rule and verdict."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -185,6 +200,6 @@ def _url_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op6_bpe, op7_toxicity, op9_url_rules, op10_repeat_rules]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules]
 
 SQL: dict[str, str] = {"op9_url_rules": _url_sql()}
