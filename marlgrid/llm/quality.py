@@ -133,7 +133,7 @@ def _with_evidence(docs: DataFrame, model: Evidence, text: str) -> DataFrame:
         evidence = np.where(empty, -MOST_EVIDENCE, evidence)
         return [np.clip(evidence, -MOST_EVIDENCE, MOST_EVIDENCE)]
 
-    return map_texts(docs, docs.columns, text, run, {"evidence": "double"})
+    return map_texts(docs, docs.columns, text, run, {"_evidence": "double"})
 
 
 def _strength(groups: DataFrame, total: str, n: str, mean: Column) -> float:
@@ -183,29 +183,35 @@ def group_shares(rated: DataFrame, host: str, path: str) -> tuple[DataFrame, dic
 
 
 def rate(
-    docs: DataFrame, model: Evidence | None, host: str, path: str, text: str = "text"
+    docs: DataFrame,
+    model: Evidence | None,
+    host: str,
+    path: str,
+    text: str = "text",
+    prefix: str = "",
 ) -> DataFrame:
     """Adds ``evidence``, ``host_share``, ``path_share``, ``posterior`` and ``rejected`` to every row.
 
-    ``path`` names parts of a ``host``; both may be null, which is a group of its own. A
-    text that is null, empty or white space has the least evidence. Without a model
-    nothing is rejected and the numbers are null. Repeated rows are rated each; columns
-    with the added names are replaced. The shares are two grouped aggregates with
-    map-side sums, so a host with most of the documents does no harm, and a
-    document meets them in a join that moves no text while they are small.
+    The names start with ``prefix``. ``path`` names parts of a ``host``; both may be null,
+    which is a group of its own. A text that is null, empty or white space has the
+    least evidence. Without a model nothing is rejected and the numbers are null. Repeated
+    rows are rated each; columns with the added names are replaced. The shares are two
+    grouped aggregates with map-side sums, so a host with most of the documents does
+    no harm, and a document meets them in a join that moves no text while they are small.
     """
-    names = ["evidence", "host_share", "path_share", "posterior", "rejected"]
-    docs = docs.drop(*names)
+    names = ["evidence", "host_share", "path_share", "posterior"]
+    added = [prefix + name for name in [*names, "rejected"]]
+    kept = [name for name in docs.columns if name not in added]
+    unknown = [F.lit(None).cast("double").alias(prefix + name) for name in names]
+    unknown.append(F.lit(False).alias(prefix + "rejected"))
     if model is None:
-        empty = {name: F.lit(None).cast("double") for name in names[:-1]}
-        return docs.withColumns(empty | {"rejected": F.lit(False)})
+        return docs.select(*kept, *unknown)
     base = float(logit(np.array(model.prior)))
-    p = 1 / (1 + F.exp(-(F.col("evidence") + base)))
+    p = 1 / (1 + F.exp(-(F.col("_evidence") + base)))
     narrow = _with_evidence(docs.select(host, path, text), model, text)
     shares, world = group_shares(narrow.withColumn("_p", p), host, path)
     if not world:
-        empty = {name: F.lit(None).cast("double") for name in names[:-1]}
-        return docs.withColumns(empty | {"rejected": F.lit(False)})
+        return docs.select(*kept, *unknown)
     rated = _with_evidence(docs, model, text).withColumn("_p", p)
     met = rated.join(
         shares,
@@ -217,15 +223,17 @@ def rate(
     host_share = (F.col("_host_good") - F.col("_p") + by_host * world["share"]) / (
         F.col("_host_n") - 1 + by_host
     )
-    path_share = (F.col("_path_good") - F.col("_p") + by_path * F.col("host_share")) / (
+    path_share = (F.col("_path_good") - F.col("_p") + by_path * F.col("_host_share")) / (
         F.col("_path_n") - 1 + by_path
     )
-    odds = F.log(F.col("path_share") / (1 - F.col("path_share"))) + F.col("evidence")
+    odds = F.log(F.col("_path_share") / (1 - F.col("_path_share"))) + F.col("_evidence")
     within = lambda share: F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), share))
-    return (
-        met.withColumn("host_share", within(host_share))
-        .withColumn("path_share", within(path_share))
-        .withColumn("posterior", 1 / (1 + F.exp(-odds)))
-        .withColumn("rejected", F.col("posterior") < THRESHOLD)
-        .select(*docs.columns, *names)
+    judged = (
+        met.withColumn("_host_share", within(host_share))
+        .withColumn("_path_share", within(path_share))
+        .withColumn("_posterior", 1 / (1 + F.exp(-odds)))
+        .withColumn("_rejected", F.col("_posterior") < THRESHOLD)
+    )
+    return judged.select(
+        *kept, *[F.col(f"_{name}").alias(prefix + name) for name in [*names, "rejected"]]
     )

@@ -13,6 +13,7 @@ from marlgrid.llm import (
     html_text,
     language,
     minhash,
+    mixing,
     quality,
     repeats,
     toxicity,
@@ -58,6 +59,14 @@ PATTERN_RULES = [
 ]
 
 
+# The mixture: four domains of sources, a main language, all sources alike.
+MIXTURE = [
+    mixing.Level("_domain", {"domain0": 4.0, "domain1": 3.0, "domain2": 2.0}),
+    mixing.Level("lang", {"en": 5.0, "fr": 2.0, "de": 2.0}),
+    mixing.Level("source", {}),
+]
+MIXTURE_SHARE, MIXTURE_EPOCHS, MIXTURE_SEED = 0.8, 2, 20
+
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -78,18 +87,21 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's evidence, the shares of its source and language, and its posterior."""
-    return quality_rated(spark, read(spark, sf_dir, "documents"), sf_dir).select(
-        "doc_id", "evidence", "host_share", "path_share", "posterior", "rejected"
-    )
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality_rated(spark, docs, sf_dir).drop("text", "source", "lang")
 
 
-def quality_rated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rated(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, prefix: str = ""
+) -> DataFrame:
     """``docs`` with the columns of ``quality.rate``; sources are hosts, languages their paths."""
-    labels = read(spark, sf_dir, "labels")
     model = quality.learn(
-        read(spark, sf_dir, "documents"), labels, F.col("quality") == 1, "doc_id"
+        read(spark, sf_dir, "documents"),
+        read(spark, sf_dir, "labels"),
+        F.col("quality") == 1,
+        "doc_id",
     )
-    return quality.rate(docs, model, "source", "lang")
+    return quality.rate(docs, model, "source", "lang", prefix=prefix)
 
 
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +114,41 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mixture takes every document."""
+    docs = mixture_columns(read(spark, sf_dir, "documents"))
+    return mixed(docs.drop("text", "n_chars")).select(
+        "doc_id",
+        F.col("_domain").alias("domain"),
+        "lang",
+        "source",
+        F.col("_tokens").alias("n_tokens"),
+        "_copies",
+    ).withColumnRenamed("_copies", "copies")
+
+
+def mixture_columns(docs: DataFrame) -> DataFrame:
+    """Adds ``_domain``, the domain of a document's source, and ``_tokens``, its words."""
+    number = F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 4
+    words = F.coalesce(F.regexp_count("text", F.lit(r"[^ \t-\r]+")), F.lit(0))
+    return docs.withColumns(
+        {"_domain": F.concat(F.lit("domain"), number), "_tokens": words.cast("bigint")}
+    )
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_copies``."""
+    return mixing.mix(
+        docs,
+        MIXTURE,
+        MIXTURE_SHARE,
+        MIXTURE_EPOCHS,
+        MIXTURE_SEED,
+        tokens="_tokens",
+        copies="_copies",
+    )
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text decoded from them."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -122,13 +169,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_rated(spark, docs, sf_dir).drop("text")
 
 
-def toxicity_rated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity_rated(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, prefix: str = ""
+) -> DataFrame:
     """``docs`` with the columns of ``toxicity.rate``."""
     categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
     chain = toxicity.learn(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), categories, "doc_id"
     )
-    return toxicity.rate(docs, chain)
+    return toxicity.rate(docs, chain, prefix=prefix)
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +249,6 @@ def _url_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op5_mixture, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules]
 
 SQL: dict[str, str] = {"op9_url_rules": _url_sql()}

@@ -196,9 +196,13 @@ def _fit_chain(
     return chain
 
 
-def rate(docs: DataFrame, chain: Sequence[Category], text: str = "text") -> DataFrame:
+def rate(
+    docs: DataFrame, chain: Sequence[Category], text: str = "text", prefix: str = ""
+) -> DataFrame:
     """Adds ``p_`` and the name of each category of ``chain``, and ``rejected``, to every row.
 
+    The names start with ``prefix``.
+
     ``rejected`` tells whether the last category's probability reaches ``THRESHOLD``. A
     text that is null, empty or white space has probability 0; an empty chain
     rejects nothing. Repeated rows are rated each; columns with the added names are
@@ -212,5 +216,7 @@ def rate(docs: DataFrame, chain: Sequence[Category], text: str = "text") -> Data
         columns = [[row[i] for row in rated] for i in range(len(chain))]
         return [*columns, [bool(row) and row[-1] >= THRESHOLD for row in rated]]
 
-    added = {f"p_{category.name}": "double" for category in chain} | {"rejected": "boolean"}
+    names = [*(f"p_{category.name}" for category in chain), "rejected"]
+    kinds = ["double"] * len(chain) + ["boolean"]
+    added = {prefix + name: kind for name, kind in zip(names, kinds, strict=True)}
     return map_texts(docs, docs.columns, text, run, added)
