@@ -13,14 +13,16 @@ list is the encoding of the whole run.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from marlgrid.llm.texts import PIECE_BYTES, map_texts
+from marlgrid.llm.texts import map_texts
 
 # Characters of a leaf, and tokens on either side of a join that are tried first.
 LEAF_CHARS = 4_096
@@ -29,13 +31,19 @@ FIRST_WINDOW = 8
 # A longer word is not kept for the next time it is met.
 WORD_CHARS = 256
 # Words kept by a task; the store is emptied when it is full.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
+
+# Ids that are decoded together.
+PIECE_IDS = 250_000
 
 # The id of a token that a cut has made and that no vocabulary holds.
 CUT = -1
 
 Token = tuple[int, str]
 
+# Fixed value: how the pre-tokenizer cuts ASCII text that has no apostrophe.
+ASCII_PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9\t-\r ]+")
+
 
 class TreeEncoder:
     """Encodes texts exactly as ``tokenizer`` does without adding special tokens.
@@ -52,26 +60,41 @@ class TreeEncoder:
         self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.leaf = leaf
         self.window = window
-        self.store: dict[str, np.ndarray] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        # Word to number; where a number's ids start in ``flat``.
+        self.store: dict[str, int] = {}
+        self.flat = np.zeros(0, np.int32)
+        self.starts = np.zeros(1, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in order, and the number of ids of each text."""
         words = [_words(text) for text in texts]
-        distinct = set().union(*words)
-        if len(self.store) > KEPT_WORDS:
-            self.store = {}
-        new = [word for word in distinct if word not in self.store]
+        if len(self.store) > KEPT_WORDS or len(self.flat) > 8 * KEPT_WORDS:
+            self.clear()
+        store = self.store
+        new = [word for word in set().union(*words) if word not in store]
         short = [word for word in new if len(word) <= WORD_CHARS]
-        encoded = self.tokenizer.encode_batch_fast(short, add_special_tokens=False)
-        self.store.update(
-            (word, np.array(e.ids, np.int32)) for word, e in zip(short, encoded, strict=True)
-        )
-        long = {word: self.encode_run(word) for word in new if len(word) > WORD_CHARS}
-        found = {**self.store, **long} if long else self.store
-        parts = [found[word] for of_text in words for word in of_text]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, words)])]
-        return np.concatenate([np.zeros(0, np.int32), *parts]), np.diff(ends)
+        long = [word for word in new if len(word) > WORD_CHARS]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(short, add_special_tokens=False)]
+        ids += [self.encode_run(word) for word in long]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        first = len(self.starts) - 1
+        self.flat = np.concatenate([self.flat, np.fromiter(chain(*ids), np.int32, sizes.sum())])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        store.update(zip([*short, *long], range(first, first + len(ids)), strict=True))
+
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        number = np.fromiter(map(store.__getitem__, chain(*words)), np.int64, counts.sum())
+        begin = self.starts[number]
+        width = self.starts[number + 1] - begin
+        ends = np.concatenate([[0], np.cumsum(width)])
+        place = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], width)
+        of_text = ends[np.concatenate([[0], np.cumsum(counts)])]
+        for word in long:
+            del store[word]
+        return self.flat[place], np.diff(of_text)
 
     def encode_run(self, word: str) -> np.ndarray:
         """The ids of text without white space, however long."""
@@ -142,8 +165,12 @@ def _meeting(before: list[Token], after: list[Token], middle: list[Token]) -> tu
 
 
 def _words(text: str) -> list[str]:
+    """Parts of a text that the tokenizer treats apart from each other, without white space."""
     for space in "\n\t\r":
         text = text.replace(space, " ")
+    if text.isascii() and "'" not in text and "<|" not in text:
+        # The pre-tokenizer's own parts, for want of a contraction or a special token.
+        return ASCII_PARTS.findall(text.lower())
     return [word for word in text.split(" ") if word]
 
 
@@ -190,8 +217,8 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
                 continue
             lists = batch.column(batch.schema.get_field_index(ids))
             counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            # Rows with about as many ids as a piece of text has bytes go together.
-            piece = np.cumsum(counts) // PIECE_BYTES
+            # A row with more ids stands alone.
+            piece = np.cumsum(counts) // PIECE_IDS
             edges = [0, *(np.flatnonzero(np.diff(piece)) + 1), batch.num_rows]
             for a, b in zip(edges, edges[1:], strict=False):
                 part = [x or [] for x in lists.slice(a, b - a).to_pylist()]
