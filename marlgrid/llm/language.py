@@ -47,26 +47,32 @@ def _letters(codes: np.ndarray) -> np.ndarray:
 
 
 def _segments(text: str) -> list[str]:
-    """Parts of a long text, cut at a space where there is one."""
+    """Parts of a long text, cut at a space where there is one.
+
+    The word before the space is in both parts, so that no n-gram is lost or made.
+    """
     parts = []
     while len(text) > SEGMENT:
         cut = text.rfind(" ", 1, SEGMENT)
         cut = cut if cut > 0 else SEGMENT
         parts.append(text[:cut])
-        text = text[cut:]
+        back = text.rfind(" ", 1, cut)
+        text = text[back if back > 0 else cut :]
     return [*parts, text]
 
 
 def _mark(bits: np.ndarray, texts: Sequence[str], rows: Sequence[int]) -> None:
     """Sets in ``bits`` the buckets of the n-grams of each text, in the row given for it."""
     # Runs of anything but letters count as one space, as does each end of a text.
-    joined = " ".join(["", *texts, ""])
+    joined = "".join([f" {text} " for text in texts])
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    row = np.repeat(rows, [len(text) + 1 for text in texts])
-    row = np.concatenate([row[:1], row])
+    part = np.repeat(np.arange(len(texts)), [len(text) + 2 for text in texts])
+    starts = np.cumsum([0, *(len(text) + 2 for text in texts[:-1])])
     codes = np.where(_letters(codes), codes, 0)
     kept = (codes > 0) | np.concatenate([[True], codes[:-1] > 0])
-    codes, row = codes[kept], row[kept]
+    kept[starts] = True
+    codes, part = codes[kept], part[kept]
+    row = np.asarray(rows)[part]
     flat = bits.reshape(-1)
     hashes = codes * np.uint32(0x9E3779B1)
     for n in range(1, LONGEST + 1):
@@ -75,9 +81,9 @@ def _mark(bits: np.ndarray, texts: Sequence[str], rows: Sequence[int]) -> None:
         spread = (hashes ^ (hashes >> np.uint32(15))) * np.uint32(0x2C1B3C6D + 2 * n)
         spread ^= spread >> np.uint32(13)
         bucket = (spread * np.uint32(0x297A2D39)) >> np.uint32(32 - 13)
-        ends = row[n - 1 :]
-        inside = (row[: len(row) - n + 1] == ends) & ((codes[: len(ends)] > 0) | (n > 1))
-        flat[ends[inside].astype(np.int64) * BUCKETS + bucket[inside]] = 1
+        same = part[: len(part) - n + 1] == part[n - 1 :]
+        inside = same & ((codes[: len(same)] > 0) | (n > 1))
+        flat[row[n - 1 :][inside] * BUCKETS + bucket[inside]] = 1
 
 
 def presence(texts: list[str]) -> np.ndarray:

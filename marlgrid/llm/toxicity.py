@@ -18,21 +18,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlgrid.llm.linear import fit_logistic, labelled_sample, logit
+from marlgrid.llm.linear import fit_logistic, labelled_sample, logit, sigmoid
 from marlgrid.llm.texts import map_texts
 from marlgrid.sources.scratch import materialize
 
 # Features per category, and labelled documents that must hold one.
 FEATURES = 512
-LEAST_DOCUMENTS = 3
+LEAST_DOCUMENTS = 5
 
 FOLDS = 4
 RIDGE = 1e-3
-# From this probability on a document is toxic. It is below a half, since one abusive
-# word in a long text counts.
-THRESHOLD = 0.2
+# A document is in a category from the probability on that at most this share of those
+# outside of it reach unseen, but not below the one and not above the other bound. The
+# lower bound is below a half, since one abusive word in a long text counts.
+FALSE_SHARE = 0.005
+LEAST_THRESHOLD, MOST_THRESHOLD = 0.2, 0.5
 
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
 TERM = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -57,6 +59,7 @@ class Category(NamedTuple):
     weights: dict[str, float]
     chained: list[float]
     bias: float
+    threshold: float
 
 
 class Scorer:
@@ -174,6 +177,15 @@ def _fit_chain(
         scale = np.array([ratios[every[i]] for i in columns])
         # Terms are scaled by how well each tells the category on its own.
         x = np.column_stack([present[:, columns] * scale, earlier])
+        unseen = np.full(len(y), logit(np.array(y.mean())))
+        for k in range(FOLDS):
+            own = fold == k
+            if own.any() and 0 < y[~own].sum() < (~own).sum():
+                part, level = fit_logistic(x[~own], y[~own], RIDGE)
+                unseen[own] = x[own] @ part + level
+        unseen = np.clip(unseen, -30, 30)
+        earlier = np.column_stack([earlier, unseen])
+        reached = np.quantile(sigmoid(unseen[y == 0]), 1 - FALSE_SHARE)
         weights, bias = fit_logistic(x, y, RIDGE)
         by_term = weights[: len(columns)] * scale
         chain.append(
@@ -182,17 +194,9 @@ def _fit_chain(
                 {every[i]: float(w) for i, w in zip(columns, by_term, strict=True)},
                 weights[len(columns) :].tolist(),
                 bias,
+                float(np.clip(reached, LEAST_THRESHOLD, MOST_THRESHOLD)),
             )
         )
-        if name == names[-1]:
-            break
-        unseen = np.full(len(y), logit(np.array(y.mean())))
-        for k in range(FOLDS):
-            own = fold == k
-            if own.any() and 0 < y[~own].sum() < (~own).sum():
-                part, level = fit_logistic(x[~own], y[~own], RIDGE)
-                unseen[own] = x[own] @ part + level
-        earlier = np.column_stack([earlier, np.clip(unseen, -30, 30)])
     return chain
 
 
@@ -203,7 +207,7 @@ def rate(
 
     The names start with ``prefix``.
 
-    ``rejected`` tells whether the last category's probability reaches ``THRESHOLD``. A
+    ``rejected`` tells whether the last category's probability reaches its threshold. A
     text that is null, empty or white space has probability 0; an empty chain
     rejects nothing. Repeated rows are rated each; columns with the added names are
     replaced. All other columns are kept, and no row moves between tasks.
@@ -214,7 +218,7 @@ def rate(
         scorer = Scorer(chain)
         rated = [scorer.score(x) for x in texts]
         columns = [[row[i] for row in rated] for i in range(len(chain))]
-        return [*columns, [bool(row) and row[-1] >= THRESHOLD for row in rated]]
+        return [*columns, [bool(row) and row[-1] >= chain[-1].threshold for row in rated]]
 
     names = [*(f"p_{category.name}" for category in chain), "rejected"]
     kinds = ["double"] * len(chain) + ["boolean"]

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marlgrid.llm import linear, quality, queries, toxicity
+
+SF = "/root/testdata/sf0.1"
+ODD = [(-1, None), (-2, ""), (-3, " \n"), (-4, "!!!"), (-4, "!!!"), (None, "some text")]
+
+
+@pytest.fixture(scope="module")
+def halves(spark):
+    """Labels to learn from, and those that only the test sees."""
+    labels = queries.read(spark, SF, "labels")
+    seen = F.pmod(F.xxhash64("doc_id"), F.lit(4)) != 0
+    return labels.filter(seen), {r.doc_id: r for r in labels.filter(~seen).collect()}
+
+
+def test_logistic_regression_separates():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(500, 3))
+    y = (x @ [2.0, -1.0, 0.0] + 0.5 > 0).astype(float)
+    weights, bias = linear.fit_logistic(x, y, 1e-3)
+    assert ((x @ weights + bias > 0) == (y > 0)).mean() > 0.98
+
+
+def test_toxic_documents_are_found_and_others_left(spark, halves):
+    labels, unseen = halves
+    docs = queries.read(spark, SF, "documents")
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.learn(docs, labels, categories, "doc_id")
+    assert [c.name for c in chain] == ["poor", "toxic"] and len(chain[1].chained) == 1
+    rated = {r.doc_id: r for r in toxicity.rate(docs.select("doc_id", "text"), chain).collect()}
+    assert len(rated) == docs.count()
+    # Toxic documents that are poor as well have lost the words that made them toxic.
+    toxic = [rated[i].rejected for i, r in unseen.items() if r.toxic and r.quality]
+    clean = [rated[i].rejected for i, r in unseen.items() if not r.toxic]
+    assert np.mean(toxic) >= 0.95 and np.mean(clean) <= 0.01
+    odd = spark.createDataFrame(ODD, "doc_id long, text string").withColumn("rejected", F.lit(3))
+    got = toxicity.rate(odd, chain).collect()
+    assert len(got) == len(ODD) and not any(r.rejected for r in got)
+    assert [r.p_toxic for r in got if r.doc_id in (-1, -2, -3)] == [0.0] * 3
+
+
+def test_chains_need_labels_of_both_kinds(spark):
+    docs = queries.read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    labels = queries.read(spark, "/root/testdata/sf0.001", "labels")
+    for few in (labels.filter("false"), labels.filter("toxic = 0")):
+        chain = toxicity.learn(docs, few, {"toxic": F.col("toxic") == 1}, "doc_id")
+        assert chain == []
+    assert not any(r.rejected for r in toxicity.rate(docs, []).collect())
+
+
+def test_conflicting_and_missing_labels(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(1, 0), (1, 1), (2, 0), (2, None), (3, None), (None, 1), (4, 1)], "doc_id long, toxic int"
+    )
+    sample = linear.labelled_sample(docs, labels, "doc_id", {"toxic": F.col("toxic") == 1})
+    assert sorted((r.doc_id, r.toxic) for r in sample.collect()) == [(1, 1), (2, 0)]
+
+
+def test_signals():
+    texts = ["", "Abc abc. abc", "x y z x y z", "é!! #1"]
+    rows = [dict(zip(quality.SIGNALS, row, strict=True)) for row in quality.signals(texts)]
+    assert rows[0]["log_words"] == 0 and rows[0]["distinct_words"] == 1
+    assert rows[1]["distinct_words"] == 1 and rows[2]["distinct_words"] == 0.5
+    assert rows[2]["distinct_triples"] == 0.75
+    assert rows[3]["share_shout"] == 2 / 7 and rows[3]["share_other"] == 2 / 7
+    alone = np.concatenate([quality.signals([text]) for text in texts])
+    assert np.allclose(alone, quality.signals(texts))
+
+
+def test_poor_documents_are_found_and_others_left(spark, halves):
+    labels, unseen = halves
+    docs = queries.read(spark, SF, "documents")
+    model = quality.learn(docs, labels, F.col("quality") == 1, "doc_id")
+    rated = {r.doc_id: r for r in quality.rate(docs, model, "source", "lang").collect()}
+    assert len(rated) == docs.count()
+    poor = [rated[i].rejected for i, r in unseen.items() if not r.quality]
+    good = [rated[i].rejected for i, r in unseen.items() if r.quality]
+    assert np.mean(poor) >= 0.95 and np.mean(good) <= 0.005
+
+
+def test_posteriors_against_brute_force(spark):
+    rows = [(f"h{i % 3}" if i % 7 else None, f"p{i % 2}", float(i % 5 == 0)) for i in range(90)]
+    rows += [("new", "p0", 0.5)]
+    rated = spark.createDataFrame(rows, "h string, p string, _p double")
+    shares, world = quality.group_shares(rated, "h", "p")
+    assert abs(world["share"] - np.mean([r[2] for r in rows])) < 1e-12
+    for row in shares.collect():
+        own = [x for h, p, x in rows if (h, p) == (row._host, row._path)]
+        host = [x for h, _, x in rows if h == row._host]
+        assert abs(row._path_good - sum(own)) < 1e-9 and row._path_n == len(own)
+        assert abs(row._host_good - sum(host)) < 1e-9 and row._host_n == len(host)
+    assert quality.LEAST_STRENGTH <= world["by_host"] <= quality.MOST_STRENGTH
+
+
+def test_a_poor_host_lowers_its_documents(spark):
+    words = " ".join(f"word{i}" for i in range(80))
+    junk = "BUY!! NOW!! " * 40
+    texts = [("good", f"{words} {i}", 1) for i in range(60)]
+    texts += [("bad", junk + str(i), 0) for i in range(60)] + [("bad", f"{words} end", 1)]
+    docs = spark.createDataFrame(
+        [(i, *t, None) for i, t in enumerate(texts)],
+        "doc_id int, source string, text string, quality int, lang string",
+    )
+    model = quality.learn(docs, docs, F.col("quality") == 1, "doc_id")
+    rated = quality.rate(docs, model, "source", "lang").collect()
+    good = next(r for r in rated if r.doc_id == 0)
+    alone = next(r for r in rated if r.doc_id == 120)
+    assert alone.path_share < 0.2 < 0.8 < good.path_share
+    assert alone.posterior < good.posterior
+
+
+def test_quality_of_odd_rows(spark):
+    docs = queries.read(spark, "/root/testdata/sf0.001", "documents")
+    odd = spark.createDataFrame(
+        [(i, text, None, None, None) for i, text in ODD], docs.schema
+    )
+    labels = queries.read(spark, "/root/testdata/sf0.001", "labels")
+    model = quality.learn(docs, labels, F.col("quality") == 1, "doc_id")
+    rated = quality.rate(docs.unionByName(odd), model, "source", "lang").filter("lang is null")
+    got = rated.collect()
+    assert len(got) == len(ODD) and all(r.posterior is not None for r in got)
+    assert all(r.evidence == -quality.MOST_EVIDENCE for r in got if r.doc_id in (-1, -2, -3))
+    assert quality.learn(docs, labels.filter("false"), F.col("quality") == 1, "doc_id") is None
+    unjudged = quality.rate(docs, None, "source", "lang").collect()
+    assert not any(r.rejected or r.posterior is not None for r in unjudged)
+    assert quality.rate(docs.filter("false"), model, "source", "lang").count() == 0

@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+
+from marlgrid.llm import repeats
+from marlgrid.llm.queries import op10_repeat_rules, read
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_repeats(words: list) -> list[int]:
+    n = len(words)
+    found = [0] * n
+    for i in range(n):
+        for j in range(n):
+            k = 0
+            while i != j and max(i, j) + k < n and words[i + k] == words[j + k]:
+                k += 1
+            found[i] = max(found[i], k)
+    return found
+
+
+def brute(text: str | None) -> tuple:
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    in_repeat = set()
+    for i, window in enumerate(windows):
+        if windows.count(window) > 1:
+            in_repeat.update((i, i + 1, i + 2))
+    lengths = brute_repeats(words)
+    covered = {i + k for i, n in enumerate(lengths) if n >= repeats.MIN_WORDS for k in range(n)}
+    n, longest = len(words), max(lengths, default=0)
+    failed = n < 50 or 100 * len(in_repeat) > 50 * n
+    bad = 100 * len(covered) > repeats.MAX_COVERED_PERCENT * n
+    bad = bad or 100 * longest > repeats.MAX_LONGEST_PERCENT * n
+    return (
+        n,
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        sum(line in lines[:i] for i, line in enumerate(lines)),
+        len(in_repeat),
+        failed,
+        not failed and not bad,
+        len(covered),
+        longest,
+    )
+
+
+def awkward_texts() -> list[str | None]:
+    rng = random.Random(3)
+    texts = [None, "", " \n\t ", "one", "é ü\x0bñ\u00a0x\u2003y", "a\n\na\n a\nb", "#*$ %&|<> x"]
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts += [f"{passage} middle {passage}", passage + " " + "x y z " * 40, "ab " * 300]
+    for _ in range(40):
+        n, kinds = rng.randrange(1, 160), rng.choice([2, 10, 500])
+        words = [f"w{rng.randrange(kinds)}" for _ in range(n)]
+        if rng.random() < 0.5:
+            words += words[: n // 2]
+        texts.append("".join(w + rng.choice([" ", "  ", "\n"]) for w in words))
+    return [*texts, *texts[-3:]]
+
+
+def test_suffix_array():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        n = int(rng.integers(1, 40))
+        symbols = rng.integers(0, rng.integers(1, 6), n).astype(np.uint64)
+        order, lcp, repeat = repeats.repeat_lengths(symbols)
+        words = symbols.tolist()
+        assert order.tolist() == sorted(range(n), key=lambda i: words[i:])
+        assert repeat.tolist() == brute_repeats(words)
+        for p in range(1, n):
+            a, b, k = order[p - 1], order[p], lcp[p]
+            assert words[a : a + k] == words[b : b + k]
+            assert a + k == n or b + k == n or words[a + k] != words[b + k]
+
+
+def test_against_brute_force(spark):
+    rows = [(i, text, 7) for i, text in enumerate(awkward_texts())]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, kept int")
+    for row in repeats.repeat_rules(docs).collect():
+        names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept"
+        got = tuple(row[c] for c in [*names.split(), "covered_words", "longest_repeat"])
+        assert got == brute(rows[row.doc_id][1]), rows[row.doc_id]
+        spans = list(zip(row.span_starts, row.span_ends))
+        assert sum(b - a for a, b in spans) == row.covered_words
+        assert all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_no_rows(spark):
+    docs = spark.createDataFrame([], "doc_id int, text string")
+    assert repeats.repeat_rules(docs).count() == 0
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in read(spark, SF, "documents").collect()}
+    got = op10_repeat_rules(spark, SF).collect()
+    assert len(got) == len(texts)
+    short = [row for row in got if row.n_words < 400]
+    assert short
+    for row in short:
+        assert tuple(row)[1:] == brute(texts[row.doc_id])

@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from graphs import components
+
+from marlgrid.llm import vectors
+from marlgrid.llm.queries import op3_near_vectors, read
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(rows: list[tuple], least: float = 0.9) -> list[tuple]:
+    units = []
+    for _, vector in rows:
+        numbers = np.array([np.nan if x is None else x for x in vector or []], np.float64)
+        usable = len(numbers) and np.isfinite(numbers).all() and numbers.any()
+        units.append(numbers / np.linalg.norm(numbers) if usable else None)
+    n_links, links = [0] * len(rows), []
+    for i, a in enumerate(units):
+        for j, b in enumerate(units[:i]):
+            if a is not None and b is not None and len(a) == len(b) and a @ b >= least:
+                links.append((i, j))
+                n_links[i] += 1
+                n_links[j] += 1
+    # Nodes are rows in order of their keys, so that the lowest row has the lowest key.
+    lowest = components(list(range(len(rows))), links)
+    return [
+        (key, n_links[i], rows[lowest[i]][0], rows[lowest[i]][0] == key)
+        for i, (key, _) in enumerate(rows)
+    ]
+
+
+def awkward_vectors() -> list[tuple]:
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(12, 6))
+    found: list = [
+        (centers[rng.integers(12)] + rng.normal(size=6) * rng.choice([0, 0.1, 0.3]))
+        .astype(np.float32)
+        .tolist()
+        for _ in range(250)
+    ]
+    found += [None, [], [0.0] * 6, [float("nan")] * 6, [1.0, None, 0.0, 0.0, 0.0, 0.0]]
+    found += [[float("inf")] * 6, [1.0, 2.0], [1.0, 2.0], [1e-30] * 6, [1e30] * 6]
+    found += found[:5] + [found[7]] * 60
+    rng.shuffle(order := np.arange(len(found)))
+    return [(1_000 + i, found[int(k)]) for i, k in enumerate(order)]
+
+
+@pytest.mark.parametrize(("interval", "leaf"), [(8_192, 512), (32, 4)])
+def test_against_brute_force(spark, monkeypatch, interval, leaf):
+    monkeypatch.setattr(vectors, "INTERVAL", interval)
+    monkeypatch.setattr(vectors, "LEAF", leaf)
+    rows = awkward_vectors()
+    table = spark.createDataFrame(
+        [(*row, 1) for row in rows], "vec_id bigint, embedding array<float>, kept int"
+    )
+    got = sorted(tuple(r) for r in vectors.near_vectors(table).collect())
+    single = [
+        (key, v and [None if x is None else float(np.float32(x)) for x in v]) for key, v in rows
+    ]
+    assert got == sorted(brute(single))
+
+
+def test_repeated_rows_and_no_rows(spark):
+    schema = "vec_id bigint, embedding array<float>"
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.1]), (None, [0.0, 1.0]), (3, None)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(tuple(r) for r in got if r.vec_id) == [
+        (1, 2, 1, True),
+        (1, 2, 1, True),
+        (2, 2, 1, False),
+        (3, 0, 3, True),
+    ]
+    assert vectors.near_vectors(spark.createDataFrame([], schema)).count() == 0
+    useless = spark.createDataFrame([(1, None), (2, [0.0])], schema)
+    assert vectors.near_vectors(useless).agg({"n_links": "sum"}).first()[0] == 0
+
+
+def test_distant_parts_are_skipped(monkeypatch):
+    near, far = np.eye(8)[0] + np.zeros((64, 8)), np.eye(8)[1] + np.zeros((64, 8))
+    units = vectors.unit_rows(np.concatenate([near, far]))
+    tile = vectors.TileJoin(units, np.full(128, 8), np.ones(128), np.eye(8)[:, :4], 0.9)
+    compared = []
+    monkeypatch.setattr(vectors, "LEAF", 16)
+    monkeypatch.setattr(tile, "compare", lambda a, b, same: compared.append((a.start, b.start)))
+    tile.join(slice(0, 128), slice(0, 128))
+    assert compared and all((a < 64) == (b < 64) for a, b in compared)
+
+
+def test_query(spark):
+    rows = [(r.vec_id, r.embedding) for r in read(spark, SF, "embeddings").collect()]
+    got = sorted(tuple(r) for r in op3_near_vectors(spark, SF).collect())
+    assert got == brute(sorted(rows))
