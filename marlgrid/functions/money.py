@@ -13,9 +13,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Beyond this a number of units does not fit a bigint.
+BIGINT_END = 2.0**63
+
+
 def units(col: Column, scale: int = 2) -> Column:
-    """The amount in whole units of ``10**-scale``, as bigint."""
-    return F.rint(col * F.lit(10.0**scale)).cast("bigint")
+    """The amount in whole units of ``10**-scale``, as bigint.
+
+    An amount that is not a whole number of units, not finite or too large for a
+    bigint fails the query, whatever ``spark.sql.ansi.enabled`` says. What a double
+    is off by its own rounding does not count.
+    """
+    value = col * F.lit(10.0**scale)
+    whole = F.rint(value)
+    # Not true of NaN, which Spark puts above every number, nor of infinities.
+    near = F.abs(value - whole) <= F.lit(1e-6) + F.abs(value) * F.lit(2.0**-50)
+    fits = near & (F.abs(value) < F.lit(BIGINT_END))
+    text = F.concat(F.lit(f"not a whole number of 1e-{scale} units: "), col.cast("string"))
+    return F.when(col.isNull() | fits, whole.cast("bigint")).otherwise(F.raise_error(text))
 
 
 def exact_sum(units_col: Column) -> Column:

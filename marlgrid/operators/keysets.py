@@ -1,19 +1,18 @@
-"""Comparison of the keys of two tables, as sets and as multisets."""
+"""Comparison of two collections of keys, as sets and as multisets.
+
+All of it follows from how many rows each side has per key. One shuffle serves for
+that, and it carries at most one row per key and map task, so a key with most of the rows
+does no harm. Nulls form one key, as in SQL set operations.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def key_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """One row per key of either side, with ``left_rows`` and ``right_rows``.
-
-    Union, intersect and except, with or without duplicates, all follow from these
-    counts. One shuffle serves them, and it carries at most one row per key and
-    map task, so a key with most of the rows does no harm. Nulls form one key, as
-    in SQL set operations.
-    """
+    """One row per key of either table, with ``left_rows`` and ``right_rows``."""
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     both = left.select(key, one.alias("left_rows"), none.alias("right_rows")).unionByName(
         right.select(key, none.alias("left_rows"), one.alias("right_rows"))
@@ -23,37 +22,65 @@ def key_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     )
 
 
-def key_union(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def side_counts(df: DataFrame, key: str, left: Column, right: Column) -> DataFrame:
+    """The same for two sides of one table, which is read once; rows of neither do not count."""
+    return (
+        df.groupBy(key)
+        .agg(F.count_if(left).alias("left_rows"), F.count_if(right).alias("right_rows"))
+        .filter("left_rows > 0 OR right_rows > 0")
+    )
+
+
+def union_of(counts: DataFrame, key: str) -> DataFrame:
     """``UNION``: keys of either side, once each."""
-    return left.select(key).union(right.select(key)).distinct()
+    return counts.select(key)
 
 
-def key_intersect(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def intersect_of(counts: DataFrame, key: str) -> DataFrame:
     """``INTERSECT``: keys of both sides, once each."""
-    counts = key_counts(left, right, key)
     return counts.filter("left_rows > 0 AND right_rows > 0").select(key)
 
 
-def key_except(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def except_of(counts: DataFrame, key: str) -> DataFrame:
     """``EXCEPT``: keys of the left side only, once each."""
-    counts = key_counts(left, right, key)
     return counts.filter("left_rows > 0 AND right_rows = 0").select(key)
 
 
-def key_intersect_all(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def intersect_all_of(counts: DataFrame, key: str) -> DataFrame:
     """``INTERSECT ALL``, with each key's number of ``copies`` instead of repeated rows."""
-    counts = key_counts(left, right, key)
-    return counts.select(key, F.least("left_rows", "right_rows").alias("copies")).filter(
-        "copies > 0"
-    )
+    copies = F.least("left_rows", "right_rows").alias("copies")
+    return counts.select(key, copies).filter("copies > 0")
 
 
-def key_except_all(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def except_all_of(counts: DataFrame, key: str) -> DataFrame:
     """``EXCEPT ALL``, with each key's number of ``copies`` instead of repeated rows."""
-    counts = key_counts(left, right, key)
-    return counts.select(key, (F.col("left_rows") - F.col("right_rows")).alias("copies")).filter(
-        "copies > 0"
-    )
+    copies = (F.col("left_rows") - F.col("right_rows")).alias("copies")
+    return counts.select(key, copies).filter("copies > 0")
+
+
+def key_union(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``union_of`` two tables."""
+    return union_of(key_counts(left, right, key), key)
+
+
+def key_intersect(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``intersect_of`` two tables."""
+    return intersect_of(key_counts(left, right, key), key)
+
+
+def key_except(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``except_of`` two tables."""
+    return except_of(key_counts(left, right, key), key)
+
+
+def key_intersect_all(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``intersect_all_of`` two tables."""
+    return intersect_all_of(key_counts(left, right, key), key)
+
+
+def key_except_all(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``except_all_of`` two tables."""
+    return except_all_of(key_counts(left, right, key), key)
 
 
 def key_set_summary(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

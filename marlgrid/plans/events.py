@@ -7,19 +7,19 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlgrid.functions.money import amount, exact_sum, units
+from marlgrid.functions.money import amount, exact_sum
 from marlgrid.functions.properties import json_field
 from marlgrid.operators.aggregates import window_sums
-from marlgrid.operators.asof import carry_forward
+from marlgrid.operators.asof import asof_join, carry_forward
 from marlgrid.operators.sessions import sessionize
-from marlgrid.sources.tables import read_table
+from marlgrid.sources.tables import read_table, units_of
 
 SESSION_GAP = timedelta(hours=6)
 
 
 def event_sums() -> dict[str, Column]:
     """Number of events and their value in cents."""
-    return {"n_events": F.count("*"), "value_units": exact_sum(units(F.col("value")))}
+    return {"n_events": F.count("*"), "value_units": exact_sum(units_of("value"))}
 
 
 def daily_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,11 +68,32 @@ def last_view_before_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def last_click_before_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every error with the user's latest click strictly before it, if there is one."""
+    events = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    joined = asof_join(
+        events.filter(F.col("event_type") == "error").drop("event_type"),
+        events.filter(F.col("event_type") == "click").drop("event_type"),
+        by="user_id",
+        time="ts",
+        tie="event_id",
+        out="click",
+        inclusive=False,
+    )
+    return joined.select(
+        "user_id",
+        F.col("event_id").alias("error_id"),
+        F.col("ts").alias("error_ts"),
+        F.col("click.event_id").alias("click_id"),
+        F.col("click.ts").alias("click_ts"),
+    )
+
+
 def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's sessions, with a gap of six hours between them."""
     sums = {
         "n_purchases": F.count_if(F.col("event_type") == "purchase"),
-        "value_units": exact_sum(units(F.col("value"))),
+        "value_units": exact_sum(units_of("value")),
     }
     events = read_table(spark, sf_dir, "events")
     return sessionize(events, "user_id", "ts", SESSION_GAP, sums).select(

@@ -5,27 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlgrid.functions.money import amount, exact_sum, mean, units
+from marlgrid.functions.money import amount, exact_sum, mean
 from marlgrid.operators.aggregates import rollup_of_sums
 from marlgrid.operators.joins import parents_with_children, parents_without_children
 from marlgrid.operators.keysets import (
-    key_except_all,
-    key_intersect,
+    except_all_of,
+    except_of,
+    intersect_all_of,
+    intersect_of,
     key_set_summary,
-    key_union,
+    side_counts,
+    union_of,
 )
 from marlgrid.operators.ranking import top_k_per_group
-from marlgrid.sources.tables import read_table
+from marlgrid.sources.tables import read_table, units_of
 
 
 def _discounted() -> Column:
     """Discounted price of a line in units of 1e-4."""
-    return units(F.col("l_extendedprice")) * (100 - units(F.col("l_discount")))
+    return units_of("l_extendedprice") * (100 - units_of("l_discount"))
 
 
 def _charged() -> Column:
     """Discounted price with tax in units of 1e-6."""
-    return _discounted() * (100 + units(F.col("l_tax")))
+    return _discounted() * (100 + units_of("l_tax"))
 
 
 def _lines_by_place_and_year(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,9 +81,9 @@ def revenue_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line totals and means per return flag and line status, shipped by a date."""
     n = F.count("*")
-    quantity = exact_sum(units(F.col("l_quantity")))
-    price = exact_sum(units(F.col("l_extendedprice")))
-    discount = exact_sum(units(F.col("l_discount")))
+    quantity = exact_sum(units_of("l_quantity"))
+    price = exact_sum(units_of("l_extendedprice"))
+    discount = exact_sum(units_of("l_discount"))
     shipped = F.col("l_shipdate") <= F.lit("2001-09-02").cast("timestamp_ntz")
     return (
         read_table(spark, sf_dir, "lineitem")
@@ -109,14 +112,21 @@ def orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _in_quarter(date: str) -> Column:
+    """Whether a date lies in the first quarter of 1996."""
+    first, end = (F.lit(day).cast("timestamp_ntz") for day in ("1996-01-01", "1996-04-01"))
+    return (F.col(date) >= first) & (F.col(date) < end)
+
+
 def customers_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with at least one order."""
+    """Customers with at least one finished order of the first quarter of 1996."""
+    orders = read_table(spark, sf_dir, "orders").filter(
+        (F.col("o_orderstatus") == "F") & _in_quarter("o_orderdate")
+    )
     customers = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_mktsegment"
     )
-    return parents_with_children(
-        customers, read_table(spark, sf_dir, "orders"), "c_custkey", "o_custkey"
-    )
+    return parents_with_children(customers, orders, "c_custkey", "o_custkey")
 
 
 def top_customers_per_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +134,7 @@ def top_customers_per_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     spending = (
         read_table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
-        .agg(exact_sum(units(F.col("o_totalprice"))).alias("spent"))
+        .agg(exact_sum(units_of("o_totalprice")).alias("spent"))
     )
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     spent = spending.join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -134,34 +144,48 @@ def top_customers_per_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _parts_by_return_flag(
-    spark: SparkSession, sf_dir: str, left: str, right: str
-) -> tuple[DataFrame, DataFrame]:
-    lines = read_table(spark, sf_dir, "lineitem")
-    part = F.col("l_partkey").alias("partkey")
-    return (
-        lines.filter(F.col("l_returnflag") == left).select(part),
-        lines.filter(F.col("l_returnflag") == right).select(part),
+def _part_counts(spark: SparkSession, sf_dir: str, lines: Column | None = None) -> DataFrame:
+    """Returned and accepted lines per part, among ``lines`` or all: one scan, one shuffle."""
+    flag = F.col("l_returnflag")
+    chosen = read_table(spark, sf_dir, "lineitem").filter(flag.isin("R", "A"))
+    if lines is not None:
+        chosen = chosen.filter(lines)
+    return side_counts(
+        chosen.withColumnRenamed("l_partkey", "partkey"), "partkey", flag == "R", flag == "A"
     )
 
 
 def parts_returned_or_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts on a returned or an accepted line: ``UNION``."""
-    return key_union(*_parts_by_return_flag(spark, sf_dir, "R", "A"), "partkey")
+    """Parts on a returned or an accepted line shipped in the quarter: ``UNION``."""
+    return union_of(_part_counts(spark, sf_dir, _in_quarter("l_shipdate")), "partkey")
 
 
 def parts_returned_and_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts on a returned and on an accepted line: ``INTERSECT``."""
-    return key_intersect(*_parts_by_return_flag(spark, sf_dir, "R", "A"), "partkey")
+    """Parts on a returned and on an accepted line shipped in the quarter: ``INTERSECT``."""
+    return intersect_of(_part_counts(spark, sf_dir, _in_quarter("l_shipdate")), "partkey")
+
+
+def parts_returned_not_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts on a returned but no accepted line shipped in the quarter: ``EXCEPT``."""
+    return except_of(_part_counts(spark, sf_dir, _in_quarter("l_shipdate")), "partkey")
+
+
+def parts_returned_like_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many returned lines of a part have an accepted one: ``INTERSECT ALL``."""
+    return intersect_all_of(_part_counts(spark, sf_dir, _in_quarter("l_shipdate")), "partkey")
 
 
 def parts_returned_beyond_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many more returned than accepted lines a part has: ``EXCEPT ALL``."""
-    return key_except_all(*_parts_by_return_flag(spark, sf_dir, "R", "A"), "partkey")
+    return except_all_of(_part_counts(spark, sf_dir), "partkey")
 
 
 def part_set_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts in the catalogue against parts on returned lines."""
+    """Parts in the catalogue against parts on returned lines shipped in the quarter."""
     catalogue = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("partkey"))
-    returned, _ = _parts_by_return_flag(spark, sf_dir, "R", "A")
+    returned = (
+        read_table(spark, sf_dir, "lineitem")
+        .filter((F.col("l_returnflag") == "R") & _in_quarter("l_shipdate"))
+        .select(F.col("l_partkey").alias("partkey"))
+    )
     return key_set_summary(catalogue, returned, "partkey")

@@ -12,9 +12,9 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlgrid.functions.money import amount, units
+from marlgrid.functions.money import amount
 from marlgrid.plans.events import event_sums
-from marlgrid.sources.tables import stream_table
+from marlgrid.sources.tables import stream_table, units_of
 from marlgrid.streaming.dedup import drop_repeats
 from marlgrid.streaming.runner import run_once
 from marlgrid.streaming.spells import stream_spell_totals
@@ -53,9 +53,11 @@ def stream_deduplicated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events from a source that delivers every purchase twice, each once."""
 
     def build(session: SparkSession) -> DataFrame:
-        again = _events(session, sf_dir).filter(F.col("event_type") == "purchase")
-        delivered = _events(session, sf_dir).unionByName(again).withWatermark("ts", DELAY)
-        unique = drop_repeats(delivered, ["event_id"])
+        times = F.when(F.col("event_type") == "purchase", 2).otherwise(1)
+        delivered = _events(session, sf_dir).withColumn(
+            "_delivery", F.explode(F.sequence(F.lit(1), times))
+        )
+        unique = drop_repeats(delivered.drop("_delivery").withWatermark("ts", DELAY), ["event_id"])
         ts = F.col("ts").cast("timestamp_ntz").alias("ts")
         return unique.select("event_id", ts, "user_id", "event_type", "value")
 
@@ -67,7 +69,7 @@ def stream_user_spells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(session: SparkSession) -> DataFrame:
         events = _events(session, sf_dir).withWatermark("ts", DELAY)
-        events = events.select("ts", "user_id", units(F.col("value")).alias("units"))
+        events = events.select("ts", "user_id", units_of("value").alias("units"))
         spells = stream_spell_totals(events, "user_id", "ts", "units", SPELL_PANE, SPELL_IDLE)
         return spells.select(
             "user_id",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marlgrid.functions.money import units
 
 # Declared so that neither a batch read nor a stream has to infer them.
 SCHEMAS = {
@@ -32,6 +35,25 @@ SCHEMAS = {
 }
 
 
+# Decimals of the amounts that are stored as doubles.
+DECIMALS = {
+    "c_acctbal": 2,
+    "s_acctbal": 2,
+    "p_retailprice": 2,
+    "o_totalprice": 2,
+    "l_quantity": 2,
+    "l_extendedprice": 2,
+    "l_discount": 2,
+    "l_tax": 2,
+    "value": 2,
+}
+
+
+def units_of(name: str) -> Column:
+    """The amount column ``name`` in whole units, by its declared decimals."""
+    return units(F.col(name), DECIMALS[name])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Batch read of one table. ``{name}.parquet`` may be a file or a folder of files."""
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")

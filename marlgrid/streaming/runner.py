@@ -14,16 +14,18 @@ def stream_session(spark: SparkSession) -> SparkSession:
 
     Event time needs ``timestamp``; with the session in UTC the cast from
     ``timestamp_ntz`` does not move a value. Custom state needs the RocksDB store,
-    which also keeps state off the JVM heap and saves only the changes of a batch.
+    which also keeps state off the JVM heap and saves only the changes of a batch. All
+    other settings are those of the caller's session.
     """
     session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set(
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
     )
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    session.conf.set("spark.sql.shuffle.partitions", partitions)
     return session
 
 

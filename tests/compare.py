@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 import duckdb
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+import __spark_entry__ as contract
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
 
+# Queries of this part of the library; the others are tested beside their operators.
+OWN = [name for name in contract.queries() if not re.match(r"op\d+_|pipeline$", name)]
+
 # Arrow types that count as the same on both sides.
 SAME_TYPE = {
     "large_string": "string",

@@ -22,6 +22,8 @@ from marlgrid.operators.keysets import (
     key_intersect_all,
     key_set_summary,
     key_union,
+    side_counts,
+    union_of,
 )
 from marlgrid.operators.ranking import top_k_per_group
 from marlgrid.operators.sessions import sessionize
@@ -84,9 +86,10 @@ def brute_sessions(rows, gap):
     return result
 
 
-@pytest.mark.parametrize("rows_per_task", [7, 60, 10_000])
+# Slices of one bucket, of a few, and one slice.
+@pytest.mark.parametrize("buckets_per_slice", [1, 5, 100_000])
 @pytest.mark.parametrize("gap", [timedelta(minutes=30), timedelta(hours=2), timedelta(seconds=1)])
-def test_sessionize(spark, rows_per_task, gap):
+def test_sessionize(spark, buckets_per_slice, gap):
     rows = awkward_events(seed=11)
     sums = {
         "buys": F.count_if(F.col("kind") == "purchase"),
@@ -94,12 +97,22 @@ def test_sessionize(spark, rows_per_task, gap):
     }
     timeless = [(1000 + i, user, None, "view", 1.0) for i, user in enumerate([1, 1, 99, None])]
     events = events_frame(spark, rows + timeless)
-    sessions = sessionize(events, "user", "ts", gap, sums, rows_per_task)
+    sessions = sessionize(events, "user", "ts", gap, sums, buckets_per_slice)
     got = [tuple(r) for r in sessions.collect()]
     assert len(got) == len(set(got))
     assert {(*r[:5], int(r[5])) for r in got} == brute_sessions(rows, gap)
 
 
+def test_a_hot_key_with_a_short_gap_is_ordered_in_slices(spark):
+    """Every event is a session of its own, and no task gets them all."""
+    ts = F.timestamp_seconds(F.lit(1_700_000_000) + 3 * F.col("id")).cast("timestamp_ntz")
+    events = spark.range(0, 20_000, 1, 4).select(F.lit(1).alias("user"), ts.alias("ts"))
+    sessions = sessionize(events, "user", "ts", timedelta(seconds=1), {}, buckets_per_slice=600)
+    assert sessions.count() == 20_000 and sessions.agg(F.max("n_events")).first()[0] == 1
+    together = sessionize(events, "user", "ts", timedelta(seconds=3), {}, buckets_per_slice=50)
+    assert [r.n_events for r in together.collect()] == [20_000]
+
+
 @pytest.mark.parametrize("panes", [1, 4])
 def test_window_sums(spark, panes):
     rows = awkward_events(seed=5)
@@ -200,6 +213,34 @@ def test_money_is_exact(spark):
     assert row[2] == float(want) / 500
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "value", [0.125, 0.004, -7.001, float("nan"), float("inf"), -float("inf"), 1e20, -1e17]
+)
+def test_an_amount_that_is_no_number_of_units_fails(spark, conf, ansi, value):
+    conf("spark.sql.ansi.enabled", ansi)
+    df = spark.createDataFrame([(1.0,), (value,)], "v double")
+    with pytest.raises(Exception, match="not a whole number of 1e-2 units"):
+        df.agg(exact_sum(units(F.col("v")))).collect()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_rounding_of_doubles_is_no_loss(spark, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    cents = [7, 29, 57, 115, 1_000_000_000_001, 90_071_992_547_409, -57, 0]
+    df = spark.createDataFrame([(c / 100,) for c in cents] + [(None,)], "v double")
+    assert [r[0] for r in df.select(units(F.col("v"))).collect()] == [*cents, None]
+    assert df.select(units(F.col("v"), 4)).first()[0] == 700
+
+
+def test_sides_of_one_table(spark):
+    rows = [(1, "a"), (1, "b"), (2, "a"), (None, "b"), (3, "c"), (1, "a"), (4, None)]
+    df = spark.createDataFrame(rows, "k bigint, side string")
+    counts = side_counts(df, "k", F.col("side") == "a", F.col("side") == "b")
+    assert {tuple(r) for r in counts.collect()} == {(1, 2, 1), (2, 1, 0), (None, 0, 1)}
+    assert {r.k for r in union_of(counts, "k").collect()} == {1, 2, None}
+
+
 def test_exact_sum_beyond_bigint(spark):
     big = 9 * 10**17 + 123_456_789
     df = spark.range(40).select(F.lit(big).alias("u"))

@@ -20,9 +20,12 @@ BATCH = [
     star.top_customers_per_segment,
     star.parts_returned_or_accepted,
     star.parts_returned_and_accepted,
+    star.parts_returned_not_accepted,
+    star.parts_returned_like_accepted,
     star.parts_returned_beyond_accepted,
     star.part_set_summary,
     events.last_view_before_purchase,
+    events.last_click_before_error,
     events.user_sessions,
     events.daily_event_counts,
     events.sliding_event_counts,
@@ -64,10 +67,15 @@ def test_no_cross_join_and_no_python(spark, large, query):
         (star.top_customers_per_segment, 3),
         (star.parts_returned_or_accepted, 1),
         (star.parts_returned_and_accepted, 1),
+        (star.parts_returned_not_accepted, 1),
+        (star.parts_returned_like_accepted, 1),
         (star.parts_returned_beyond_accepted, 1),
         (star.part_set_summary, 2),
         (events.last_view_before_purchase, 1),
-        (events.user_sessions, 1),
+        (events.last_click_before_error, 1),
+        # Rows per key and bucket; those in slices; the edges of slices. The second branch
+        # of the union reads the shuffles of the first again.
+        (events.user_sessions, 5),
         (events.daily_event_counts, 1),
         (events.sliding_event_counts, 2),
         (events.event_property_stats, 2),
@@ -89,12 +97,26 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "LessThanOrEqual(l_shipdate" in text
     assert "l_comment" not in text and "l_orderkey" not in text
     text = plan(star.parts_returned_and_accepted(spark, SF))
-    assert "EqualTo(l_returnflag,R)" in text and "l_extendedprice" not in text
+    assert "In(l_returnflag, [A,R])" in text.replace("R,A", "A,R")
+    assert "GreaterThanOrEqual(l_shipdate" in text and "l_extendedprice" not in text
     text = plan(events.last_view_before_purchase(spark, SF))
     assert "In(event_type, [purchase,view])" in text.replace("view,purchase", "purchase,view")
     assert "props" not in text
 
 
+@pytest.mark.parametrize("query", [q for q in BATCH if q.__name__.startswith("parts_")])
+def test_both_sides_come_from_one_scan(spark, query):
+    assert plan(query(spark, SF)).count("FileScan") == 1
+
+
+def test_no_job_runs_while_sessions_are_planned(spark):
+    spark.sparkContext.setJobGroup("planning", "planning")
+    events.user_sessions(spark, SF)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert not list(jobs)
+
+
 def test_top_k_is_cut_before_the_shuffle(spark):
     text = plan(star.top_customers_per_segment(spark, SF))
     final, partial = text.index("10, Final"), text.index("10, Partial")

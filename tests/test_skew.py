@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import partial
 
 import pytest
-from compare import TABLES, assert_same, duck
+from compare import OWN, TABLES, assert_same, duck
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -52,21 +52,25 @@ def scale(conf):
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "16000")
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", OWN)
 def test_query_on_skewed_tables(spark, skewed, scale, name):
     query, sql = contract.queries()[name], contract.oracle_sql()[name]
     assert assert_same(query(spark, skewed), skewed_duck(skewed), sql) > 0
 
 
-@pytest.mark.parametrize(
-    ("name", "operator"),
-    [("last_view_before_purchase", "carry_forward"), ("user_sessions", "sessionize")],
-)
-def test_query_with_long_keys(spark, skewed, scale, monkeypatch, name, operator):
-    limited = partial(getattr(events, operator), rows_per_task=1000)
-    monkeypatch.setattr(events, operator, limited)
+def test_query_with_long_keys(spark, skewed, scale, monkeypatch):
+    limited = partial(events.carry_forward, rows_per_task=1000)
+    monkeypatch.setattr(events, "carry_forward", limited)
+    name = "last_view_before_purchase"
     query, sql = contract.queries()[name], contract.oracle_sql()[name]
     result = query(spark, skewed)
     # The written table of long keys is joined, so a key was long.
     assert "long-keys" in result._jdf.queryExecution().executedPlan().toString()
     assert assert_same(result, skewed_duck(skewed), sql) > 0
+
+
+def test_sessions_in_many_slices(spark, skewed, scale, monkeypatch):
+    sliced = partial(events.sessionize, buckets_per_slice=3)
+    monkeypatch.setattr(events, "sessionize", sliced)
+    query, sql = contract.queries()["user_sessions"], contract.oracle_sql()["user_sessions"]
+    assert assert_same(query(spark, skewed), skewed_duck(skewed), sql) > 0

@@ -127,6 +127,37 @@ def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path):
     assert feed.add(event(1, 0.5), event(89, 0.6), event(100, 0.7)).run() == want
 
 
+def test_state_of_repeats_falls_between_batches(spark, tmp_path):
+    """Files in time order, worked off in several micro-batches: no row is lost."""
+
+    def held():
+        state = spark.read.format("statestore").load(f"{tmp_path}/checkpoint")
+        return state.count()
+
+    feed = Feed(spark, tmp_path, lambda e: drop_repeats(e, ["event_id"]).select("event_id"))
+    sizes = []
+    for batch in range(6):
+        rows = [event(100 * batch + i, 3 * batch + 0.02 * i) for i in range(100)]
+        late = [event(100 * batch - 1, 3 * (batch - 1) + 1.98)] * 2 if batch else []
+        got = feed.add(*rows, *rows[:30], *late).run()
+        sizes.append(held())
+    assert [r[0] for r in got] == list(range(600))
+    assert max(sizes) < 300
+
+
+def test_a_stream_keeps_the_settings_of_the_caller(spark, conf):
+    conf("spark.sql.ansi.enabled", "false")
+    conf("spark.sql.files.maxPartitionBytes", "1000000")
+    conf("spark.sql.session.timeZone", "America/New_York")
+    session = stream_session(spark)
+    assert session.conf.get("spark.sql.ansi.enabled") == "false"
+    assert session.conf.get("spark.sql.files.maxPartitionBytes") == "1000000"
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert session.conf.get("spark.sql.shuffle.partitions") == spark.conf.get(
+        "spark.sql.shuffle.partitions"
+    )
+
+
 def spells(events, idle=timedelta(hours=3)):
     events = events.select("ts", "user_id", units(F.col("value")).alias("units"))
     pane = timedelta(hours=1)
