@@ -21,16 +21,23 @@ OUTPUT = (
     "spell_n bigint, spell_units bigint"
 )
 
+# Columns of a bucket's state, one row of bigints per key.
+KEYLESS, KEY, END, N, UNITS = range(5)
 
-def _running(values: np.ndarray, opens: np.ndarray, carried: int) -> np.ndarray:
-    """Running totals that go on from ``carried`` and start again where ``opens``."""
-    total = carried + np.cumsum(values)
-    opened = np.maximum.accumulate(np.where(opens, np.arange(len(values)), -1))
-    return np.where(opened >= 0, total - (total - values)[opened], total)
+
+def _running(values: np.ndarray, opens: np.ndarray, carried: np.ndarray) -> np.ndarray:
+    """Running totals that start again where ``opens``, from the ``carried`` value there."""
+    total = np.cumsum(values)
+    opened = np.maximum.accumulate(np.where(opens, np.arange(len(values)), 0))
+    return total - (total - values)[opened] + carried[opened]
 
 
 class SpellTotals(StatefulProcessor):
-    """Adds running totals to a key's panes; forgets the key after ``idle`` seconds."""
+    """Adds running totals to the panes of a bucket of keys; forgets keys idle for ``idle`` seconds.
+
+    All keys of a bucket are kept in one value and computed in one pass, so the
+    calls, and the requests for state, grow with the buckets and not with the keys.
+    """
 
     def __init__(self, pane: int, idle: int) -> None:
         self.pane = pane
@@ -38,29 +45,44 @@ class SpellTotals(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.spell = handle.getValueState("spell", "spell_end bigint, n bigint, units bigint")
+        self.spells = handle.getValueState("spells", "rows binary, timer bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # A key has one row per pane, so this grows with time covered, not with events.
         panes = pd.concat(list(rows), ignore_index=True)
-        panes = panes.iloc[np.argsort(panes["pane_start"].to_numpy())]
-        start, n, units = (panes[name].to_numpy() for name in ["pane_start", "n", "units"])
-        old_end, old_n, old_units = self.spell.get() or (None, 0, 0)
-
-        previous_end = np.concatenate([[start[0] if old_end is None else old_end], start[:-1]])
-        previous_end[1:] += self.pane
-        opens = start - previous_end >= self.idle
-        spell_n = _running(n, opens, old_n)
-        spell_units = _running(units, opens, old_units)
-
-        end = int(start[-1]) + self.pane
-        self.spell.update((end, int(spell_n[-1]), int(spell_units[-1])))
-        if old_end is None:
-            self.handle.registerTimer(self.expiry_ms(end))
+        names = ["keyless", "key", "pane_start", "n", "units"]
+        keyless, keys, start, n, units = (panes[c].to_numpy().astype(np.int64) for c in names)
+        order = np.lexsort((start, keys, keyless))
+        keyless, keys, start, n, units = (x[order] for x in (keyless, keys, start, n, units))
+        first = np.ones(len(keys), bool)
+        first[1:] = (keys[1:] != keys[:-1]) | (keyless[1:] != keyless[:-1])
+
+        old, timer = self.load()
+        known = {(row[KEYLESS], row[KEY]): i for i, row in enumerate(old.tolist())}
+        heads = np.flatnonzero(first)
+        place = np.array([known.get(k, -1) for k in zip(keyless[heads], keys[heads])], np.int64)
+        met = place >= 0
+        previous_end = np.concatenate([[0], start[:-1] + self.pane])
+        previous_end[heads] = start[heads]
+        previous_end[heads[met]] = old[place[met], END]
+        # A spell that goes on takes up its totals; every other one starts from nothing.
+        idle = start - previous_end >= self.idle
+        spell_n, spell_units = (
+            _running(values, first | idle, self.carried(old, c, place, heads, idle))
+            for values, c in ((n, N), (units, UNITS))
+        )
+
+        lasts = np.concatenate([heads[1:], [len(keys)]]) - 1
+        new = np.column_stack(
+            [keyless, keys, start + self.pane, spell_n, spell_units]
+        )[lasts]
+        left = np.ones(len(old), bool)
+        left[place[met]] = False
+        self.store(np.concatenate([old[left], new]), timer, timerValues)
         yield pd.DataFrame(
             {
-                "keyless": key[0],
-                "key": key[1],
+                "keyless": keyless.astype(bool),
+                "key": keys,
                 "pane_start": start,
                 "n": n,
                 "units": units,
@@ -69,17 +91,36 @@ class SpellTotals(StatefulProcessor):
             }
         )
 
-    def expiry_ms(self, end: int) -> int:
-        """When every pane that could continue a spell up to ``end`` has arrived."""
-        return (end + self.idle + self.pane) * 1000
+    @staticmethod
+    def carried(old, column: int, place, heads, idle) -> np.ndarray:
+        """What the first pane of each key takes up from the state."""
+        carried = np.zeros(len(idle), np.int64)
+        goes_on = (place >= 0) & ~idle[heads]
+        carried[heads[goes_on]] = old[place[goes_on], column]
+        return carried
+
+    def load(self) -> tuple[np.ndarray, int | None]:
+        value = self.spells.get()
+        if value is None:
+            return np.zeros((1, 5), np.int64)[:0], None
+        return np.frombuffer(value[0], np.int64).reshape(-1, 5), value[1]
+
+    def store(self, rows: np.ndarray, timer: int | None, timerValues) -> None:
+        """Keeps the keys whose spells can go on, and one timer for when the first cannot."""
+        # A pane that could continue a spell has ended by then, and so has arrived.
+        expiry = (rows[:, END] + self.idle + self.pane) * 1000
+        alive = expiry > timerValues.getCurrentWatermarkInMs()
+        rows, expiry = rows[alive], expiry[alive]
+        if len(rows) and timer is None:
+            timer = int(expiry.min())
+            self.handle.registerTimer(timer)
+        if len(rows) or timer is not None:
+            self.spells.update((rows.tobytes(), timer))
+        else:
+            self.spells.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # A key keeps one timer, which is set anew only when it has run out too early.
-        expiry = self.expiry_ms(self.spell.get()[0])
-        if expiry > expiredTimerInfo.getExpiryTimeInMs():
-            self.handle.registerTimer(expiry)
-        else:
-            self.spell.clear()
+        self.store(self.load()[0], None, timerValues)
         return iter(())
 
     def close(self) -> None:
@@ -87,7 +128,13 @@ class SpellTotals(StatefulProcessor):
 
 
 def stream_spell_totals(
-    stream: DataFrame, by: str, time: str, units: str, pane: timedelta, idle: timedelta
+    stream: DataFrame,
+    by: str,
+    time: str,
+    units: str,
+    pane: timedelta,
+    idle: timedelta,
+    buckets: int = 256,
 ) -> DataFrame:
     """Per key and ``pane``: event count and units, and their running totals in the spell.
 
@@ -97,14 +144,18 @@ def stream_spell_totals(
     and pane however many events a key has. Panes arrive when the watermark has
     passed their end, hence in order. State is dropped by a timer once no pane
     can continue the spell.
+
+    Keys are held in ``buckets`` by hash, 40 bytes a key, and a bucket is rewritten when any
+    of its keys has a pane: take enough of them for some ten thousand live keys each. The
+    number belongs to the state and must stay the same when a stream is taken up again.
     """
     pane_seconds, idle_seconds = int(pane.total_seconds()), int(idle.total_seconds())
-    # The state function would be called for every single row of a null key, so null
-    # is told from 0 by a column of its own.
     panes = (
         stream.groupBy(F.window(time, f"{pane_seconds} seconds").alias("_window"), by)
         .agg(F.count("*").alias("n"), F.coalesce(F.sum(units), F.lit(0)).alias("units"))
         .select(
+            F.pmod(F.xxhash64(by), F.lit(buckets)).alias("bucket"),
+            # A null key is told from 0 by a column of its own.
             F.col(by).isNull().alias("keyless"),
             F.coalesce(by, F.lit(0)).alias("key"),
             F.unix_seconds(F.col("_window.start")).alias("pane_start"),
@@ -114,7 +165,7 @@ def stream_spell_totals(
         )
     )
     return (
-        panes.groupBy("keyless", "key")
+        panes.groupBy("bucket")
         .transformWithStateInPandas(
             statefulProcessor=SpellTotals(pane_seconds, idle_seconds),
             outputStructType=OUTPUT,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from marlgrid.functions.money import exact_sum, units
 from marlgrid.sources.tables import SCHEMAS
 from marlgrid.streaming.dedup import drop_repeats
 from marlgrid.streaming.runner import append_available, stream_session
-from marlgrid.streaming.spells import stream_spell_totals
+from marlgrid.streaming.spells import KEY, stream_spell_totals
 from marlgrid.streaming.windows import stream_window_sums
 
 DAY = datetime(2024, 5, 1)
@@ -158,10 +159,10 @@ def test_a_stream_keeps_the_settings_of_the_caller(spark, conf):
     )
 
 
-def spells(events, idle=timedelta(hours=3)):
+def spells(events, idle=timedelta(hours=3), buckets=4):
     events = events.select("ts", "user_id", units(F.col("value")).alias("units"))
     pane = timedelta(hours=1)
-    result = stream_spell_totals(events, "user_id", "ts", "units", pane, idle)
+    result = stream_spell_totals(events, "user_id", "ts", "units", pane, idle, buckets)
     return result.select("user_id", "pane_start", "n", "spell_n", "spell_units")
 
 
@@ -181,14 +182,15 @@ def brute_spells(rows, closed, idle):
     return result
 
 
+@pytest.mark.parametrize("buckets", [1, 3])
 @pytest.mark.parametrize("idle", [timedelta(hours=3), timedelta(minutes=90)])
-def test_spells_run_on_over_batches_and_end_when_idle(spark, tmp_path, idle):
+def test_spells_run_on_over_batches_and_end_when_idle(spark, tmp_path, idle, buckets):
     rows = []
     for i in range(120):
         user = 1 if i % 3 == 0 else 2 + i % 4
         gap = 5 * (i // 40) + (3 if i // 20 == 3 else 0)
         rows.append(event(i, 0.21 * i + gap, user=user, value=0.01 * i))
-    feed = Feed(spark, tmp_path, lambda events: spells(events, idle))
+    feed = Feed(spark, tmp_path, lambda events: spells(events, idle, buckets))
     for start in range(0, 120, 30):
         got = feed.add(*rows[start : start + 30]).run()
     want = brute_spells(rows, max(r[1] for r in rows) - timedelta(hours=1), idle)
@@ -200,8 +202,9 @@ def test_spells_run_on_over_batches_and_end_when_idle(spark, tmp_path, idle):
 def test_spell_state_is_dropped_when_idle(spark, tmp_path):
     def users_in_state():
         reader = spark.read.format("statestore").option("operatorId", 0)
-        state = reader.option("stateVarName", "spell").load(f"{tmp_path}/checkpoint")
-        return {r["key"]["key"] for r in state.collect()}
+        state = reader.option("stateVarName", "spells").load(f"{tmp_path}/checkpoint")
+        kept = [np.frombuffer(r["value"]["rows"], np.int64) for r in state.collect()]
+        return {int(key) for rows in kept for key in rows.reshape(-1, 5)[:, KEY]}
 
     feed = Feed(spark, tmp_path, spells)
     feed.add(event(1, 0.5, user=1), event(2, 0.5, user=2), event(3, 2.5, user=2)).run()
