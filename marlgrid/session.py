@@ -59,6 +59,11 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix="marlgrid-")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that holds what this application has written."""
+    return f"{shared_dir(spark)}/marlgrid/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/marlgrid/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"

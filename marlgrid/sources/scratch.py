@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from marlgrid.session import scratch_path
+from marlgrid.session import scratch_dir, scratch_path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -18,3 +18,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Removes every table and stream checkpoint that this application has written.
+
+    To be called when the results that read them are done with: a result is lazy, and
+    reads its intermediate tables only when it is itself computed.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

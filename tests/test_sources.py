@@ -6,8 +6,9 @@ from types import SimpleNamespace
 
 import pytest
 
+import marlgrid.session
 from marlgrid.session import scratch_path, shared_dir
-from marlgrid.sources.scratch import materialize
+from marlgrid.sources.scratch import materialize, remove_scratch
 from marlgrid.sources.tables import SCHEMAS, read_table, stream_table
 from marlgrid.streaming.runner import append_available, stream_session
 
@@ -40,6 +41,16 @@ def test_materialize_keeps_schema_and_rows(spark):
     assert materialize(df.limit(0), "none").count() == 0
 
 
+def test_scratch_is_removed_for_this_application_only(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(marlgrid.session, "shared_dir", lambda session: f"file://{tmp_path}")
+    (tmp_path / "marlgrid" / "other").mkdir(parents=True)
+    copy = materialize(spark.range(5).toDF("n"), "numbers")
+    assert copy.count() == 5
+    remove_scratch(spark)
+    assert [p.name for p in (tmp_path / "marlgrid").iterdir()] == ["other"]
+    remove_scratch(spark)
+
+
 class FakeSession(SimpleNamespace):
     def __init__(self, master, **settings):
         names = {name.replace("_", "."): value for name, value in settings.items()}
