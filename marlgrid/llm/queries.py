@@ -88,7 +88,8 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's evidence, the shares of its source and language, and its posterior."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return quality_rated(spark, docs, sf_dir).drop("text", "source", "lang")
+    rated = quality_rated(spark, docs, sf_dir).withColumn("kept", ~F.col("rejected"))
+    return rated.drop("text", "source", "lang", "rejected")
 
 
 def quality_rated(
@@ -166,7 +167,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's probability of each labelled category, and whether it is toxic."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity_rated(spark, docs, sf_dir).drop("text")
+    rated = toxicity_rated(spark, docs, sf_dir).withColumnRenamed("rejected", "toxic")
+    return rated.withColumn("kept", ~F.col("toxic")).drop("text")
 
 
 def toxicity_rated(

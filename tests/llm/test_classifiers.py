@@ -130,3 +130,14 @@ def test_quality_of_odd_rows(spark):
     unjudged = quality.rate(docs, None, "source", "lang").collect()
     assert not any(r.rejected or r.posterior is not None for r in unjudged)
     assert quality.rate(docs.filter("false"), model, "source", "lang").count() == 0
+
+
+def test_queries(spark):
+    folder = "/root/testdata/sf0.01"
+    n = queries.read(spark, folder, "documents").count()
+    toxic = queries.op7_toxicity(spark, folder)
+    assert toxic.columns == ["doc_id", "p_poor", "p_toxic", "toxic", "kept"]
+    assert toxic.count() == n and toxic.filter("toxic = kept").isEmpty()
+    names = ["doc_id", "evidence", "host_share", "path_share", "posterior", "kept"]
+    quality_of = queries.op2_quality(spark, folder)
+    assert quality_of.columns == names and quality_of.filter("kept is not null").count() == n
