@@ -23,6 +23,7 @@ from marlgrid.sources.scratch import materialize
 # Documents, in the mean, among which one task looks for the end of a leaf's prefix.
 BUCKET_ROWS = 4_096
 
+# Ten hexadecimal digits of a digest give a document's place.
 HASH_RANGE = 1 << 40
 
 
@@ -93,8 +94,8 @@ def share_out(leaves: DataFrame, levels: Sequence[Level], budget: float, epochs:
 
 def _bucket(key: str, seed: int) -> tuple[Column, Column]:
     """A document's place in its leaf's last pass, and the bucket of the leaf that holds it."""
-    number = F.xxhash64(F.lit(seed), F.col("_passes"), F.col(key))
-    place = F.pmod(number, F.lit(HASH_RANGE))
+    name = F.concat_ws(":", F.lit(str(seed)), F.col("_passes").cast("string"), F.col(key).cast("string"))
+    place = F.conv(F.substring(F.md5(name.cast("binary")), 1, 10), 16, 10).cast("bigint")
     return place, F.floor(place * F.col("_buckets") / F.lit(float(HASH_RANGE)))
 
 

@@ -130,7 +130,8 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixture_columns(docs: DataFrame) -> DataFrame:
     """Adds ``_domain``, the domain of a document's source, and ``_tokens``, its words."""
-    number = F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 4
+    digest = F.md5(F.coalesce("source", F.lit("")).cast("binary"))
+    number = F.conv(F.substring(digest, 1, 4), 16, 10).cast("bigint") % 4
     words = F.coalesce(F.regexp_count("text", F.lit(r"[^ \t-\r]+")), F.lit(0))
     return docs.withColumns(
         {"_domain": F.concat(F.lit("domain"), number), "_tokens": words.cast("bigint")}
@@ -251,6 +252,72 @@ def _url_sql() -> str:
     """
 
 
+def _mixture_sql() -> str:
+    names = ["domain", "lang", "source"]
+    steps = []
+    for depth, level in enumerate(MIXTURE):
+        path, family = names[: depth + 1], names[:depth]
+        cases = " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in level.weights.items())
+        weight = f"CASE {names[depth]} {cases} ELSE {level.other}::DOUBLE END"
+        weight = weight if cases else f"{level.other}::DOUBLE"
+        given = f"least({MIXTURE_SHARE}::DOUBLE * sum(held) OVER (), sum(room) OVER ())"
+        joined = ""
+        if family:
+            given = "b.budget"
+            same = " AND ".join(f"o.{c} IS NOT DISTINCT FROM b.{c}" for c in family)
+            joined = f"JOIN budget{depth - 1} b ON {same}"
+        part = "PARTITION BY " + ", ".join(family) if family else ""
+        steps.append(f"""
+            own{depth} AS (
+                SELECT {", ".join(path)}, sum(held) AS held,
+                       sum(held)::DOUBLE * {MIXTURE_EPOCHS} AS room, {weight} AS weight
+                FROM leaves GROUP BY {", ".join(path)}
+            ), given{depth} AS (
+                SELECT o.*, {given} AS given FROM own{depth} o {joined}
+            ), filled{depth} AS (
+                SELECT *, (given - coalesce(sum(room) OVER before, 0))
+                    / (sum(weight) OVER family - coalesce(sum(weight) OVER before, 0)) AS fill
+                FROM given{depth}
+                WINDOW family AS ({part}),
+                       before AS ({part} ORDER BY room / weight, {names[depth]} NULLS FIRST
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+            ), budget{depth} AS (
+                SELECT {", ".join(path)},
+                       greatest(least(room, weight * max(fill) OVER ({part})), 0) AS budget
+                FROM filled{depth}
+            )""")
+    same = " AND ".join(f"l.{c} IS NOT DISTINCT FROM b.{c}" for c in names)
+    leaf = " AND ".join(f"d.{c} IS NOT DISTINCT FROM p.{c}" for c in names)
+    return f"""
+        WITH docs AS (
+            SELECT doc_id, lang, source,
+                   'domain' || ('0x' || substr(md5(coalesce(source, '')), 1, 4))::BIGINT % 4
+                       AS domain,
+                   coalesce(len(regexp_extract_all(text, '[^ \\t-\\r]+')), 0)::BIGINT AS n_tokens
+            FROM documents
+        ), leaves AS (
+            SELECT domain, lang, source, sum(n_tokens)::BIGINT AS held FROM docs GROUP BY ALL
+        ), {",".join(steps)}, whole AS (
+            SELECT l.*, floor(b.budget + 1e-6)::BIGINT AS whole
+            FROM leaves l JOIN budget2 b ON {same}
+        ), plans AS (
+            SELECT *, CASE WHEN held > 0 THEN floor(whole / held)::BIGINT ELSE 0 END AS passes
+            FROM whole
+        ), ordered AS (
+            SELECT d.*, p.passes, p.whole - p.passes * p.held AS rest,
+                   sum(n_tokens) OVER (
+                       PARTITION BY d.domain, d.lang, d.source
+                       ORDER BY substr(md5(concat_ws(':', {MIXTURE_SEED}, p.passes, doc_id)), 1, 10),
+                                doc_id
+                       ROWS UNBOUNDED PRECEDING) AS so_far
+            FROM docs d JOIN plans p ON {leaf}
+        )
+        SELECT doc_id, domain, lang, source, n_tokens,
+               (passes + CASE WHEN so_far <= rest AND rest > 0 THEN 1 ELSE 0 END)::BIGINT AS copies
+        FROM ordered
+    """
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op5_mixture, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules]
 
-SQL: dict[str, str] = {"op9_url_rules": _url_sql()}
+SQL: dict[str, str] = {"op5_mixture": _mixture_sql(), "op9_url_rules": _url_sql()}

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from compare import assert_same, duck
 from pyspark.sql import functions as F
 
 from marlgrid.llm import mixing, queries
@@ -121,3 +122,10 @@ def test_extra_columns_stay(spark):
     docs = queries.read(spark, "/root/testdata/sf0.001", "documents").withColumn("domain", F.lit(1))
     mixed = queries.mixed(queries.mixture_columns(docs))
     assert {r.domain for r in mixed.collect()} == {1}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_query_matches_sql(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    sql = queries.SQL["op5_mixture"]
+    assert assert_same(queries.op5_mixture(spark, folder), duck(folder), sql) > 0
