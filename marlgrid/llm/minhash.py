@@ -11,8 +11,9 @@ coordinate with the probability of their similarity.
 Texts that agree in a band of coordinates are compared, whole and exactly. To do so
 without all pairs of a large bucket, the texts of a bucket are first compared with one
 of them. Only where that leaves several components are texts of different components
-compared with each other, in tiles of bounded size and in rounds of bounded output that
-go on until nothing is left.
+compared with each other, in tiles of bounded size. A tile looks only at pairs that share
+one of their rarest shingles, without which they could not be similar, and gives
+back no more links than it takes to connect what is similar.
 """
 
 from __future__ import annotations
@@ -43,9 +44,11 @@ THROWN = DARTS * (math.log(DARTS) + 2)
 # Texts whose darts are thrown together.
 BLOCK = 1_024
 
-# Texts of a tile on either side, and pairs that one text adds per round and tile.
+# Texts of a tile on either side, their shingles with all repeats, in the mean, and pairs
+# that are compared together.
 TILE_LEFT, TILE_RIGHT = 256, 1_024
-ROUND_PAIRS = 16
+WEIGHT_LEFT, WEIGHT_RIGHT = 250_000, 1_000_000
+PAIRS = 2_000
 
 # Bytes of text whose pairs are compared together.
 PAIR_BYTES = 2_000_000
@@ -206,32 +209,29 @@ def _agreeing(a: Column, b: Column) -> Column:
     return F.aggregate(same, F.lit(0), lambda total, x: total + x)
 
 
-def _checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+def _checked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``) whose texts have a similarity of ``least``.
 
     Pairs are first narrowed down by weights and signatures. Only the texts of the
     remaining ones move. A text that is part of very many pairs meets them in joins
     that adaptive execution can split.
     """
-    facts = classes.select("node", "rep", "digest", "weight", "sign")
-    named = lambda side: facts.select(*[F.col(c).alias(f"{side}_{c}") for c in facts.columns])
+    facts = nodes.select("node", "weight", "sign")
+    named = lambda df, side: df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
     near = (
-        pairs.join(named("a"), F.col("a") == F.col("a_node"))
-        .join(named("b"), F.col("b") == F.col("b_node"))
+        pairs.join(named(facts, "a"), F.col("a") == F.col("a_node"))
+        .join(named(facts, "b"), F.col("b") == F.col("b_node"))
         .filter(
             F.least("a_weight", "b_weight") >= (least - 1e-9) * F.greatest("a_weight", "b_weight")
         )
         .filter(_agreeing(F.col("a_sign"), F.col("b_sign")) >= LEAST_AGREEING)
-        .select("a", "b", "a_rep", "b_rep", "a_digest", "b_digest")
+        .select("a", "b")
     )
     near = materialize(near, "candidate-pairs")
-    texts = docs.select(F.col("_id").alias("_rep"), F.col("_text").alias("_found"))
     met = (
-        near.join(texts, F.col("a_rep") == F.col("_rep"))
-        .drop("_rep")
-        .withColumnRenamed("_found", "a_text")
-        .join(texts, F.col("b_rep") == F.col("_rep"))
-        .select("a", "b", "a_digest", "b_digest", "a_text", F.col("_found").alias("b_text"))
+        near.join(named(texts, "a"), F.col("a") == F.col("a_node"))
+        .join(named(texts, "b"), F.col("b") == F.col("b_node"))
+        .select("a", "b", "a_digest", "b_digest", "a_text", "b_text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,12 +304,16 @@ def near_duplicates(
         .filter("size > 1")
     )
     buckets = materialize(buckets, "buckets")
-    # A member of one bucket only is of no interest here.
     members = materialize(banded.join(buckets, "band"), "bucket-members")
+    # From here on only texts that share a bucket with another one matter.
+    nodes = classes.drop("bands").join(members.select("node").distinct(), "node")
+    nodes = materialize(nodes, "member-classes")
+    texts = nodes.join(docs, F.col("rep") == F.col("_id"))
+    texts = texts.select("node", "digest", F.col("_text").alias("text"))
+    texts = materialize(texts, "member-texts")
     spokes = members.filter("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    spokes = materialize(spokes.distinct(), "hub-pairs")
-    links = _checked(spokes, classes, docs, least)
-    links = _rest(members, spokes, links, classes, docs, least)
+    links = _checked(spokes.distinct(), nodes, texts, least)
+    links = _rest(members, links, nodes, texts, least)
     found = connected_components(links, "text-components")
     grouped = classes.select("node", "digest", "rep").join(found, "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
@@ -327,12 +331,7 @@ def near_duplicates(
 
 
 def _rest(
-    members: DataFrame,
-    spokes: DataFrame,
-    links: DataFrame,
-    classes: DataFrame,
-    docs: DataFrame,
-    least: float,
+    members: DataFrame, links: DataFrame, nodes: DataFrame, texts: DataFrame, least: float
 ) -> DataFrame:
     """``links`` and those between texts of a bucket that its hub does not connect."""
     components = connected_components(links, "hub-components")
@@ -344,113 +343,192 @@ def _rest(
     # What is in the hub's component needs no comparison among itself.
     hubs = own.filter("node = hub").select("band", F.col("component").alias("_hub"))
     own = own.join(hubs, "band").withColumn("outside", F.col("component") != F.col("_hub"))
-    some = own.filter("outside").groupBy("band").agg(F.count("*").alias("n_outside"))
+    own = own.join(nodes.select("node", "weight"), "node")
+    some = own.groupBy("band").agg(
+        F.count_if("outside").alias("n_outside"),
+        F.sum(F.when(F.col("outside"), F.col("weight"))).alias("weight_outside"),
+        F.sum("weight").alias("weight_all"),
+    )
     opened = materialize(
         own.select("band", "node", "size", "component", "outside")
-        .join(some, "band")
-        .join(classes.select("node", "weight", "sign"), "node"),
+        .join(some.filter("n_outside > 0"), "band"),
         "open-buckets",
     )
-    rows = opened.count()
-    number = 0
-    while rows:
-        found = materialize(_survivors(opened, rows, least, number), "tile-pairs")
-        pairs = found.select("a", "b").distinct().join(spokes, ["a", "b"], "left_anti")
-        if number:
-            # What earlier rounds have connected needs no comparison.
-            now = connected_components(links, "round-components")
-            for side in ("a", "b"):
-                of = now.select(
-                    F.col("node").alias(f"{side}_node"), F.col("component").alias(f"{side}_in")
-                )
-                pairs = pairs.join(of, F.col(side) == F.col(f"{side}_node"), "left")
-            apart = F.coalesce("a_in", "a") != F.coalesce("b_in", "b")
-            pairs = pairs.filter(apart).select("a", "b")
-        links = links.unionByName(_checked(pairs, classes, docs, least))
-        if found.filter("more").isEmpty():
-            break
-        links = materialize(links, "links-so-far")
-        number += 1
-    return links
+    rows, weight = opened.agg(F.count("*"), F.sum(F.col("weight_all") / F.col("size"))).first()
+    if not rows:
+        return links
+    wanted = nodes.select("node", "sign").join(opened.select("node").distinct(), "node")
+    full = map_texts(
+        wanted.join(texts, "node"),
+        ["node", "digest", "sign"],
+        "text",
+        _elements,
+        {"_own": "binary", "elements": "array<bigint>"},
+    )
+    full = full.filter(F.col("_own") == F.col("digest")).select("node", "sign", "elements")
+    full = materialize(full.dropDuplicates(["node"]), "open-elements")
+    lots = 1 + max(rows // TILE_RIGHT, int(weight) // WEIGHT_RIGHT)
+    found = _tiles(opened.join(full, "node"), lots, least)
+    return links.unionByName(materialize(found, "tile-links"))
+
+
+def _elements(texts: list[str]) -> list:
+    """The digest of each text, and its shingles with every repeat as an element of its own.
+
+    Two texts share as many elements as the smaller weights of their shingles add up to.
+    """
+    shingle, weight, owner, digests = shingles(texts)
+    first = np.cumsum(weight) - weight
+    repeat = np.arange(weight.sum()) - np.repeat(first, weight)
+    elements = mix(np.repeat(shingle, weight) + repeat.astype(np.uint64) * _GOLD)
+    ends = np.cumsum(np.bincount(owner, weight, minlength=len(texts))).astype(np.int64)
+    parts = np.split(elements.view(np.int64), ends[:-1]) if len(texts) else []
+    return [digests, parts]
 
 
-def _survivors(opened: DataFrame, n_rows: int, least: float, number: int) -> DataFrame:
-    """Pairs of texts of one bucket that may be similar, as ``a`` < ``b``, for one round.
+def _tiles(opened: DataFrame, lots: int, least: float) -> DataFrame:
+    """Links, as ``a`` and ``b``, that connect what is similar in each open bucket.
 
-    The texts outside the hub's component are the left side of a bucket's tiles, all its texts
-    the right side. A left text adds its ``ROUND_PAIRS`` best partners in a tile that
-    earlier rounds have not added; ``more`` tells that there are others. Small
-    buckets share tiles.
+    The texts outside the hub's component are the left side of a bucket's tiles, all its
+    texts the right side. Small buckets share ``lots`` tiles.
     """
-    lefts = F.ceil(F.col("n_outside") / TILE_LEFT)
-    rights = F.ceil(F.col("size") / TILE_RIGHT)
-    small = F.col("size") <= TILE_LEFT
+    parts = lambda n, most, weight, heaviest: F.greatest(
+        F.ceil(F.col(n) / most), F.ceil(F.col(weight) / heaviest)
+    )
+    lefts = parts("n_outside", TILE_LEFT, "weight_outside", WEIGHT_LEFT)
+    rights = parts("size", TILE_RIGHT, "weight_all", WEIGHT_RIGHT)
+    small = (F.col("size") <= TILE_LEFT) & (F.col("weight_all") <= WEIGHT_LEFT)
     mine = F.xxhash64("node")
-    lots = 1 + n_rows // TILE_RIGHT
     tile = F.when(small, F.pmod(F.xxhash64("band"), F.lit(lots))).otherwise(F.col("band"))
     sides = []
     for left in (True, False):
         rows = opened.filter("outside") if left else opened
         own = F.pmod(mine, lefts if left else rights)
-        other = F.explode(F.sequence(F.lit(0).cast("bigint"), (rights if left else lefts) - 1))
+        others = F.sequence(F.lit(0).cast("bigint"), (rights if left else lefts) - 1)
         rows = rows.select(
             tile.alias("tile"),
             small.alias("small"),
-            own.alias("own"),
-            other.alias("other"),
+            own.alias("row" if left else "column"),
+            F.explode(others).alias("column" if left else "row"),
             F.lit(left).alias("left"),
             "band",
             "node",
             "component",
-            "weight",
             "sign",
+            "elements",
         )
-        ends = ("own", "other") if left else ("other", "own")
-        sides.append(
-            rows.withColumnsRenamed({ends[0]: "row", ends[1]: "column"})
-        )
+        sides.append(rows)
 
     def run(table: pa.Table) -> pa.Table:
-        columns = {k: table.column(k).to_numpy() for k in ("band", "node", "component", "weight")}
-        is_left = np.array(table.column("left").to_pylist(), bool)
+        band, node, component = (
+            table.column(k).to_numpy() for k in ("band", "node", "component")
+        )
+        left = np.array(table.column("left").to_pylist(), bool)
         sign = table.column("sign").combine_chunks().flatten().to_numpy().reshape(-1, DARTS)
-        found = _tile_pairs(columns, is_left, sign, least, number)
-        return pa.table({"a": found[0], "b": found[1], "more": found[2]})
+        lists = table.column("elements").combine_chunks()
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        elements = np.split(lists.flatten().to_numpy(), ends[:-1])
+        links = []
+        for bucket in np.split(np.argsort(band, kind="stable"), _edges(np.sort(band))):
+            of = [bucket[left[bucket]], bucket[~left[bucket]]]
+            links += _bucket_links(of, node, component, sign, elements, least)
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     whole = sides[0].unionByName(sides[1])
-    return whole.groupBy("tile", "small", "row", "column").applyInArrow(
-        run, "a bigint, b bigint, more boolean"
-    )
+    return whole.groupBy("tile", "small", "row", "column").applyInArrow(run, "a bigint, b bigint")
+
+
+def _edges(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+
+
+def _bucket_links(of, node, component, sign, elements, least) -> list[tuple[int, int]]:
+    """Links between left and right texts of a bucket that connect their components."""
+    left, right = of
+    if not len(left) or not len(right):
+        return []
+    sizes = [np.array([len(elements[i]) for i in side]) for side in of]
+    light, heavy = np.minimum(sizes[0][:, None], sizes[1]), np.maximum(sizes[0][:, None], sizes[1])
+    maybe = (component[left][:, None] != component[right]) & (light >= (least - 1e-9) * heavy)
+    agreeing = np.zeros(maybe.shape, np.int16)
+    for i in range(DARTS):
+        agreeing += sign[left, i][:, None] == sign[right, i]
+    maybe &= agreeing >= LEAST_AGREEING
+    if not maybe.any():
+        return []
+    rows, columns = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
+    sets = [[elements[i] for i in left[rows]], [elements[i] for i in right[columns]]]
+    names, counts = np.unique(np.concatenate(sets[0] + sets[1]), return_counts=True)
+    sorted_sets = [[np.sort(np.searchsorted(names, x)) for x in side] for side in sets]
+    sharing = _share_a_rare_element(sorted_sets, counts, least)
+    one, two = np.nonzero(sharing & maybe[np.ix_(rows, columns)])
+    best = np.argsort(-agreeing[rows[one], columns[two]], kind="stable")
+    one, two = one[best], two[best]
+
+    # Texts that a link has connected already need no other.
+    group = {int(c): int(c) for c in np.unique(component[np.concatenate(of)])}
+
+    def root(c: int) -> int:
+        while group[c] != c:
+            c = group[c]
+        return c
+
+    code = np.concatenate([k * len(names) + x for k, x in enumerate(sorted_sets[1])])
+    links = []
+    for start in range(0, len(one), PAIRS):
+        ends = [component[left[rows[i]]] for i in one[start : start + PAIRS]]
+        others = [component[right[columns[j]]] for j in two[start : start + PAIRS]]
+        apart = [root(int(a)) != root(int(b)) for a, b in zip(ends, others, strict=True)]
+        i, j = (x[start : start + PAIRS][apart] for x in (one, two))
+        for x, y in zip(*_similar(sorted_sets, i, j, code, len(names), least), strict=True):
+            a, b = int(component[left[rows[x]]]), int(component[right[columns[y]]])
+            if root(a) != root(b):
+                group[max(root(a), root(b))] = min(root(a), root(b))
+                links.append((int(node[left[rows[x]]]), int(node[right[columns[y]]])))
+    return links
+
 
+def _share_a_rare_element(sets: list[list[np.ndarray]], counts: np.ndarray, least) -> np.ndarray:
+    """Which left and right sets share one of their rarest elements.
 
-def _tile_pairs(columns: dict, is_left: np.ndarray, sign: np.ndarray, least, number) -> tuple:
-    order = np.argsort(columns["band"], kind="stable")
-    bands = columns["band"][order]
-    starts = np.flatnonzero(np.concatenate([[True], bands[1:] != bands[:-1]]))
-    a: list = []
-    b: list = []
-    more: list = []
-    for start, stop in zip(starts, [*starts[1:], len(bands)], strict=True):
-        of = order[start:stop]
-        left, right = of[is_left[of]], of[~is_left[of]]
-        if not len(left) or not len(right):
-            continue
-        node, component, weight = (columns[k] for k in ("node", "component", "weight"))
-        light = np.minimum(weight[left][:, None], weight[right])
-        heavy = np.maximum(weight[left][:, None], weight[right])
-        maybe = (component[left][:, None] != component[right]) & (light >= (least - 1e-9) * heavy)
-        agreeing = np.zeros(maybe.shape, np.int16)
-        for i in range(DARTS):
-            agreeing += sign[left, i][:, None] == sign[right, i]
-        maybe &= agreeing >= LEAST_AGREEING
-        for i in np.flatnonzero(maybe.any(axis=1)):
-            partners = np.flatnonzero(maybe[i])
-            best = partners[np.lexsort((node[right[partners]], -agreeing[i, partners]))]
-            chosen = best[number * ROUND_PAIRS : (number + 1) * ROUND_PAIRS]
-            one, two = node[left[i]], node[right[chosen]]
-            a.append(np.minimum(one, two))
-            b.append(np.maximum(one, two))
-            more.append(np.full(len(chosen), len(best) > (number + 1) * ROUND_PAIRS))
-    if not a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-    return np.concatenate(a), np.concatenate(b), np.concatenate(more)
+    Of sets that share at least ``least`` of their union, each holds a shared element
+    among as many of its rarest as can be missing from the other, and one more.
+    """
+    rarest = []
+    for side in sets:
+        firsts = []
+        for x in side:
+            n = len(x) - math.ceil(least * len(x) - 1e-9) + 1
+            firsts.append(x[np.lexsort((x, counts[x]))][:n])
+        owner = np.repeat(np.arange(len(side)), [len(x) for x in firsts])
+        rarest.append((np.concatenate(firsts), owner))
+    (left, left_of), (right, right_of) = rarest
+    order = np.argsort(right, kind="stable")
+    right, right_of = right[order], right_of[order]
+    low, high = np.searchsorted(right, left, "left"), np.searchsorted(right, left, "right")
+    sharing = np.zeros((len(sets[0]), len(sets[1])), bool)
+    # The right texts of each element, one piece of left elements after another.
+    for start in range(0, len(left), PAIRS):
+        a, b = low[start : start + PAIRS], high[start : start + PAIRS]
+        found = np.arange((b - a).sum()) + np.repeat(a - np.cumsum(b - a) + (b - a), b - a)
+        sharing[np.repeat(left_of[start : start + PAIRS], b - a), right_of[found]] = True
+    return sharing
+
+
+def _similar(sets, i: np.ndarray, j: np.ndarray, code: np.ndarray, width: int, least) -> tuple:
+    """Those of the pairs ``i``, ``j`` of left and right sets that are similar.
+
+    ``code`` is, in order, the elements of the right sets, ``width`` apart per set.
+    """
+    if not len(i):
+        return i, j
+    own = [sets[0][x] for x in i]
+    sizes = np.array([len(x) for x in own])
+    sought = np.concatenate(own) + np.repeat(j * width, sizes)
+    place = np.minimum(np.searchsorted(code, sought), len(code) - 1)
+    pair = np.repeat(np.arange(len(i)), sizes)
+    shared = np.bincount(pair[code[place] == sought], minlength=len(i))
+    other = np.array([len(sets[1][y]) for y in j])
+    near = shared >= (least - 1e-12) * (sizes + other - shared)
+    return i[near], j[near]

@@ -65,10 +65,11 @@ def awkward_texts() -> list[str | None]:
 @pytest.mark.parametrize("small", [False, True])
 def test_against_brute_force(spark, monkeypatch, small):
     if small:
-        # Many tiles, and several rounds.
+        # Many tiles, and pairs in many pieces.
         monkeypatch.setattr(minhash, "TILE_LEFT", 3)
         monkeypatch.setattr(minhash, "TILE_RIGHT", 7)
-        monkeypatch.setattr(minhash, "ROUND_PAIRS", 2)
+        monkeypatch.setattr(minhash, "WEIGHT_LEFT", 2_000)
+        monkeypatch.setattr(minhash, "PAIRS", 5)
     rows = list(enumerate(awkward_texts()))
     random.Random(2).shuffle(rows)
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id int, text string, kept string")
@@ -122,3 +123,24 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in read(spark, folder, "documents").collect()]
     got = {r.doc_id: r.class_id for r in op8_near_duplicates(spark, folder).collect()}
     assert got == brute(rows)
+
+
+def test_a_bucket_is_connected_as_by_all_pairs(monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(minhash, "LEAST_AGREEING", 0)
+    monkeypatch.setattr(minhash, "PAIRS", 7)
+    for _ in range(30):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(8, 60))]
+        texts = [edited(rng, " ".join(base), rng.choice([0.0, 0.02, 0.05])) for _ in range(25)]
+        elements = minhash._elements(texts)[1]
+        node = np.arange(len(texts))
+        component = node // 2 * 2
+        sign = np.zeros((len(texts), minhash.DARTS), np.int32)
+        outside = np.flatnonzero(component != 0)
+        links = minhash._bucket_links([outside, node], node, component, sign, elements, 0.8)
+        sets = [weighted(text) for text in texts]
+        assert all(jaccard(sets[a], sets[b]) >= 0.8 for a, b in links)
+        given = [(int(c), i) for i, c in enumerate(component)]
+        pairs = [(a, b) for a in node.tolist() for b in range(a) if jaccard(sets[a], sets[b]) >= 0.8]
+        wanted = components(node.tolist(), given + [p for p in pairs if max(p) > 1])
+        assert components(node.tolist(), given + links) == wanted
