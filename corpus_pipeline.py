@@ -45,8 +45,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids, and a digest of the text decoded from them."""
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), queries.VOCABULARY)
-    decoded = bpe.decode(encoded.drop("text"), queries.VOCABULARY)
+    docs = docs.select("doc_id", "lang", "source", "text")
+    decoded = bpe.encode(docs, queries.VOCABULARY, decoded="decoded")
     return decoded.select(
         "doc_id",
         "lang",

@@ -33,8 +33,9 @@ WORD_CHARS = 256
 # Words kept by a task; the store is emptied when it is full.
 KEPT_WORDS = 400_000
 
-# Ids that are decoded together.
-PIECE_IDS = 250_000
+# Words that are encoded together, and ids that are decoded together.
+PIECE_WORDS = 5_000
+PIECE_IDS = 100_000
 
 # The id of a token that a cut has made and that no vocabulary holds.
 CUT = -1
@@ -77,11 +78,15 @@ class TreeEncoder:
         new = [word for word in set().union(*words) if word not in store]
         short = [word for word in new if len(word) <= WORD_CHARS]
         long = [word for word in new if len(word) > WORD_CHARS]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(short, add_special_tokens=False)]
+        ids: list = []
+        for i in range(0, len(short), PIECE_WORDS):
+            piece = short[i : i + PIECE_WORDS]
+            encoded = self.tokenizer.encode_batch_fast(piece, add_special_tokens=False)
+            ids += [np.array(e.ids, np.int32) for e in encoded]
         ids += [self.encode_run(word) for word in long]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         first = len(self.starts) - 1
-        self.flat = np.concatenate([self.flat, np.fromiter(chain(*ids), np.int32, sizes.sum())])
+        self.flat = np.concatenate([self.flat, *ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         store.update(zip([*short, *long], range(first, first + len(ids)), strict=True))
 
@@ -179,12 +184,15 @@ def _threads() -> None:
     os.environ.setdefault("RAYON_NUM_THREADS", os.environ.get("OMP_NUM_THREADS", "1"))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """Adds ``ids`` (array of int) to every row of ``docs``, for the whole of ``text``.
 
-    ``path`` names a tokenizer file that every executor has. A null or empty text has
-    no ids. Repeated rows are encoded each; a column that is called as ``ids`` is
-    replaced. No row moves between tasks.
+    With ``decoded`` it also adds, under that name, what ``decode`` makes of them, in the
+    same pass. ``path`` names a tokenizer file that every executor has. A null or
+    empty text has no ids. Repeated rows are encoded each; columns that are called as the
+    added ones are replaced. No row moves between tasks.
     """
     made: dict[str, TreeEncoder] = {}
 
@@ -194,9 +202,23 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             made[path] = TreeEncoder(Tokenizer.from_file(path))
         values, counts = made[path].encode(texts)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))]
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+        return [lists, _decoded(made[path].tokenizer, lists)] if decoded else [lists]
 
-    return map_texts(docs, docs.columns, text, run, {ids: "array<int>"})
+    added = {ids: "array<int>"} | ({decoded: "string"} if decoded else {})
+    return map_texts(docs, docs.columns, text, run, added)
+
+
+def _decoded(tokenizer: Tokenizer, lists: pa.ListArray) -> pa.Array:
+    """The text of each list of ids; rows with about ``PIECE_IDS`` ids go together."""
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(counts) // PIECE_IDS
+    edges = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(lists)]
+    found = []
+    for a, b in zip(edges, edges[1:], strict=False):
+        part = [x or [] for x in lists.slice(a, b - a).to_pylist()]
+        found.append(pa.array(tokenizer.decode_batch(part, skip_special_tokens=False), pa.string()))
+    return pa.concat_arrays(found)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -216,16 +238,8 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
             if batch.num_rows == 0:
                 continue
             lists = batch.column(batch.schema.get_field_index(ids))
-            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            # A row with more ids stands alone.
-            piece = np.cumsum(counts) // PIECE_IDS
-            edges = [0, *(np.flatnonzero(np.diff(piece)) + 1), batch.num_rows]
-            for a, b in zip(edges, edges[1:], strict=False):
-                part = [x or [] for x in lists.slice(a, b - a).to_pylist()]
-                decoded = made[path].decode_batch(part, skip_special_tokens=False)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(a, b - a).select(keep).columns, pa.array(decoded, pa.string())],
-                    names=[*keep, text],
-                )
+            yield pa.RecordBatch.from_arrays(
+                [*batch.select(keep).columns, _decoded(made[path], lists)], names=[*keep, text]
+            )
 
     return rows.mapInArrow(run, schema)

@@ -154,8 +154,7 @@ def mixed(docs: DataFrame) -> DataFrame:
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text decoded from them."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, VOCABULARY).select("doc_id", "ids")
-    decoded = bpe.decode(encoded, VOCABULARY)
+    decoded = bpe.encode(docs, VOCABULARY, decoded="decoded")
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
     return decoded.select(
         "doc_id",

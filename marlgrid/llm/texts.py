@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Bytes of text that a task looks at together; a longer text stands alone.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 500_000
 
 # The ASCII white space that separates words.
 SPACES = b" \t\n\x0b\x0c\r"

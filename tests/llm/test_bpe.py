@@ -85,6 +85,11 @@ def test_nulls_repeats_and_clashing_columns(spark, library):
         ids = library.encode(text or "", add_special_tokens=False).ids if i != 3 else None
         assert got[i].ids == ids
         assert got[i].decoded == library.decode(ids or [], skip_special_tokens=False)
+    at_once = bpe.encode(docs, VOCABULARY, decoded="decoded").collect()
+    for row in at_once:
+        ids = library.encode(texts[row.doc_id] or "", add_special_tokens=False).ids
+        assert row.ids == ids
+        assert row.decoded == library.decode(ids, skip_special_tokens=False)
     none = spark.createDataFrame([], "doc_id int, text string")
     assert bpe.decode(bpe.encode(none, VOCABULARY), VOCABULARY).count() == 0
 
