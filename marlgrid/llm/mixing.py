@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from marlgrid.sources.scratch import materialize
 
 # Documents, in the mean, among which one task looks for the end of a leaf's prefix.
-BUCKET_ROWS = 4_096
+BUCKET_ROWS = 1_024
 
 # Ten hexadecimal digits of a digest give a document's place.
 HASH_RANGE = 1 << 40
