@@ -29,11 +29,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; documents without an id stay."""
-    classes = minhash.near_duplicates(docs.select("doc_id", "text"))
-    dropped = classes.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept"))
-    dropped = materialize(dropped.filter(~F.col("_kept")), "dropped-documents")
-    return docs.join(dropped, F.col("doc_id") == F.col("_id"), "left_anti").select(*docs.columns)
+    """One row of each group of near copies, and every row whose text has no word.
+
+    Rows are compared by written row numbers, so rows without an id, repeated rows and
+    several texts of one id are compared like all others. A row without an id stays
+    before one with an id, then the one of the smallest id.
+    """
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    classes = minhash.near_duplicates(rows.select("_row", "text"), key="_row")
+    # Only classes of several rows matter; their smallest row tells them apart.
+    several = classes.filter(~F.col("kept")).select("class_id").distinct()
+    members = materialize(classes.join(several, "class_id").select("class_id", "_row"), "copies")
+    named = members.join(rows.select("_row", "doc_id"), "_row")
+    # A null is the least value of a struct's field.
+    stay = named.groupBy("class_id").agg(F.min(F.struct("doc_id", "_row")).alias("least"))
+    dropped = members.join(stay.select(F.col("least._row").alias("_row")), "_row", "left_anti")
+    dropped = materialize(dropped.select("_row"), "dropped-rows")
+    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

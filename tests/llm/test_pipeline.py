@@ -51,3 +51,29 @@ def test_rows_without_an_id_stay(spark):
     nameless = docs.limit(3).withColumn("doc_id", F.lit(None).cast("bigint"))
     kept = corpus_pipeline.near_duplicates(spark, docs.unionByName(nameless), SF)
     assert kept.filter("doc_id is null").count() == 3
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(6)]
+    rows = [
+        # Repeated rows, and a near copy.
+        (1, text[0]), (1, text[0]), (2, text[0] + " more"),
+        # Copies and a near copy without an id.
+        (None, text[1]), (None, text[1]), (None, text[1] + " more"),
+        # An id with two texts, one of them another document's.
+        (3, text[2]), (4, text[2]), (4, text[3]),
+        # A copy without an id of a document that has one.
+        (5, text[4]), (None, text[4] + " more"),
+        # No words, no copies.
+        (6, None), (6, None), (None, ""),
+        (None, text[5]),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    nameless = [t for i, t in got if i is None and (t or "").startswith(text[1])]
+    assert len(nameless) == 1
+    rest = [x for x in got if x != (None, nameless[0])]
+    wanted = [(1, text[0]), (3, text[2]), (4, text[3]), (None, text[4] + " more")]
+    wanted += [(6, None), (6, None), (None, ""), (None, text[5])]
+    order = lambda x: (x[0] or 0, x[1] or "")
+    assert sorted(rest, key=order) == sorted(wanted, key=order)
