@@ -56,20 +56,23 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> tuple[np.ndarray
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, key: str, columns: dict[str, Column], size: int = SAMPLE
 ) -> DataFrame:
-    """``docs`` with labels, about ``size`` of them, drawn by a hash of ``key``.
+    """``docs`` with labels, about ``size`` of each label, drawn by a hash of ``key``.
 
     ``columns`` gives each label as a boolean over ``labels``. A document with
-    several rows of labels has a label if any of them says so; a null says nothing.
-    What is broadcast has at most about ``size`` rows of a few bytes.
+    several rows of labels has a label if any of them says so; a null says nothing. A
+    document that lacks one label, or is drawn for another only, has a null there.
+    What is broadcast has at most about ``size`` rows of a few bytes per label.
     """
     number = F.pmod(F.xxhash64(F.col(key), F.lit(2)), F.lit(HASH_RANGE))
     told = labels.filter(F.col(key).isNotNull())
-    n = told.count()
-    below = HASH_RANGE if n <= size else int(HASH_RANGE * size / n)
+    counts = told.agg(*[F.count(column) for column in columns.values()]).first()
+    own = {
+        name: F.when(number < (HASH_RANGE if n <= size else int(HASH_RANGE * size / n)), column)
+        for (name, column), n in zip(columns.items(), counts, strict=True)
+    }
     drawn = (
-        told.filter(number < below)
+        told.filter(F.coalesce(*own.values()).isNotNull())
         .groupBy(F.col(key).alias("_drawn"))
-        .agg(*[F.max(column.cast("int")).alias(name) for name, column in columns.items()])
-        .dropna()
+        .agg(*[F.max(column.cast("int")).alias(name) for name, column in own.items()])
     )
     return docs.join(F.broadcast(drawn), docs[key] == drawn["_drawn"]).drop("_drawn")

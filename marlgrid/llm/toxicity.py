@@ -53,13 +53,17 @@ def terms(text: str) -> set[str]:
 
 
 class Category(NamedTuple):
-    """A linear model: a weight per term, and per logit of each earlier category."""
+    """A linear model: a weight per term, and per logit of each earlier category.
+
+    ``decides`` tells whether reaching the threshold rejects a document.
+    """
 
     name: str
     weights: dict[str, float]
     chained: list[float]
     bias: float
     threshold: float
+    decides: bool
 
 
 class Scorer:
@@ -92,10 +96,11 @@ class Scorer:
 def _selected(counted: DataFrame, label: str, positive: int, negative: int) -> dict[str, float]:
     """The terms that tell ``label`` best, with the log ratio of their shares."""
     with_it = (F.col(f"_{label}") + 0.5) / (positive + 1)
-    without = (F.col("_n") - F.col(f"_{label}") + 0.5) / (negative + 1)
+    without = (F.col(f"_n_{label}") - F.col(f"_{label}") + 0.5) / (negative + 1)
     ratio = F.log(with_it / without)
     best = (
-        counted.select("term", ratio.alias("ratio"), (F.abs(with_it - without) * F.abs(ratio)).alias("worth"))
+        counted.filter(F.col(f"_n_{label}") >= LEAST_DOCUMENTS)
+        .select("term", ratio.alias("ratio"), (F.abs(with_it - without) * F.abs(ratio)).alias("worth"))
         .orderBy(F.desc("worth"), "term")
         .limit(FEATURES)
         .collect()
@@ -109,8 +114,11 @@ def learn(
     """Fits the chain on a sample of the labelled rows of ``docs``, see ``labelled_sample``.
 
     ``categories`` gives each label as a boolean over ``labels``, in the order of the
-    chain. What reaches the driver is bounded by the sample and the number of
-    features. No chain, and so no category, comes of labels that are all alike.
+    chain; the last of them decides what is rejected. Each is fitted on the documents
+    that have its own label, whether or not they have the others. A category whose labels
+    are missing or all alike is left out of the chain, and without the last one nothing
+    is rejected. What reaches the driver is bounded by the sample and the number of
+    features.
     """
     usable = docs.select(F.col(key), F.col(text)).filter(F.col(text).isNotNull())
     sample = labelled_sample(usable, labels, key, categories)
@@ -118,29 +126,31 @@ def learn(
     def terms_of(texts: list[str]) -> list[list]:
         return [[sorted(terms(x)) for x in texts]]
 
-    names = list(categories)
-    rows = map_texts(sample, [key, *names], text, terms_of, {"terms": "array<string>"})
+    rows = map_texts(sample, [key, *categories], text, terms_of, {"terms": "array<string>"})
     rows = materialize(rows, "labelled-terms")
-    totals = rows.agg(F.count("*"), *[F.sum(name) for name in names]).first()
-    n = totals[0]
-    if not n or any(total in (0, n) for total in totals[1:]):
+    both = [f(name) for name in categories for f in (F.count, F.sum)]
+    totals = list(rows.agg(*both).first())
+    told = dict(zip(categories, zip(totals[::2], totals[1::2], strict=True), strict=True))
+    names = [name for name, (n, positive) in told.items() if positive not in (None, 0, n)]
+    if not names:
         return []
+    counts = [F.count(name).alias(f"_n_{name}") for name in names]
     counted = (
         rows.select(F.explode("terms").alias("term"), *names)
         .groupBy("term")
-        .agg(F.count("*").alias("_n"), *[F.sum(name).alias(f"_{name}") for name in names])
-        .filter(F.col("_n") >= LEAST_DOCUMENTS)
+        .agg(*counts, *[F.sum(name).alias(f"_{name}") for name in names])
+        .filter(F.greatest(F.lit(0), *[F.col(f"_n_{name}") for name in names]) >= LEAST_DOCUMENTS)
     )
     counted = materialize(counted, "term-counts")
     chosen = {
-        name: _selected(counted, name, total, n - total)
-        for name, total in zip(names, totals[1:], strict=True)
+        name: _selected(counted, name, told[name][1], told[name][0] - told[name][1])
+        for name in names
     }
     every = sorted(set().union(*chosen.values()))
     place = {term: i for i, term in enumerate(every)}
     held = materialize(_held(rows, place, names, key), "labelled-features")
     table = held.orderBy("_number").toArrow()
-    return _fit_chain(table, names, chosen, every)
+    return _fit_chain(table, names, chosen, every, decider=list(categories)[-1])
 
 
 def _held(rows: DataFrame, place: dict[str, int], names: list[str], key: str) -> DataFrame:
@@ -161,7 +171,11 @@ def _held(rows: DataFrame, place: dict[str, int], names: list[str], key: str) ->
 
 
 def _fit_chain(
-    table: pa.Table, names: list[str], chosen: dict[str, dict[str, float]], every: list[str]
+    table: pa.Table,
+    names: list[str],
+    chosen: dict[str, dict[str, float]],
+    every: list[str],
+    decider: str,
 ) -> list[Category]:
     found = table.column("found").to_pylist()
     present = np.zeros((len(found), len(every)), np.float32)
@@ -171,22 +185,24 @@ def _fit_chain(
     chain: list[Category] = []
     earlier = np.zeros((len(found), 0))
     for name in names:
-        y = table.column(name).to_numpy().astype(np.float64)
+        y = np.array(table.column(name).to_pylist(), np.float64)
         ratios = chosen[name]
         columns = [i for i, term in enumerate(every) if term in ratios]
         scale = np.array([ratios[every[i]] for i in columns])
         # Terms are scaled by how well each tells the category on its own.
         x = np.column_stack([present[:, columns] * scale, earlier])
-        unseen = np.full(len(y), logit(np.array(y.mean())))
+        # Documents without the label are unseen by the model of all that have it.
+        has = ~np.isnan(y)
+        weights, bias = fit_logistic(x[has], y[has], RIDGE)
+        unseen = np.where(has, logit(np.array(y[has].mean())), x @ weights + bias)
         for k in range(FOLDS):
-            own = fold == k
-            if own.any() and 0 < y[~own].sum() < (~own).sum():
-                part, level = fit_logistic(x[~own], y[~own], RIDGE)
+            own, others = has & (fold == k), has & (fold != k)
+            if own.any() and 0 < y[others].sum() < others.sum():
+                part, level = fit_logistic(x[others], y[others], RIDGE)
                 unseen[own] = x[own] @ part + level
         unseen = np.clip(unseen, -30, 30)
         earlier = np.column_stack([earlier, unseen])
         reached = np.quantile(sigmoid(unseen[y == 0]), 1 - FALSE_SHARE)
-        weights, bias = fit_logistic(x, y, RIDGE)
         by_term = weights[: len(columns)] * scale
         chain.append(
             Category(
@@ -195,6 +211,7 @@ def _fit_chain(
                 weights[len(columns) :].tolist(),
                 bias,
                 float(np.clip(reached, LEAST_THRESHOLD, MOST_THRESHOLD)),
+                name == decider,
             )
         )
     return chain
@@ -207,9 +224,9 @@ def rate(
 
     The names start with ``prefix``.
 
-    ``rejected`` tells whether the last category's probability reaches its threshold. A
-    text that is null, empty or white space has probability 0; an empty chain
-    rejects nothing. Repeated rows are rated each; columns with the added names are
+    ``rejected`` tells whether the deciding category's probability reaches its threshold. A
+    text that is null, empty or white space has probability 0; a chain without a
+    deciding category rejects nothing. Repeated rows are rated each; columns with the added names are
     replaced. All other columns are kept, and no row moves between tasks.
     """
     chain = list(chain)
@@ -218,7 +235,8 @@ def rate(
         scorer = Scorer(chain)
         rated = [scorer.score(x) for x in texts]
         columns = [[row[i] for row in rated] for i in range(len(chain))]
-        return [*columns, [bool(row) and row[-1] >= chain[-1].threshold for row in rated]]
+        limits = [c.threshold if c.decides else math.inf for c in chain]
+        return [*columns, [any(p >= t for p, t in zip(row, limits, strict=True)) for row in rated]]
 
     names = [*(f"p_{category.name}" for category in chain), "rejected"]
     kinds = ["double"] * len(chain) + ["boolean"]

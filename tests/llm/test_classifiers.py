@@ -53,6 +53,47 @@ def test_chains_need_labels_of_both_kinds(spark):
     assert not any(r.rejected for r in toxicity.rate(docs, []).collect())
 
 
+@pytest.mark.parametrize("quality_is", ["null", "alike", "elsewhere"])
+def test_each_category_is_learned_from_its_own_labels(spark, halves, quality_is):
+    labels, unseen = halves
+    docs = queries.read(spark, SF, "documents")
+    first = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(2)) == 0
+    quality_of, toxic_of = {
+        "null": (F.lit(None).cast("int"), F.col("toxic")),
+        "alike": (F.lit(1), F.col("toxic")),
+        "elsewhere": (F.when(first, F.col("quality")), F.when(~first, F.col("toxic"))),
+    }[quality_is]
+    labels = labels.select("doc_id", quality_of.alias("quality"), toxic_of.alias("toxic"))
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.learn(docs, labels, categories, "doc_id")
+    assert [c.name for c in chain] == ["poor"] * (quality_is == "elsewhere") + ["toxic"]
+    told = docs.filter(F.col("doc_id").isin(list(unseen))).select("doc_id", "text")
+    rated = {r.doc_id: r.rejected for r in toxicity.rate(told, chain).collect()}
+    toxic = [rated[i] for i, r in unseen.items() if r.toxic and r.quality]
+    clean = [rated[i] for i, r in unseen.items() if not r.toxic]
+    assert np.mean(toxic) >= 0.9 and np.mean(clean) <= 0.02
+
+
+def test_without_the_last_category_nothing_is_rejected(spark):
+    docs = queries.read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    labels = queries.read(spark, "/root/testdata/sf0.01", "labels")
+    categories = {"poor": F.col("quality") == 0, "toxic": F.lit(False)}
+    chain = toxicity.learn(docs, labels, categories, "doc_id")
+    assert [c.name for c in chain] == ["poor"]
+    assert toxicity.rate(docs, chain).filter("rejected").isEmpty()
+
+
+def test_a_rare_label_is_not_thinned_out_by_a_frequent_one(spark):
+    docs = spark.range(4_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    labels = docs.select(
+        "doc_id", F.lit(1).alias("quality"), F.when(F.col("doc_id") < 50, 1).alias("toxic")
+    )
+    columns = {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
+    sample = linear.labelled_sample(docs, labels, "doc_id", columns, size=100).collect()
+    assert sum(r.toxic is not None for r in sample) == 50
+    assert 50 < sum(r.good is not None for r in sample) < 200
+
+
 def test_conflicting_and_missing_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id long, text string")
     labels = spark.createDataFrame(
