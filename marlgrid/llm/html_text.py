@@ -22,11 +22,14 @@ from pyspark.sql import DataFrame
 
 from marlgrid.llm.texts import map_texts
 
-# Elements whose content is no text of the page.
-SKIPPED = (
-    "script|style|title|textarea|noscript|iframe|template|select|button|svg|object|math"
-    "|canvas|audio|video"
-)
+# Elements whose content is no text of the page. Those of raw text end at
+# their closing tag or with the page, the others with their parent at the latest, and
+# where a block starts if they have no closing tag.
+RAW = "script|style|title|textarea|noscript|iframe"
+SKIPPED = frozenset("template select button svg object math canvas audio video".split())
+# Elements of another markup language, and elements in them that hold HTML.
+FOREIGN = frozenset(["svg", "math"])
+FOREIGN_HTML = frozenset(["foreignobject", "desc", "annotation-xml"])
 # Elements that start and end a block.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
@@ -74,12 +77,13 @@ ADJACENT, SIBLINGS = 1.0, 0.5
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)"
-    rf"|<({SKIPPED})(?![\w-]){_ATTRIBUTES}>.*?(?:</\1(?![\w-])[^>]*>|\Z)"
+    rf"|<({RAW})(?![\w-])({_ATTRIBUTES})>.*?(?:</\1(?![\w-])[^>]*>|\Z)"
     rf"|<(/?)([a-z][^\s/>]*)({_ATTRIBUTES})>"
     rf"|<(/?)([a-z][^\s/>]*)([^>]*)>"
     rf"|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*\Z",
     re.S | re.I,
 )
+SKIPPED_TAG = re.compile(rf"<(/?)({'|'.join(sorted(SKIPPED))})(?![\w-])({_ATTRIBUTES})>", re.I)
 NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 WORD = re.compile(r"[a-z]+")
@@ -142,11 +146,30 @@ def _score(text: str, link_chars: int, parents: list[Element]) -> float:
     return score + INSIDE_BOILERPLATE * (bool(parents) and parents[-1].boilerplate)
 
 
+def _closed(page: str) -> set[int]:
+    """Where the skipped elements start that have a closing tag."""
+    closed: set[int] = set()
+    opened: dict[str, list[int]] = {}
+    for match in SKIPPED_TAG.finditer(page):
+        tag = match[2].lower()
+        starts = opened.setdefault(tag, [])
+        if not match[1]:
+            if tag not in FOREIGN or not match[3].endswith("/"):
+                starts.append(match.start())
+        elif starts:
+            closed.add(starts.pop())
+    return closed
+
+
 def blocks(page: str) -> list[Block]:
     """The non-empty blocks of a page in order, with character references decoded."""
     found: list[Block] = []
     parents: list[Element] = []
     parts: list[str] = []
+    # The skipped element that is open, and the elements in it.
+    inside: list[str] = []
+    closed = _closed(page)
+    ends_itself = False
     linked = 0
     in_link = False
     number = 0
@@ -162,20 +185,50 @@ def blocks(page: str) -> list[Block]:
 
     def add(raw: str) -> None:
         nonlocal linked
+        if inside:
+            return
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
         if in_link:
             linked += len(text)
 
-    for token in TOKEN.finditer(page):
+    def skips(tag: str, closing: bool, empty: bool) -> bool:
+        """Whether a tag belongs to the skipped element; ends that if its parent ends."""
+        if closing:
+            if tag in inside:
+                while inside.pop() != tag:
+                    pass
+                return True
+            outer = any(element.tag == tag for element in parents)
+            if outer or tag == "a" and in_link and not ends_itself:
+                inside.clear()
+                return False
+            return True
+        if tag in BLOCKS:
+            foreign = inside[0] in FOREIGN and not any(x in FOREIGN_HTML for x in inside)
+            if foreign or len(inside) == 1 and not ends_itself:
+                inside.clear()
+                return False
+        if not empty and (tag in BLOCKS or tag in SKIPPED or tag in FOREIGN_HTML):
+            inside.append(tag)
+        return True
+
+    while token := TOKEN.search(page, at):
         if token.start() > at:
             add(page[at : token.start()])
         at = token.end()
-        tag = token[3] or token[6]
+        if token[1] and inside and inside[0] in FOREIGN and token[2].endswith("/"):
+            # In another markup language it may be empty.
+            at = token.end(2) + 1
+        tag = token[4] or token[7]
         if not tag:
             continue
         tag = tag.lower()
-        closing = bool(token[2] or token[5])
+        closing = bool(token[3] or token[6])
+        attributes = token[5] or token[8] or ""
+        empty = attributes.endswith("/") and (tag in FOREIGN or token.start() not in closed)
+        if inside and skips(tag, closing, empty):
+            continue
         if tag in BLOCKS:
             flush()
             in_link = False
@@ -188,7 +241,11 @@ def blocks(page: str) -> list[Block]:
                     if parents and parents[-1].tag == ended:
                         parents.pop()
                 number += 1
-                parents.append(_element(number, tag, token[4] or token[7] or "", parents))
+                parents.append(_element(number, tag, attributes, parents))
+        elif tag in SKIPPED:
+            if not closing and not empty:
+                inside.append(tag)
+                ends_itself = token.start() in closed
         elif tag == "hr":
             flush()
         elif tag == "br":

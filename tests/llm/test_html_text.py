@@ -40,6 +40,37 @@ def test_page():
         assert not re.search(r"[<>]|class=|href", html_text.main_text(PAGE[:stop]))
 
 
+def test_skipped_elements_end_with_their_parent():
+    rest = "<p>Rest of the article, which goes on for a while.</p>"
+    want = "Before it and after.\nRest of the article, which goes on for a while."
+    page = lambda x, close="</p>": f"<article><p>Before it {x} and after.{close}{rest}</article>"
+    for x in (
+        '<svg class="i"/>',
+        "<math/>",
+        "<svg><title/><path d='M0'/></svg>",
+        "<svg><svg><text>no</text></svg><text>no</text></svg>",
+        "<svg><foreignObject><div><p>no</p></div></foreignObject></svg>",
+        "<button><div>no</div></button>",
+        "<video src=v><p>no</p></video>",
+        "<object>no<object>no</object><p>no</p></object>",
+        "<svg><svg/><text>no</text></svg>",
+        "<a href=x><svg><path></a>",
+        "<select><option>no<option>no</select>",
+        "<template><p>no</template>",
+        "<canvas/>",
+        "<script>'<button>'</script>",
+    ):
+        assert html_text.main_text(page(x)) == want, x
+    # What is not closed takes the rest of its parent only.
+    for x in "svg math button select object audio video canvas template".split():
+        for close in ("</p>", ""):
+            got = html_text.main_text(page(f"Short words here.<{x} id=a>no", close))
+            assert got == want.replace("it and after.", "it Short words here."), (x, close)
+        unclosed = f"<article><{x} id=a>no<p>Text that begins in it, and goes on.</p>{rest}</article>"
+        assert html_text.main_text(unclosed).startswith("Text that begins in it"), x
+    assert html_text.main_text(page("<script>", "")) == "Before it"
+
+
 def test_odd_pages():
     assert html_text.main_text("") == ""
     assert html_text.main_text("<nav><a href=x>Menu</a></nav>") == ""
