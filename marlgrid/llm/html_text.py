@@ -59,8 +59,13 @@ BOILERPLATE_WORDS = frozenset(
     "form teaser outbrain taboola paywall skip hidden".split()
 )
 CONTENT_WORDS = frozenset("content article post entry story main text body articlebody".split())
-# Names of frames around a whole page; what else they are called says nothing.
+# Names of frames around a whole page; if one holds the article, what else it is called
+# says nothing.
 FRAME_WORDS = frozenset("with has wrapper wrap container page layout outer site app root".split())
+# The words after these in a name tell what a frame has or lacks.
+HAVING_WORDS = frozenset("with has no without".split())
+# Names of the article itself, beside which a frame word leaves other names open.
+ARTICLE_NAMES = frozenset("article post entry story main articlebody hentry".split())
 
 # Weights of the classifier. A block's score is its weight for content.
 INSIDE_CONTENT, CALLED_CONTENT = 3.0, 2.0
@@ -91,15 +96,24 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Element(NamedTuple):
-    """An open element: its number, its tag, its depth, and what it says of its blocks."""
+    """An open element: its number, its tag, its depth, and what it says of its blocks.
+
+    ``framed`` holds the elements around it, and itself, that are boilerplate unless they
+    hold the article; ``outright`` tells whether one is boilerplate in any case.
+    """
 
     number: int
     tag: str
     depth: int
     score: float
-    boilerplate: bool
+    outright: bool
+    framed: frozenset[int]
     content: bool
 
+    @property
+    def boilerplate(self) -> bool:
+        return self.outright or bool(self.framed)
+
 
 class Block(NamedTuple):
     """Text of one block, its parent elements from the outermost in, and its score."""
@@ -109,11 +123,24 @@ class Block(NamedTuple):
     score: float
 
 
-def _element(number: int, tag: str, attributes: str, parents: list[Element]) -> Element:
-    parent = parents[-1] if parents else Element(-1, "", 0, 0.0, False, False)
-    score, boilerplate, content = parent.score, parent.boilerplate, parent.content
+def _words(value: str) -> tuple[set[str], set[str]]:
+    """The names in an attribute, and their words without those that a frame has or lacks."""
+    words: set[str] = set()
+    for name in value.split():
+        for word in WORD.findall(CAMEL.sub(" ", name).lower()):
+            words.add(word)
+            if word in HAVING_WORDS:
+                break
+    return set(value.lower().split()), words
+
+
+def _element(
+    number: int, tag: str, attributes: str, parents: list[Element], frames: frozenset[int]
+) -> Element:
+    parent = parents[-1] if parents else Element(-1, "", 0, 0.0, False, frozenset(), False)
+    score, outright, framed, content = parent[3:]
     if tag in BOILERPLATE_TAGS:
-        boilerplate = True
+        outright = True
     elif tag in CONTENT_TAGS:
         score += 0.0 if content else INSIDE_CONTENT
         content = True
@@ -121,18 +148,21 @@ def _element(number: int, tag: str, attributes: str, parents: list[Element]) ->
         score += INSIDE_HEADER
     if attributes and tag not in ("html", "body"):
         for match in NAMES.finditer(attributes):
-            value = match[1] or match[2] or match[3] or ""
-            words = set(WORD.findall(CAMEL.sub(" ", value).lower()))
+            names, words = _words(match[1] or match[2] or match[3] or "")
             if words & CONTENT_WORDS and not words & BOILERPLATE_WORDS and not content:
                 score += CALLED_CONTENT
                 content = True
-            if words & BOILERPLATE_WORDS and not words & FRAME_WORDS:
-                # A header of the article itself holds its title.
-                if not (content and words & BOILERPLATE_WORDS == {"header"}):
-                    boilerplate = True
+            # A header of the article itself holds its title.
+            if words & BOILERPLATE_WORDS and not (
+                content and words & BOILERPLATE_WORDS == {"header"}
+            ):
+                if not words & FRAME_WORDS:
+                    outright = True
+                elif number not in frames and not names & ARTICLE_NAMES:
+                    framed |= {number}
         if HIDDEN.search(attributes):
-            boilerplate = True
-    return Element(number, tag, parent.depth + 1, score, boilerplate, content)
+            outright = True
+    return Element(number, tag, parent.depth + 1, score, outright, framed, content)
 
 
 def _score(text: str, link_chars: int, parents: list[Element]) -> float:
@@ -163,6 +193,18 @@ def _closed(page: str) -> set[int]:
 
 def blocks(page: str) -> list[Block]:
     """The non-empty blocks of a page in order, with character references decoded."""
+    found, frames = _blocks(page, frozenset())
+    return _blocks(page, frames)[0] if frames else found
+
+
+def _blocks(page: str, frames: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
+    """The blocks, and the elements that only hold the article or main element.
+
+    ``frames`` are those known to do so. The article is the first one that is no
+    boilerplate itself, unless content came before it.
+    """
+    holding: frozenset[int] = frozenset()
+    article = main = False
     found: list[Block] = []
     parents: list[Element] = []
     parts: list[str] = []
@@ -241,7 +283,18 @@ def blocks(page: str) -> list[Block]:
                     if parents and parents[-1].tag == ended:
                         parents.pop()
                 number += 1
-                parents.append(_element(number, tag, attributes, parents))
+                around = parents[-1].framed if parents else frozenset()
+                element = _element(number, tag, attributes, parents, frames)
+                parents.append(element)
+                if element.outright:
+                    continue
+                itself = element.framed == around
+                if tag == "main" and not main or tag == "article" and not article and itself:
+                    holding |= element.framed
+                    main = main or tag == "main"
+                    article = True
+                elif element.content and not element.framed:
+                    article = True
         elif tag in SKIPPED:
             if not closing and not empty:
                 inside.append(tag)
@@ -254,7 +307,7 @@ def blocks(page: str) -> list[Block]:
             in_link = not closing
     add(page[at:])
     flush()
-    return found
+    return found, holding
 
 
 def _edges(page: list[Block]) -> Iterator[tuple[int, int, float]]:

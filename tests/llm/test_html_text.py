@@ -71,6 +71,34 @@ def test_skipped_elements_end_with_their_parent():
     assert html_text.main_text(page("<script>", "")) == "Before it"
 
 
+def test_a_frame_word_alone_makes_no_frame():
+    text = "The article itself has a sentence that is long enough to be read."
+    other = "A reader wrote this sentence, which is as long as any in the article."
+    plain = f"<article><p>{text}</p></article>"
+    for name in (
+        "comments-wrapper",
+        "comment-container",
+        "commentsWrapper",
+        "sidebar-wrap",
+        "ad-container",
+        "cookie-site-notice",
+        "newsletter page",
+    ):
+        beside = f"<div class='{name}'><p>{other}</p><article class=comment><p>{other}</p></article></div>"
+        for page in (
+            f"<article><p>{text}</p>{beside}</article>",
+            f"<div class=page>{beside}{plain}</div>",
+            f"{plain}<div id='{name}'><div class=text><article><p>{other}</p></article></div></div>",
+            f"<div class=post><p>{text}</p></div>{beside}",
+        ):
+            assert html_text.main_text(page) == text, (name, page)
+        # The same name on what holds the article says nothing.
+        for held in (plain, f"<main><p>{text}</p></main>", f"<div><section>{plain}</section></div>"):
+            assert html_text.main_text(f"<div class='{name} layout'>{held}</div>") == text, name
+    for name in ("has-sidebar", "page-with-sidebar", "no-sidebar", "post has-image comments-open"):
+        assert html_text.main_text(f"<div class='{name}'><p>{text}</p></div>") == text, name
+
+
 def test_odd_pages():
     assert html_text.main_text("") == ""
     assert html_text.main_text("<nav><a href=x>Menu</a></nav>") == ""
