@@ -2,10 +2,10 @@
 
 The kernel of two texts is the number of character n-grams, of every length up to
 ``LONGEST``, that occur in both (a blended spectrum of presence bits), divided by the
-geometric mean of the two texts' own numbers. N-grams are hashed to ``BUCKETS`` bits.
-A Nyström map over landmark texts makes features of the kernel, one-versus-rest ridge
-regression over the features gives a margin per language, and blocks of texts are
-scored by matrix products.
+geometric mean of the two texts' own numbers. N-grams are hashed to ``BUCKETS`` buckets,
+so many that a long text in a large script fills a small part of them. A text is the
+list of its buckets, and is compared with landmarks through the buckets these have. A Nyström map over landmark texts makes features of the kernel, and one-versus-rest ridge
+regression over the features gives a margin per language.
 """
 
 from __future__ import annotations
@@ -14,19 +14,22 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlgrid.llm.texts import map_texts
+from marlgrid.sources.scratch import materialize
 
 LONGEST = 3
-BUCKETS = 1 << 13
+BUCKET_BITS = 22
+BUCKETS = 1 << BUCKET_BITS
 
-# Texts per language that the model is fitted on, in the mean; the landmarks among
-# them; and the number of languages, the most frequent ones.
-TRAIN_TEXTS = 400
-LANDMARKS = 40
-LANGUAGES = 256
+# Texts per language that the model is fitted on, in the mean, and the landmarks among
+# them; and the most of all languages, which share them if there are many.
+TRAIN_TEXTS, ALL_TEXTS = 400, 25_600
+LANDMARKS, ALL_LANDMARKS = 40, 1_280
+# Buckets of a landmark; one that has more is represented by its smallest.
+LANDMARK_BUCKETS = 1 << 14
 
 RIDGE = 1e-3
 
@@ -34,6 +37,9 @@ RIDGE = 1e-3
 BLOCK = 256
 SEGMENT = 1 << 19
 
+# Buckets shared by texts and landmarks that are counted together.
+SHARED = 1 << 20
+
 HASH_RANGE = 1 << 30
 
 _TABLES: dict[str, np.ndarray] = {}
@@ -61,8 +67,8 @@ def _segments(text: str) -> list[str]:
     return [*parts, text]
 
 
-def _mark(bits: np.ndarray, texts: Sequence[str], rows: Sequence[int]) -> None:
-    """Sets in ``bits`` the buckets of the n-grams of each text, in the row given for it."""
+def _keys(texts: Sequence[str], rows: Sequence[int]) -> np.ndarray:
+    """The buckets of the n-grams of each text, in order, with the row given for it above."""
     # Runs of anything but letters count as one space, as does each end of a text.
     joined = "".join([f" {text} " for text in texts])
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -73,22 +79,23 @@ def _mark(bits: np.ndarray, texts: Sequence[str], rows: Sequence[int]) -> None:
     kept[starts] = True
     codes, part = codes[kept], part[kept]
     row = np.asarray(rows)[part]
-    flat = bits.reshape(-1)
+    found = []
     hashes = codes * np.uint32(0x9E3779B1)
     for n in range(1, LONGEST + 1):
         if n > 1:
             hashes = (hashes[:-1] * np.uint32(0x85EBCA6B)) ^ (codes[n - 1 :] * np.uint32(0xC2B2AE35))
         spread = (hashes ^ (hashes >> np.uint32(15))) * np.uint32(0x2C1B3C6D + 2 * n)
         spread ^= spread >> np.uint32(13)
-        bucket = (spread * np.uint32(0x297A2D39)) >> np.uint32(32 - 13)
+        bucket = (spread * np.uint32(0x297A2D39)) >> np.uint32(32 - BUCKET_BITS)
         same = part[: len(part) - n + 1] == part[n - 1 :]
         inside = same & ((codes[: len(same)] > 0) | (n > 1))
-        flat[row[n - 1 :][inside] * BUCKETS + bucket[inside]] = 1
+        found.append((row[n - 1 :][inside] << BUCKET_BITS) + bucket[inside])
+    return np.unique(np.concatenate(found))
 
 
-def presence(texts: list[str]) -> np.ndarray:
-    """One row of n-gram bits per text, as float32; all zero for a text without a letter."""
-    bits = np.zeros((len(texts), BUCKETS), np.float32)
+def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of all texts, text by text and in order, and the text of each."""
+    found = []
     few: list[str] = []
     rows: list[int] = []
     size = 0
@@ -98,53 +105,110 @@ def presence(texts: list[str]) -> np.ndarray:
             rows.append(i)
             size += len(part)
             if size > SEGMENT:
-                _mark(bits, few, rows)
+                found.append(_keys(few, rows))
                 few, rows, size = [], [], 0
     if few:
-        _mark(bits, few, rows)
+        found.append(_keys(few, rows))
+    keys = np.zeros(0, np.int64)
+    if found:
+        keys = found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+    return keys & (BUCKETS - 1), keys >> BUCKET_BITS
+
+
+def presence(texts: list[str]) -> np.ndarray:
+    """One row of n-gram bits per text, as float32; all zero for a text without a letter."""
+    bits = np.zeros((len(texts), BUCKETS), np.float32)
+    bucket, row = buckets(texts)
+    bits[row, bucket] = 1
     return bits
 
 
 def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The normalized kernel between rows of bits; 0 for a row without any."""
-    own = np.sqrt(np.outer(left.sum(1), right.sum(1)))
-    return (left @ right.T) / np.maximum(own, 1.0)
+    return _normalized(left @ right.T, left.sum(1), right.sum(1))
+
+
+def _normalized(shared: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return shared / np.maximum(np.sqrt(np.outer(left, right)), 1.0)
+
+
+class Landmarks:
+    """Lists of buckets, and for each bucket the landmarks that have it."""
+
+    def __init__(self, lists: Sequence[np.ndarray]):
+        self.sizes = np.array([len(x) for x in lists])
+        every = np.concatenate(lists)
+        owner = np.repeat(np.arange(len(lists)), self.sizes)
+        order = np.argsort(every, kind="stable")
+        self.owner = owner[order]
+        self.has, counts = np.unique(every, return_counts=True)
+        self.first = np.concatenate([[0], np.cumsum(counts)])
+        self.place = np.full(BUCKETS, -1, np.int32)
+        self.place[self.has] = np.arange(len(self.has))
+
+    def kernel(self, bucket: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+        """The normalized kernel between ``n`` rows of distinct buckets and the landmarks."""
+        own = np.bincount(row, minlength=n)
+        place = self.place[bucket]
+        place, row = place[place >= 0], row[place >= 0]
+        low, width = self.first[place], self.first[place + 1] - self.first[place]
+        shared = np.zeros(n * len(self.sizes), np.int64)
+        part = np.cumsum(width) // SHARED
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(place)]
+        for start, stop in zip(edges, edges[1:], strict=False):
+            many = width[start:stop]
+            at = np.arange(many.sum()) + np.repeat(low[start:stop] - np.cumsum(many) + many, many)
+            cell = np.repeat(row[start:stop] * len(self.sizes), many) + self.owner[at]
+            # The rows of a part follow each other.
+            least = row[start] * len(self.sizes) if stop > start else 0
+            counted = np.bincount(cell - least)
+            shared[least : least + len(counted)] += counted
+        return _normalized(shared.reshape(n, -1), own, self.sizes)
 
 
 class LanguageModel(NamedTuple):
-    """``landmarks`` are packed bits; ``weights`` lead from their kernel values to margins."""
+    """``landmarks`` are lists of buckets; ``weights`` lead from their kernel values to margins."""
 
     languages: list[str]
-    landmarks: np.ndarray
+    landmarks: list[np.ndarray]
     weights: np.ndarray
     bias: np.ndarray
 
-    def margins(self, bits: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
+    def margins(self, values: np.ndarray) -> np.ndarray:
         """One margin per text and language, about 1 for the language and -1 for others."""
-        return kernel(bits, landmarks) @ self.weights + self.bias
-
-
-def fit(bits: np.ndarray, labels: Sequence[str], landmarks: int = LANDMARKS) -> LanguageModel:
-    """Kernel ridge regression, one language against the rest, over ``landmarks`` per language."""
-    languages = sorted(set(labels))
-    of = np.array([languages.index(label) for label in labels])
-    chosen = np.concatenate([np.flatnonzero(of == k)[:landmarks] for k in range(len(languages))])
-    marks = bits[chosen]
-    values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
-    large = values > 1e-6 * values[-1]
-    nystrom = vectors[:, large] / np.sqrt(values[large])
-    features = kernel(bits, marks) @ nystrom
-    targets = np.where(of[:, None] == np.arange(len(languages)), 1.0, -1.0)
+        return values @ self.weights + self.bias
+
+
+def fit(
+    values: np.ndarray, labels: Sequence[str], landmarks: list[np.ndarray]
+) -> LanguageModel:
+    """Kernel ridge regression, one language against the rest.
+
+    ``values`` are the kernel between the texts of ``labels`` and ``landmarks``.
+    """
+    languages, of = np.unique(np.array(labels, object), return_inverse=True)
+    marks = Landmarks(landmarks)
+    among = marks.kernel(
+        np.concatenate(landmarks), np.repeat(np.arange(len(landmarks)), marks.sizes), len(landmarks)
+    )
+    scales, vectors = np.linalg.eigh(among.astype(np.float64))
+    large = scales > 1e-6 * scales[-1]
+    nystrom = vectors[:, large] / np.sqrt(scales[large])
+    features = values @ nystrom
     # Languages count alike, however many texts each has.
     share = 1.0 / np.bincount(of)[of]
     share /= share.sum()
-    center, level = share @ features, share @ targets
+    center, level = share @ features, 2.0 / len(languages) - 1.0
     moved = features - center
     gram = moved.T @ (moved * share[:, None]) + RIDGE * np.eye(features.shape[1])
-    solved = np.linalg.solve(gram, moved.T @ ((targets - level) * share[:, None]))
+    # Targets are 1 for the language and -1 for others, less their mean.
+    order = np.argsort(of, kind="stable")
+    starts = np.searchsorted(of[order], np.arange(len(languages)))
+    targets = 2.0 * np.add.reduceat((moved * share[:, None])[order], starts)
+    solved = np.linalg.solve(gram, targets.T)
     return LanguageModel(
-        languages,
-        np.packbits(marks.astype(np.uint8), axis=1),
+        languages.tolist(),
+        landmarks,
         (nystrom @ solved).astype(np.float32),
         (level - center @ solved).astype(np.float32),
     )
@@ -155,37 +219,68 @@ def learn(
 ) -> LanguageModel | None:
     """Fits a model on rows of ``docs`` for which ``learn_from`` holds and ``lang`` is not null.
 
-    Rows are drawn by a hash of ``key``, about ``TRAIN_TEXTS`` of each of the
-    ``LANGUAGES`` most frequent languages. Only bits of bounded size come to the
-    driver. None if there is nothing to learn from.
+    Rows are drawn by a hash of ``key``, about ``TRAIN_TEXTS`` of each language. All
+    languages found share ``ALL_TEXTS`` and ``ALL_LANDMARKS`` alike, with one text of each at
+    least. Only the landmarks' buckets and kernel values come to the driver. None if
+    there is nothing to learn from.
     """
     usable = docs.filter(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES).collect()
-    if not counts:
+    counts = materialize(usable.groupBy(F.col(lang).alias("_lang")).count(), "languages")
+    n = counts.count()
+    if not n:
         return None
-    limit = F.lit(0)
-    for row in counts:
-        below = min(HASH_RANGE, HASH_RANGE * TRAIN_TEXTS // row["count"])
-        limit = F.when(F.col(lang) == row[lang], below).otherwise(limit)
+    texts = min(TRAIN_TEXTS, max(1, ALL_TEXTS // n))
+    marks = min(LANDMARKS, max(1, ALL_LANDMARKS // n))
+    # Of a small share more are drawn, lest a language has none.
+    tried = texts if texts == TRAIN_TEXTS else texts + 5 * texts**0.5 + 20
+    below = F.least(F.lit(float(HASH_RANGE)), F.lit(HASH_RANGE * tried) / F.col("count"))
+    limits = counts.select("_lang", below.alias("_below"))
     number = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(HASH_RANGE))
-    drawn = usable.filter(number < limit).select(number.alias("_number"), F.col(lang).alias("_lang"), text)
+    drawn = (
+        usable.select(number.alias("_number"), F.col(lang).alias("_of"), F.col(text).alias("_text"))
+        .join(F.broadcast(limits), F.col("_of") == F.col("_lang"))
+        .filter("_number < _below")
+        .select("_number", "_lang", "_text")
+    )
+    drawn = materialize(drawn, "language-texts")
 
-    def bits_of(texts: list[str]) -> list[list[bytes]]:
+    def buckets_of(texts: list[str]) -> list[list]:
         found = []
-        for i in range(0, len(texts), BLOCK):
-            bits = presence(texts[i : i + BLOCK]).astype(np.uint8)
-            found += [row.tobytes() for row in np.packbits(bits, axis=1)]
+        for text in texts:
+            found.append(buckets([text])[0][:LANDMARK_BUCKETS].astype(np.int32).tobytes())
         return [found]
 
-    rows = map_texts(drawn, ["_number", "_lang"], text, bits_of, {"bits": "binary"}).collect()
-    rows = sorted(rows, key=lambda row: (row["_number"], row["_lang"], bytes(row["bits"])))
-    packed = np.array([np.frombuffer(row["bits"], np.uint8) for row in rows]).reshape(len(rows), -1)
-    bits = np.unpackbits(packed, axis=1).astype(np.float32)
-    told = bits.any(axis=1)
-    if not told.any():
+    told = map_texts(drawn, ["_number", "_lang"], "_text", buckets_of, {"buckets": "binary"})
+    told = materialize(told.filter(F.length("buckets") > 0), "language-buckets")
+    by_number = Window.partitionBy("_lang").orderBy("_number", "buckets")
+    ranked = told.withColumn("_rank", F.row_number().over(by_number)).filter(F.col("_rank") <= marks)
+    rows = ranked.orderBy("_rank", "_lang").limit(ALL_LANDMARKS).collect()
+    if not rows:
         return None
-    labels = [row["_lang"] for row, letters in zip(rows, told, strict=True) if letters]
-    return fit(bits[told], labels)
+    landmarks = [np.frombuffer(row["buckets"], np.int32) for row in rows]
+    held, against = landmarks, []
+
+    def values_of(texts: list[str]) -> list[list[bytes]]:
+        if not against:
+            against.append(Landmarks(held))
+        found = []
+        for i in range(0, len(texts), BLOCK):
+            block = texts[i : i + BLOCK]
+            bucket, row = buckets(block)
+            values = against[0].kernel(bucket, row, len(block)).astype(np.float32)
+            told = np.bincount(row, minlength=len(block)) > 0
+            found += [v.tobytes() if t else None for v, t in zip(values, told, strict=True)]
+        return [found]
+
+    rated = map_texts(drawn, ["_number", "_lang"], "_text", values_of, {"values": "binary"})
+    rated = materialize(rated.filter(F.col("values").isNotNull()), "language-values")
+    by_number = Window.partitionBy("_lang").orderBy("_number", "values")
+    rated = rated.withColumn("_rank", F.row_number().over(by_number))
+    if texts < TRAIN_TEXTS:
+        rated = rated.filter(F.col("_rank") <= texts)
+    rows = sorted(rated.collect(), key=lambda row: (row["_number"], row["_lang"], bytes(row["values"])))
+    values = np.array([np.frombuffer(row["values"], np.float32) for row in rows])
+    return fit(values, [row["_lang"] for row in rows], landmarks)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:
@@ -197,20 +292,20 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
     columns with those two names are replaced. No row moves between tasks.
     """
 
+    against: list[Landmarks] = []
+
     def judge(texts: list[str]) -> list[list]:
         names: list[str] = []
         scores: list[float] = []
-        marks = None
-        if model is not None:
-            marks = np.unpackbits(model.landmarks, axis=1).astype(np.float32)
+        if model is None:
+            return [["und"] * len(texts), [0.0] * len(texts)]
+        if not against:
+            against.append(Landmarks(model.landmarks))
         for i in range(0, len(texts), BLOCK):
-            bits = presence(texts[i : i + BLOCK])
-            told = bits.any(axis=1)
-            if marks is None:
-                margins = np.zeros((len(bits), 1))
-                told[:] = False
-            else:
-                margins = model.margins(bits, marks)
+            block = texts[i : i + BLOCK]
+            bucket, row = buckets(block)
+            told = np.bincount(row, minlength=len(block)) > 0
+            margins = model.margins(against[0].kernel(bucket, row, len(block)).astype(np.float32))
             best = margins.argmax(axis=1)
             score = np.clip((margins[np.arange(len(best)), best] + 1) / 2, 0.0, 1.0)
             names += [model.languages[b] if t else "und" for b, t in zip(best, told, strict=True)]

@@ -76,3 +76,35 @@ def test_nulls_empty_texts_and_clashing_columns(spark):
     assert language.learn(none, "doc_id", F.lit(True)) is None
     assert language.identify(none, None).count() == 0
     assert {r.lang_pred for r in language.identify(rows, None).collect()} == {"und"}
+
+
+def made_up(rng, start: int, n: int) -> str:
+    """A text in a script of 8,000 letters, the first ones most frequent."""
+    return "".join(chr(start + int(x)) for x in 8_000 ** rng.random(n) - 1)
+
+
+def test_long_texts_in_large_scripts(spark):
+    rng = np.random.default_rng(4)
+    scripts = {"a": 0x4E00, "b": 0x6E00, "c": 0xAC00}
+    rows = [(made_up(rng, at, 400), lang) for lang, at in scripts.items() for _ in range(60)]
+    schema = "doc_id int, text string, lang string"
+    docs = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], schema)
+    model = language.learn(docs, "doc_id", F.lit(True))
+    long = [(i, made_up(rng, at, 200_000), lang) for i, (lang, at) in enumerate(scripts.items())]
+    got = language.identify(spark.createDataFrame(long, schema), model).collect()
+    assert {r.lang: r.lang_pred for r in got} == {lang: lang for lang in scripts}
+
+
+def test_all_languages_share_the_sample(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    langs = {f"l{k:03}": 0x4E00 + 60 * k for k in range(300)}
+    word = lambda at: "".join(chr(at + int(x)) for x in rng.integers(0, 60, 4))
+    rows = [(" ".join(word(at) for _ in range(30)), lang) for lang, at in langs.items() for _ in range(4)]
+    schema = "doc_id int, text string, lang string"
+    docs = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], schema)
+    for texts in (25_600, 600):
+        monkeypatch.setattr(language, "ALL_TEXTS", texts, raising=False)
+        model = language.learn(docs, "doc_id", F.lit(True))
+        assert model.languages == sorted(langs)
+        got = language.identify(docs, model).collect()
+        assert np.mean([r.lang == r.lang_pred for r in got]) > 0.99
