@@ -221,7 +221,7 @@ def learn(
 
     Rows are drawn by a hash of ``key``, about ``TRAIN_TEXTS`` of each language. All
     languages found share ``ALL_TEXTS`` and ``ALL_LANDMARKS`` alike, with one text of each at
-    least. Only the landmarks' buckets and kernel values come to the driver. None if
+    least; of several texts of one key and language one is taken. Only the landmarks' buckets and kernel values come to the driver. None if
     there is nothing to learn from.
     """
     usable = docs.filter(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -237,10 +237,11 @@ def learn(
     limits = counts.select("_lang", below.alias("_below"))
     number = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(HASH_RANGE))
     drawn = (
-        usable.select(number.alias("_number"), F.col(lang).alias("_of"), F.col(text).alias("_text"))
+        usable.select(F.col(key).alias("_key"), number.alias("_number"), F.col(lang).alias("_of"), F.col(text).alias("_text"))
         .join(F.broadcast(limits), F.col("_of") == F.col("_lang"))
         .filter("_number < _below")
-        .select("_number", "_lang", "_text")
+        .groupBy("_key", "_number", "_lang")
+        .agg(F.min_by("_text", F.md5("_text")).alias("_text"))
     )
     drawn = materialize(drawn, "language-texts")
 

@@ -54,13 +54,19 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> tuple[np.ndarray
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, key: str, columns: dict[str, Column], size: int = SAMPLE
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str,
+    columns: dict[str, Column],
+    size: int = SAMPLE,
+    text: str = "text",
 ) -> DataFrame:
-    """``docs`` with labels, about ``size`` of each label, drawn by a hash of ``key``.
+    """``key`` and ``text`` of ``docs`` with labels, about ``size`` of each label, drawn by a hash of ``key``.
 
     ``columns`` gives each label as a boolean over ``labels``. A document with
     several rows of labels has a label if any of them says so; a null says nothing. A
-    document that lacks one label, or is drawn for another only, has a null there.
+    document that lacks one label, or is drawn for another only, has a null there. Of
+    several texts of one key, the one of the smallest digest stands for it.
     What is broadcast has at most about ``size`` rows of a few bytes per label.
     """
     number = F.pmod(F.xxhash64(F.col(key), F.lit(2)), F.lit(HASH_RANGE))
@@ -75,4 +81,5 @@ def labelled_sample(
         .groupBy(F.col(key).alias("_drawn"))
         .agg(*[F.max(column.cast("int")).alias(name) for name, column in own.items()])
     )
-    return docs.join(F.broadcast(drawn), docs[key] == drawn["_drawn"]).drop("_drawn")
+    found = docs.join(F.broadcast(drawn), docs[key] == drawn["_drawn"])
+    return found.groupBy(key, *columns).agg(F.min_by(text, F.md5(text)).alias(text))

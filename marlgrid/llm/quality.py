@@ -104,7 +104,7 @@ def learn(
     None if there is no labelled text, or all labels are alike.
     """
     usable = docs.select(F.col(key), F.col(text)).filter(F.col(text).isNotNull())
-    sample = labelled_sample(usable, labels, key, {"_good": good})
+    sample = labelled_sample(usable, labels, key, {"_good": good}, text=text)
     number = F.xxhash64(F.col(key), F.lit(3)).alias("_number")
 
     def run(texts: list[str]) -> list[list]:

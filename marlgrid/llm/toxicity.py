@@ -121,7 +121,7 @@ def learn(
     features.
     """
     usable = docs.select(F.col(key), F.col(text)).filter(F.col(text).isNotNull())
-    sample = labelled_sample(usable, labels, key, categories)
+    sample = labelled_sample(usable, labels, key, categories, text=text)
 
     def terms_of(texts: list[str]) -> list[list]:
         return [[sorted(terms(x)) for x in texts]]

@@ -94,6 +94,14 @@ def test_a_rare_label_is_not_thinned_out_by_a_frequent_one(spark):
     assert 50 < sum(r.good is not None for r in sample) < 200
 
 
+def test_a_key_of_many_rows_counts_once(spark):
+    rows = [(1, f"text {i}") for i in range(500)] + [(i, "x") for i in range(2, 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic")).distinct()
+    sample = linear.labelled_sample(docs, labels, "doc_id", {"toxic": F.col("toxic") == 1})
+    assert sorted(r.doc_id for r in sample.collect()) == list(range(1, 20))
+
+
 def test_conflicting_and_missing_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id long, text string")
     labels = spark.createDataFrame(

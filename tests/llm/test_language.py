@@ -108,3 +108,11 @@ def test_all_languages_share_the_sample(spark, monkeypatch):
         assert model.languages == sorted(langs)
         got = language.identify(docs, model).collect()
         assert np.mean([r.lang == r.lang_pred for r in got]) > 0.99
+
+
+def test_a_key_of_many_rows_counts_once(spark, monkeypatch):
+    rows = [(1, f"the text {'ab' * i}", "en") for i in range(300)]
+    rows += [(i, "le texte", "fr") for i in range(2, 9)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    monkeypatch.setattr(language, "fit", lambda values, labels, *_: labels)
+    assert sorted(language.learn(docs, "doc_id", F.lit(True))) == ["en", *["fr"] * 7]
