@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +46,24 @@ def test_toxic_documents_are_found_and_others_left(spark, halves):
     assert [r.p_toxic for r in got if r.doc_id in (-1, -2, -3)] == [0.0] * 3
 
 
+def test_poor_documents_with_a_telling_word_are_found_toxic(spark, halves):
+    labels, unseen = halves
+    docs = queries.read(spark, SF, "documents")
+    every = {r.doc_id: r.toxic for r in queries.read(spark, SF, "labels").collect()}
+    words = {r.doc_id: toxicity.words_of(r.text or "") for r in docs.collect() if r.doc_id in every}
+    innocent = set().union(*(words[i] for i, toxic in every.items() if not toxic))
+    known = Counter(w for i, toxic in every.items() if toxic and i not in unseen for w in words[i])
+    telling = {w for w, n in known.items() if n >= 20 and len(w) > 1} - innocent
+    assert "idiot" in telling and len(telling) >= 5
+    wanted = [i for i, r in unseen.items() if r.toxic and words[i] & telling]
+    assert any(not unseen[i].quality for i in wanted)
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.learn(docs, labels, categories, "doc_id")
+    told = docs.filter(F.col("doc_id").isin(wanted)).select("doc_id", "text")
+    missed = [r.doc_id for r in toxicity.rate(told, chain).collect() if not r.rejected]
+    assert len(missed) <= 0.05 * len(wanted)
+
+
 def test_chains_need_labels_of_both_kinds(spark):
     docs = queries.read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
     labels = queries.read(spark, "/root/testdata/sf0.001", "labels")
