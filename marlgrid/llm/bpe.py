@@ -1,7 +1,7 @@
 """Encoding and decoding with a byte-pair vocabulary, whole texts of any length.
 
-A token never holds white space, so a text is encoded word by word, and words that a
-task meets again are not encoded again. What remains is long text that the
+Where a token never holds white space, a text is encoded word by word, and words that
+a task meets again are not encoded again. What remains is long text that the
 pre-tokenizer does not split: one run of letters or of signs may fill a document. It
 is cut in halves down to leaves, the leaves are encoded in parallel, and neighbours are
 joined from the bottom up. At each join the text around it is encoded anew, over a
@@ -12,6 +12,7 @@ list is the encoding of the whole run.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -19,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
@@ -42,14 +44,17 @@ CUT = -1
 
 Token = tuple[int, str]
 
-# Fixed value: how the pre-tokenizer cuts ASCII text that has no apostrophe.
+# The expression that the pre-tokenizer of a word vocabulary cuts text with,
+# and the same for lower-case ASCII text that has no apostrophe.
+WORD_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ASCII_PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9\t-\r ]+")
 
 
 class TreeEncoder:
     """Encodes texts exactly as ``tokenizer`` does without adding special tokens.
 
-    ``tokenizer`` must drop white space and mark the end of a word by a suffix, or not at all.
+    ``tokenizer`` must mark the end of a word by a suffix, or not at all. Texts are cut
+    into words before only if it is known to treat these apart (``splits_words``).
     """
 
     def __init__(self, tokenizer: Tokenizer, leaf: int = LEAF_CHARS, window: int = FIRST_WINDOW):
@@ -59,6 +64,7 @@ class TreeEncoder:
         self.model = Tokenizer(tokenizer.model)
         self.suffix = tokenizer.model.end_of_word_suffix or ""
         self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.words = _words if splits_words(tokenizer) else _whole
         self.leaf = leaf
         self.window = window
         self.clear()
@@ -71,7 +77,7 @@ class TreeEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in order, and the number of ids of each text."""
-        words = [_words(text) for text in texts]
+        words = [self.words(text) for text in texts]
         if len(self.store) > KEPT_WORDS or len(self.flat) > 8 * KEPT_WORDS:
             self.clear()
         store = self.store
@@ -102,7 +108,7 @@ class TreeEncoder:
         return self.flat[place], np.diff(of_text)
 
     def encode_run(self, word: str) -> np.ndarray:
-        """The ids of text without white space, however long."""
+        """The ids of text, however long."""
         if len(word) <= self.leaf or any(content in word for content in self.added):
             return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.int32)
         normal = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
@@ -169,6 +175,32 @@ def _meeting(before: list[Token], after: list[Token], middle: list[Token]) -> tu
     return None
 
 
+def splits_words(tokenizer: Tokenizer) -> bool:
+    """Whether white space separates words that ``tokenizer`` treats apart, as ``_words`` cuts them."""
+    told = json.loads(tokenizer.to_str())
+    normalizers = (told["normalizer"] or {}).get("normalizers", [])
+    kinds = [x["type"] for x in normalizers]
+    cutters = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        kinds == ["NFC", "Replace", "Lowercase"]
+        and normalizers[1]["pattern"] == {"Regex": "\\s+"}
+        and normalizers[1]["content"] == " "
+        and [x["type"] for x in cutters] == ["Split", "ByteLevel"]
+        and cutters[0]["pattern"] == {"Regex": WORD_PARTS}
+        and (cutters[0]["behavior"], cutters[0]["invert"]) == ("Removed", True)
+        and not cutters[1]["add_prefix_space"]
+        and not cutters[1]["use_regex"]
+        and all(
+            token.content.startswith("<|") and not (token.normalized or token.lstrip or token.rstrip)
+            for token in tokenizer.get_added_tokens_decoder().values()
+        )
+    )
+
+
+def _whole(text: str) -> list[str]:
+    return [text] if text else []
+
+
 def _words(text: str) -> list[str]:
     """Parts of a text that the tokenizer treats apart from each other, without white space."""
     for space in "\n\t\r":
@@ -194,31 +226,65 @@ def encode(
     empty text has no ids. Repeated rows are encoded each; columns that are called as the
     added ones are replaced. No row moves between tasks.
     """
-    made: dict[str, TreeEncoder] = {}
+    made: list = []
 
     def run(texts: list[str]) -> list[pa.Array]:
         if not made:
             _threads()
-            made[path] = TreeEncoder(Tokenizer.from_file(path))
-        values, counts = made[path].encode(texts)
+            tokenizer = Tokenizer.from_file(path)
+            made.extend([TreeEncoder(tokenizer), Decoder(tokenizer)])
+        encoder, decoder = made
+        values, counts = encoder.encode(texts)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
-        return [lists, _decoded(made[path].tokenizer, lists)] if decoded else [lists]
+        return [lists, decoder.decode(lists)] if decoded else [lists]
 
     added = {ids: "array<int>"} | ({decoded: "string"} if decoded else {})
     return map_texts(docs, docs.columns, text, run, added)
 
 
-def _decoded(tokenizer: Tokenizer, lists: pa.ListArray) -> pa.Array:
-    """The text of each list of ids; rows with about ``PIECE_IDS`` ids go together."""
-    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    piece = np.cumsum(counts) // PIECE_IDS
-    edges = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(lists)]
-    found = []
-    for a, b in zip(edges, edges[1:], strict=False):
-        part = [x or [] for x in lists.slice(a, b - a).to_pylist()]
-        found.append(pa.array(tokenizer.decode_batch(part, skip_special_tokens=False), pa.string()))
-    return pa.concat_arrays(found)
+class Decoder:
+    """Makes text of lists of ids, exactly as ``tokenizer`` does with special tokens kept.
+
+    A vocabulary without a decoder has its tokens joined by spaces, which Arrow does on
+    whole columns. Other vocabularies, and ids that the vocabulary lacks, go to the library.
+    """
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = tokenizer
+        self.tokens = None
+        if tokenizer.decoder is None:
+            names = tokenizer.get_vocab(with_added_tokens=True)
+            tokens = [None] * (max(names.values(), default=-1) + 1)
+            for token, number in names.items():
+                tokens[number] = token
+            self.tokens = pa.array(tokens, pa.string())
+
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The text of each list of ids; no text for a null list."""
+        ids = lists.flatten()
+        if self.tokens is not None and not ids.null_count:
+            known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(self.tokens)))
+            if pc.all(known).as_py() is not False:
+                tokens = self.tokens.take(ids)
+                if not tokens.null_count:
+                    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                    parts = pa.ListArray.from_arrays(pa.array(offsets), tokens)
+                    return pc.binary_join(parts, " ")
+        return self.by_library(lists)
+
+    def by_library(self, lists: pa.ListArray) -> pa.Array:
+        """The same by the library; rows with about ``PIECE_IDS`` ids go together."""
+        counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(counts) // PIECE_IDS
+        edges = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(lists)]
+        found = []
+        for a, b in zip(edges, edges[1:], strict=False):
+            part = [x or [] for x in lists.slice(a, b - a).to_pylist()]
+            texts = self.tokenizer.decode_batch(part, skip_special_tokens=False)
+            found.append(pa.array(texts, pa.string()))
+        return pa.concat_arrays(found)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -228,18 +294,18 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     """
     keep = [name for name in rows.columns if name != text]
     schema = rows.select(*keep).schema.add(text, "string")
-    made: dict[str, Tokenizer] = {}
+    made: list[Decoder] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not made:
             _threads()
-            made[path] = Tokenizer.from_file(path)
+            made.append(Decoder(Tokenizer.from_file(path)))
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             lists = batch.column(batch.schema.get_field_index(ids))
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(keep).columns, _decoded(made[path], lists)], names=[*keep, text]
+                [*batch.select(keep).columns, made[0].decode(lists)], names=[*keep, text]
             )
 
     return rows.mapInArrow(run, schema)

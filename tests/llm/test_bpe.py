@@ -73,6 +73,27 @@ def test_another_vocabulary_without_word_ends():
         assert encoder.encode_run(text).tolist() == tokenizer.encode(text).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_file_through_the_operator(spark, monkeypatch, name):
+    monkeypatch.setattr(bpe, "LEAF_CHARS", 64)
+    path = public_tokenizers.path(name)
+    tokenizer = Tokenizer.from_file(path)
+    assert bpe.splits_words(tokenizer) == name.startswith("word")
+    texts = [*awkward_texts(40), "Some words,  and\n\nmore 123 words!", "ab" * 3_000, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for row in bpe.encode(docs, path, decoded="decoded").collect():
+        ids = tokenizer.encode(texts[row.doc_id] or "", add_special_tokens=False).ids
+        assert row.ids == ids, texts[row.doc_id]
+        assert row.decoded == tokenizer.decode(ids, skip_special_tokens=False)
+
+
+def test_ids_that_no_vocabulary_has(spark, library):
+    lists = [[320, 999_999, 321], [49_407, 5], [-1], [], None]
+    rows = spark.createDataFrame(list(enumerate(lists)), "n int, ids array<int>")
+    for row in bpe.decode(rows.filter("n != 2"), VOCABULARY).collect():
+        assert row.decoded == library.decode(lists[row.n] or [], skip_special_tokens=False)
+
+
 def test_nulls_repeats_and_clashing_columns(spark, library):
     texts = [None, "", "  ", "Same text", "Same text", "x" * 20_000]
     rows = [(i, text, "old", "old") for i, text in enumerate(texts)]
