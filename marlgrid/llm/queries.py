@@ -16,6 +16,7 @@ from marlgrid.llm import (
     mixing,
     quality,
     repeats,
+    spelling,
     toxicity,
     url_rules,
     vectors,
@@ -211,6 +212,74 @@ def op10_repeat_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents, with its near words' number, its form and its root."""
+    return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _spelling_sql() -> str:
+    upper, lower = url_rules.UPPER, url_rules.LOWER
+    fewest = spelling.LEAST_CHARS
+    return f"""
+        WITH RECURSIVE table_of AS (
+            SELECT list(c ORDER BY b) AS crc
+            FROM (SELECT b, list_reduce(list_concat([b], range(8)), lambda c, i:
+                             CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+                  FROM range(256) bytes(b))
+        ), runs AS (
+            SELECT doc_id, run, count(*) AS c
+            FROM (SELECT doc_id, unnest(regexp_extract_all(
+                             translate(text, '{upper}', '{lower}'), '[a-zÀ-ÿ]{{{fewest},}}')) AS run
+                  FROM documents)
+            GROUP BY ALL
+        ), bytes AS (
+            SELECT run, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h
+            FROM runs
+        ), sums AS (
+            SELECT run, c, xor(4294967295, list_reduce(
+                       list_concat([4294967295], list_transform(range(length(h) // 2),
+                           lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+                       lambda a, b: xor(a >> 8, crc[1 + (xor(a, b) & 255)]))) AS h
+            FROM bytes, table_of
+        ), words AS (
+            SELECT word, CAST(sum(c) AS BIGINT) AS n
+            FROM (SELECT CASE WHEN h % {spelling.DAMAGED} = 0
+                              THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                              ELSE run END AS word, c
+                  FROM sums)
+            WHERE length(word) >= {fewest} GROUP BY word HAVING sum(c) >= {spelling.LEAST_COUNT}
+        ), cut AS (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), pairs AS (
+            SELECT a.word, b.word AS other, b.n
+            FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION
+            SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+            UNION
+            SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word
+        ), best AS (
+            SELECT word, count(*) AS n_near,
+                   arg_min(other, struct_pack(m := -n, o := other)) AS other, max(n) AS other_n
+            FROM pairs GROUP BY word
+        ), formed AS (
+            SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+                   CASE WHEN b.other_n >= {spelling.FORM_FACTOR} * w.n THEN b.other END AS form,
+                   CASE WHEN b.other_n >= {spelling.FORM_FACTOR} * w.n THEN b.other_n END AS form_n
+            FROM words w LEFT JOIN best b ON w.word = b.word
+        ), led AS (
+            SELECT word, word AS root, 0 AS steps FROM formed
+            UNION ALL
+            SELECT l.word, f.form, steps + 1
+            FROM led l JOIN formed f ON l.root = f.word WHERE f.form IS NOT NULL
+        )
+        SELECT f.word, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form,
+               CAST(f.form_n AS BIGINT) AS form_n, l.root
+        FROM formed f JOIN (SELECT word, arg_max(root, steps) AS root FROM led GROUP BY word) l
+            ON f.word = l.word
+    """
+
+
 def _url_sql() -> str:
     quote = lambda text: "'" + text.replace("'", "''") + "'"
     rows = lambda rules: ", ".join(
@@ -317,6 +386,10 @@ def _mixture_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op5_mixture, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op5_mixture, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules, op11_spelling]
 
-SQL: dict[str, str] = {"op5_mixture": _mixture_sql(), "op9_url_rules": _url_sql()}
+SQL: dict[str, str] = {
+    "op5_mixture": _mixture_sql(),
+    "op9_url_rules": _url_sql(),
+    "op11_spelling": _spelling_sql(),
+}
