@@ -20,6 +20,7 @@ from marlgrid.llm import (
     toxicity,
     url_rules,
     vectors,
+    whitening,
 )
 
 # The prefix rules that the query is asked to apply.
@@ -217,6 +218,13 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's coordinates in the leading components, at unit variance."""
+    rows = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    # Null where the exact number has no bigint, which takes millions of vectors.
+    return rows.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 def _spelling_sql() -> str:
     upper, lower = url_rules.UPPER, url_rules.LOWER
     fewest = spelling.LEAST_CHARS
@@ -386,7 +394,7 @@ def _mixture_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op5_mixture, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules, op11_spelling]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op5_mixture, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules, op11_spelling, op12_whitening]
 
 SQL: dict[str, str] = {
     "op5_mixture": _mixture_sql(),
