@@ -17,6 +17,7 @@ from marlgrid.llm import (
     quality,
     repeats,
     spelling,
+    topk,
     toxicity,
     url_rules,
     vectors,
@@ -225,6 +226,30 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
+def op13_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors of the highest score for every vector whose id is divisible by 20."""
+    return topk.top_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+TOP_PRODUCTS_SQL = """
+    WITH scaled AS (
+        SELECT vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS x
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    ), scores AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+        FROM scaled q JOIN scaled c ON q.vec_id <> c.vec_id
+        WHERE q.vec_id % 20 = 0
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+        FROM scores
+    )
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def _spelling_sql() -> str:
     upper, lower = url_rules.UPPER, url_rules.LOWER
     fewest = spelling.LEAST_CHARS
@@ -394,10 +419,11 @@ def _mixture_sql() -> str:
     """
 
 
-QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op5_mixture, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules, op11_spelling, op12_whitening]
+QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_language, op2_quality, op3_near_vectors, op4_html_text, op5_mixture, op6_bpe, op7_toxicity, op8_near_duplicates, op9_url_rules, op10_repeat_rules, op11_spelling, op12_whitening, op13_top_products]
 
 SQL: dict[str, str] = {
     "op5_mixture": _mixture_sql(),
     "op9_url_rules": _url_sql(),
     "op11_spelling": _spelling_sql(),
+    "op13_top_products": TOP_PRODUCTS_SQL,
 }

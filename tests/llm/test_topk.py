@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marlgrid.llm import topk
+from marlgrid.llm.queries import op13_top_products, read
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "vec_id bigint, embedding array<float>"
+
+
+def asks():
+    return F.col("vec_id") % 20 == 0
+
+
+def brute(rows: list[tuple], k: int = 20, scale: int = 64) -> list[tuple]:
+    """Rows must not repeat a key and a vector."""
+    scaled = [
+        (key, [math.floor(scale * float(np.float32(c))) for c in vector])
+        for key, vector in rows
+        if vector is not None and all(c is not None and math.isfinite(c) for c in vector)
+    ]
+    found = []
+    for i, (query, q) in enumerate(scaled):
+        if query is None or query % 20:
+            continue
+        scores = [
+            (-sum(a * b for a, b in zip(q, x)), key is None, key or 0, key)
+            for j, (key, x) in enumerate(scaled)
+            if j != i
+        ]
+        best = sorted(scores, key=lambda s: s[:3])[:k]
+        found += [(query, n, key, -score) for n, (score, _, _, key) in enumerate(best, 1)]
+    return found
+
+
+def text(rows: list) -> list[str]:
+    return sorted(str(tuple(r)) for r in rows)
+
+
+def awkward_rows(n: int = 900, width: int = 6) -> list[tuple]:
+    rng = np.random.default_rng(11)
+    centers = rng.normal(size=(15, width)) * rng.choice([0.2, 1, 5], (15, 1))
+    x = centers[rng.integers(15, size=n)] + rng.normal(size=(n, width)) * 0.05
+    # Many copies of one vector, also of a query's, and vectors with equal scores.
+    x[100:260] = x[100]
+    x[300:330] = np.round(x[300:330])
+    rows: list = [(i, [float(c) for c in v.astype(np.float32)]) for i, v in enumerate(x)]
+    odd: list = [None, [None] * width, [float("nan")] * width, [float("inf")] * width, [], [0.0] * width]
+    odd += [[1.0], [2.0] * (width + 2), [-3.0] * width]
+    rows += list(enumerate(odd, 2_000)) + [(None, [0.5] * width), (-20, [0.25] * width)]
+    return rows
+
+
+@pytest.mark.parametrize(
+    ("bucket", "block", "chunk", "cost"),
+    [(8_192, 8_192, 256, 8), (64, 7, 5, 8), (64, 16, 5, 0), (100, 16, 5, 1e9)],
+)
+def test_against_brute_force(spark, monkeypatch, bucket, block, chunk, cost):
+    for name, value in zip(("BUCKET", "QUERY_BLOCK", "CHUNK", "LOOKUP_COST"), (bucket, block, chunk, cost)):
+        monkeypatch.setattr(topk, name, value)
+    rows = awkward_rows()
+    table = spark.createDataFrame(
+        [(*r, "x", 1) for r in rows], f"{SCHEMA}, rank string, _score int"
+    )
+    assert text(topk.top_products(table, asks()).collect()) == text(brute(rows))
+    assert text(topk.top_products(table, asks(), k=1).collect()) == text(brute(rows, 1))
+
+
+def test_repeated_rows_few_rows_and_none(spark):
+    rows = [(20, [1.0]), (1, [2.0])]
+    table = spark.createDataFrame([*rows, rows[0], rows[0], rows[1]], SCHEMA)
+    assert text(topk.top_products(table, asks()).collect()) == text([(20, 1, 1, 64 * 128)])
+    for rows in ([], [(20, None)], [(1, [1.0])], [(20, [1.0])]):
+        found = topk.top_products(spark.createDataFrame(rows, SCHEMA), asks())
+        assert found.collect() == [] and found.columns == ["query_id", "rank", "vec_id", "score"]
+    # Two vectors under one key are a query each, and searched each.
+    twice = spark.createDataFrame([(20, [1.0]), (20, [3.0])], SCHEMA)
+    assert text(topk.top_products(twice, asks()).collect()) == text([(20, 1, 20, 64 * 192)] * 2)
+
+
+def test_large_components(spark):
+    rows = [(20 * i, [float(v)] * 3) for i, v in enumerate([2**17, -(2**17), 100_000, 3, 2**30])]
+    found = topk.top_products(spark.createDataFrame(rows, SCHEMA), asks()).collect()
+    # The last one is beyond what is multiplied.
+    assert text(found) == text(brute(rows[:4]))
+
+
+def searched(x: np.ndarray, q: np.ndarray, least: np.ndarray, k: int = 3):
+    square = (x * x).sum(axis=1)
+    order = np.argsort(-square, kind="stable")
+    bucket = topk.Bucket(x[order], square[order], np.arange(len(x)), k)
+    found = bucket.search(q, (q * q).sum(axis=1), least)
+    pairs = {(int(i), int(order[j])): int(s) for i, j, s in zip(*found)}
+    return bucket, pairs
+
+
+def test_pruning_skips_work_and_loses_nothing(monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.integers(-60, 60, (2_000, 8)) * rng.choice([1, 4], (2_000, 1))
+    q = x[rng.choice(2_000, 50, replace=False)]
+    scores = q @ x.T
+    least = np.sort(scores, axis=1)[:, -3]
+    want = {(i, j): scores[i, j] for i, j in zip(*np.nonzero(scores >= least[:, None]))}
+    compared = {}
+    for name, cost in (("coordinates", 0), ("length", 1e9)):
+        monkeypatch.setattr(topk, "LOOKUP_COST", cost)
+        bucket, pairs = searched(x, q, least)
+        assert pairs.keys() <= want.keys() and all(want[p] == s for p, s in pairs.items())
+        assert all(sum(i == row for row, _ in pairs) >= 3 for i in range(50))
+        compared[name] = bucket.compared / scores.size
+    assert compared["coordinates"] < 0.3 and compared["length"] < 0.7
+    # A bucket that is too short as a whole is not looked at.
+    bucket, pairs = searched(np.ones((100, 8), np.int64), q, least)
+    assert not pairs and not bucket.compared
+
+
+def test_later_rounds_leave_finished_queries_out(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BUCKET", 32)
+    met = []
+    plain = topk._met
+    monkeypatch.setattr(topk, "_met", lambda s, q, k, w: met.append(q.count()) or plain(s, q, k, w))
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 4))
+    x *= (2.0 ** -np.arange(400) / 8 + 0.1)[:, None] * 8
+    x[:40] = np.abs(x[:40]) + 20
+    x[40:] = np.abs(x[40:]) / 20 + 0.1
+    rows = [(i, [float(c) for c in v.astype(np.float32)]) for i, v in enumerate(x)]
+    found = topk.top_products(spark.createDataFrame(rows, SCHEMA), asks()).collect()
+    assert text(found) == text(brute(rows))
+    assert len(met) <= 2
+
+
+def test_query(spark):
+    rows = [(r.vec_id, r.embedding) for r in read(spark, SF, "embeddings").collect()]
+    assert text(op13_top_products(spark, SF).collect()) == text(brute(rows))
