@@ -18,6 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlgrid.llm.texts import free_prefix
 from marlgrid.sources.scratch import materialize
 
 # Documents, in the mean, among which one task looks for the end of a leaf's prefix.
@@ -92,11 +93,63 @@ def share_out(leaves: DataFrame, levels: Sequence[Level], budget: float, epochs:
     return leaves.join(result, _same(leaves, result, names)).select(*leaves.columns, "_budget")
 
 
-def _bucket(key: str, seed: int) -> tuple[Column, Column]:
-    """A document's place in its leaf's last pass, and the bucket of the leaf that holds it."""
-    name = F.concat_ws(":", F.lit(str(seed)), F.col("_passes").cast("string"), F.col(key).cast("string"))
-    place = F.conv(F.substring(F.md5(name.cast("binary")), 1, 10), 16, 10).cast("bigint")
-    return place, F.floor(place * F.col("_buckets") / F.lit(float(HASH_RANGE)))
+def _placed(rows: DataFrame, seed: int, prefix: str = "_") -> DataFrame:
+    """Adds a row's place in its leaf's last pass, and the bucket of the leaf that holds it."""
+    parts = [F.lit(str(seed)), *(F.col(prefix + c).cast("string") for c in ("passes", "key"))]
+    digest = F.md5(F.concat_ws(":", *parts).cast("binary"))
+    rows = rows.withColumn(
+        f"{prefix}place", F.conv(F.substring(digest, 1, 10), 16, 10).cast("bigint")
+    )
+    bucket = F.floor(F.col(f"{prefix}place") * F.col(f"{prefix}buckets") / F.lit(float(HASH_RANGE)))
+    return rows.withColumn(f"{prefix}bucket", bucket)
+
+
+def _borders(narrow: DataFrame, plan: DataFrame, names: list[str], seed: int) -> DataFrame:
+    """``plan`` with what ends each leaf's prefix: the bucket, and in it the document.
+
+    Buckets before ``_border`` are taken whole, those behind it not at all. In it, rows up to
+    ``_end`` (place, key and tokens) are taken, and ``_some`` of the ``_all`` rows like that.
+    """
+    of = _renamed(plan, names)
+    placed = _placed(narrow.join(of, _same(narrow, of, names)).drop(*[f"of {c}" for c in names]), seed)
+    sums = placed.groupBy(*names, "_bucket").agg(
+        F.sum("_n").alias("_sum"), F.first("_rest").alias("_rest")
+    )
+    so_far = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    sums = sums.withColumn("_upto", F.sum("_sum").over(so_far)).filter(F.col("_upto") > F.col("_rest"))
+    border = sums.groupBy(*names).agg(
+        F.min("_bucket").alias("_border"),
+        F.min_by(F.col("_rest") - F.col("_upto") + F.col("_sum"), "_bucket").alias("_left"),
+    )
+    border = materialize(border, "borders")
+    # Rows that are alike are one here, however many.
+    at = _renamed(border, names)
+    mine = placed.join(at, _same(placed, at, names)).drop(*[f"of {c}" for c in names])
+    alike = (
+        mine.filter((F.col("_bucket") == F.col("_border")) & (F.col("_rest") > 0))
+        .groupBy(*names, "_place", "_key", "_n")
+        .agg(F.count("*").alias("_all"), F.first("_left").alias("_left"))
+    )
+    before = Window.partitionBy(*names).orderBy("_place", "_key", "_n").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    room = F.col("_left") - F.coalesce(F.sum(F.col("_all") * F.col("_n")).over(before), F.lit(0))
+    taken = (
+        alike.withColumn("_room", room)
+        .filter(F.col("_room") >= 0)
+        .withColumn("_fit", F.when(F.col("_n") > 0, F.floor(F.col("_room") / F.col("_n"))))
+        .withColumn("_some", F.coalesce(F.least("_all", "_fit"), "_all"))
+        .filter("_some > 0")
+    )
+    last = F.max(F.struct(F.struct("_place", "_key", "_n").alias("_end"), "_some", "_all"))
+    ends = _renamed(taken.groupBy(*names).agg(last.alias("_last")), names)
+    found = plan.join(at.drop("_left"), _same(plan, at, names), "left")
+    found = found.drop(*[f"of {c}" for c in names])
+    found = found.join(ends, _same(found, ends, names), "left")
+    whole = F.when(F.col("_rest") > 0, F.coalesce("_border", F.col("_buckets"))).otherwise(-1)
+    return found.select(*plan.columns, whole.cast("bigint").alias("_border"), "_last.*")
 
 
 def mix(
@@ -113,22 +166,30 @@ def mix(
 
     The budget is ``share`` of all ``tokens``; a leaf is passed over up to ``epochs`` times.
     A leaf never takes more than its budget. Null names are nodes of their own; null
-    or negative tokens count as none. Ties in the seeded order go by ``key``;
-    repeated rows are documents of their own. A column called as ``copies`` is replaced.
+    or negative tokens count as none. Ties in the seeded order go by ``key``, then by tokens;
+    repeated rows are documents of their own, and if some of them are taken, it is any.
+    A column called as ``copies`` is replaced, all others are kept. An empty table stays
+    empty.
 
     A leaf may hold any part of the documents: it is cut into buckets of the seeded
-    order, whose sums are combined on the map side, and only within a bucket do
-    rows meet in order.
+    order, whose sums are combined on the map side. Only the bucket that the prefix ends
+    in is put in order, by key and tokens alone. The rows of ``docs`` then meet one row per
+    leaf, and move only if there are too many leaves to broadcast.
     """
-    names = [level.column for level in levels]
+    names = [f"level {i}" for i in range(len(levels))]
     docs = docs.drop(copies)
     amount = F.greatest(F.coalesce(F.col(tokens), F.lit(0)), F.lit(0)).cast("bigint")
-    narrow = docs.select(*names, F.col(key), amount.alias("_n"))
+    narrow = docs.select(
+        *[F.col(level.column).alias(name) for level, name in zip(levels, names, strict=True)],
+        F.col(key).alias("_key"),
+        amount.alias("_n"),
+    )
     narrow = materialize(narrow, "documents-to-mix")
     leaves = narrow.groupBy(*names).agg(F.sum("_n").alias("_held"), F.count("*").alias("_rows"))
     leaves = materialize(leaves, "leaves")
     total = leaves.agg(F.sum("_held")).first()[0] or 0
-    budgets = share_out(leaves, levels, total * share, epochs)
+    inner = [level._replace(column=name) for level, name in zip(levels, names, strict=True)]
+    budgets = share_out(leaves, inner, total * share, epochs)
     # A hair more, so that a budget that is a whole number does not lose its last token.
     whole = F.floor(F.col("_budget") + 1e-6)
     passes = F.when(F.col("_held") > 0, F.floor(whole / F.col("_held"))).otherwise(0)
@@ -138,26 +199,42 @@ def mix(
         (whole - passes * F.col("_held")).cast("bigint").alias("_rest"),
         F.ceil(F.col("_rows") / BUCKET_ROWS).alias("_buckets"),
     )
-    plan = _renamed(materialize(plan, "leaf-plans"), names)
-
-    placed = narrow.join(plan, _same(narrow, plan, names))
-    _, bucket = _bucket(key, seed)
-    sums = placed.groupBy(*names, bucket.alias("_bucket")).agg(F.sum("_n").alias("_sum"))
-    earlier = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-    at = [*names, "_bucket"]
-    sums = _renamed(materialize(sums.drop("_sum"), "bucket-sums"), at)
-
-    place, bucket = _bucket(key, seed)
-    rows = docs.join(plan, _same(docs, plan, names)).drop(*[f"of {c}" for c in names])
-    rows = rows.withColumns({"_n": amount, "_place": place, "_bucket": bucket})
-    rows = rows.join(sums, _same(rows, sums, at)).drop(*[f"of {c}" for c in at])
-    so_far = Window.partitionBy(*at).orderBy("_place", key).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    plan = materialize(plan, "leaf-plans")
+    plan = materialize(_borders(narrow, plan, names, seed), "leaf-ends")
+
+    prefix = free_prefix([*docs.columns, copies])
+    plan = plan.withColumnsRenamed({c: f"{prefix}{c.removeprefix('_')}" for c in plan.columns})
+    met = [
+        docs[level.column].eqNullSafe(plan[f"{prefix}{name}"])
+        for level, name in zip(levels, names, strict=True)
+    ]
+    rows = docs.join(plan, reduce(lambda a, b: a & b, met))
+    rows = rows.withColumns({f"{prefix}key": F.col(key), f"{prefix}n": amount})
+    rows = _placed(rows, seed, prefix)
+    own = {c: F.col(f"{prefix}{c}") for c in ("bucket", "border", "passes", "end", "some", "all")}
+    at = F.struct(*[F.col(f"{prefix}{c}").alias(f"_{c}") for c in ("place", "key", "n")])
+    here = (own["bucket"] == own["border"]) & own["end"].isNotNull()
+    taken = (own["bucket"] < own["border"]) | (here & (at <= own["end"]))
+    copied = (own["passes"] + F.when(taken, 1).otherwise(0)).cast("bigint").alias(copies)
+    torn = here & (at <= own["end"]) & (at >= own["end"]) & (own["some"] < own["all"])
+    torn = F.coalesce(torn, F.lit(False))
+    if plan.filter(F.col(f"{prefix}some") < F.col(f"{prefix}all")).isEmpty():
+        return rows.select(*docs.columns, copied)
+    # Of rows that are alike only some are taken: they are counted off, part by part.
+    alike = rows.filter(torn).withColumn(f"{prefix}part", F.spark_partition_id())
+    alike = materialize(alike, "torn-rows")
+    leaf = [f"{prefix}{name}" for name in names]
+    part = f"{prefix}part"
+    counts = alike.groupBy(*leaf, part).agg(F.count("*").alias(f"{prefix}count"))
+    earlier = Window.partitionBy(*leaf).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(f"{prefix}count").over(earlier), F.lit(0)).alias(f"{prefix}start")
+    on = [*leaf, part]
+    counts = _renamed(counts.select(*on, start), on)
+    within = F.row_number().over(Window.partitionBy(*on).orderBy(F.lit(0)))
+    alike = alike.withColumn(f"{prefix}at", within)
+    alike = alike.join(counts, _same(alike, counts, on))
+    some = F.col(f"{prefix}start") + F.col(f"{prefix}at") <= own["some"]
+    counted = (own["passes"] + F.when(some, 1).otherwise(0)).cast("bigint").alias(copies)
+    return rows.filter(~torn).select(*docs.columns, copied).unionByName(
+        alike.select(*docs.columns, counted)
     )
-    within = F.col("_before") + F.sum("_n").over(so_far) <= F.col("_rest")
-    last = F.when(within & (F.col("_rest") > 0), 1).otherwise(0)
-    taken = (F.col("_passes") + last).cast("bigint")
-    return rows.select(*docs.columns, taken.alias(copies))

@@ -64,7 +64,7 @@ PATTERN_RULES = [
 
 # The mixture: four domains of sources, a main language, all sources alike.
 MIXTURE = [
-    mixing.Level("_domain", {"domain0": 4.0, "domain1": 3.0, "domain2": 2.0}),
+    mixing.Level("domain", {"domain0": 4.0, "domain1": 3.0, "domain2": 2.0}),
     mixing.Level("lang", {"en": 5.0, "fr": 2.0, "de": 2.0}),
     mixing.Level("source", {}),
 ]
@@ -120,37 +120,40 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mixture takes every document."""
-    docs = mixture_columns(read(spark, sf_dir, "documents"))
-    return mixed(docs.drop("text", "n_chars")).select(
+    docs = mixture_columns(read(spark, sf_dir, "documents").drop("n_chars"))
+    return mixed(docs.drop("text")).select(
         "doc_id",
         F.col("_domain").alias("domain"),
         "lang",
         "source",
         F.col("_tokens").alias("n_tokens"),
-        "_copies",
-    ).withColumnRenamed("_copies", "copies")
+        F.col("_copies").alias("copies"),
+    )
 
 
-def mixture_columns(docs: DataFrame) -> DataFrame:
-    """Adds ``_domain``, the domain of a document's source, and ``_tokens``, its words."""
+def mixture_columns(docs: DataFrame, prefix: str = "_") -> DataFrame:
+    """Adds ``domain``, the domain of a document's source, and ``tokens``, its words, with ``prefix``."""
     digest = F.md5(F.coalesce("source", F.lit("")).cast("binary"))
     number = F.conv(F.substring(digest, 1, 4), 16, 10).cast("bigint") % 4
     words = F.coalesce(F.regexp_count("text", F.lit(r"[^ \t-\r]+")), F.lit(0))
     return docs.withColumns(
-        {"_domain": F.concat(F.lit("domain"), number), "_tokens": words.cast("bigint")}
+        {
+            f"{prefix}domain": F.concat(F.lit("domain"), number),
+            f"{prefix}tokens": words.cast("bigint"),
+        }
     )
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_copies``."""
+def mixed(docs: DataFrame, prefix: str = "_") -> DataFrame:
+    """``docs`` of ``mixture_columns`` with ``copies``, with ``prefix``."""
     return mixing.mix(
         docs,
-        MIXTURE,
+        [MIXTURE[0]._replace(column=f"{prefix}domain"), *MIXTURE[1:]],
         MIXTURE_SHARE,
         MIXTURE_EPOCHS,
         MIXTURE_SEED,
-        tokens="_tokens",
-        copies="_copies",
+        tokens=f"{prefix}tokens",
+        copies=f"{prefix}copies",
     )
 
 

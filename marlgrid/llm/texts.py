@@ -15,6 +15,14 @@ PIECE_BYTES = 500_000
 SPACES = b" \t\n\x0b\x0c\r"
 
 
+def free_prefix(columns: list[str]) -> str:
+    """Underscores that no column's name starts with, for columns that come and go."""
+    prefix = "_"
+    while any(name.startswith(prefix) for name in columns):
+        prefix += "_"
+    return prefix
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in pieces of at most ``PIECE_BYTES`` of text, or of one row."""
     for batch in batches:

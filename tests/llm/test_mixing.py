@@ -97,6 +97,53 @@ def test_the_prefix_follows_the_seeded_order(spark):
     assert taken(0.25, 1) != taken(0.25, 2)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.26, 0.501, 1.0, 1.3])
+def test_rows_that_are_alike_are_counted_off(spark, share):
+    rows = [(7, "web", "en", "a", 10)] * 700 + [(8, "web", "en", "a", 3)] * 40
+    rows += [(9, "web", "en", "a", 0)] * 50 + [(None, "web", "en", "a", 10)] * 10
+    schema = "doc_id int, domain string, lang string, source string, n_tokens int"
+    docs = spark.createDataFrame(rows, schema).repartition(6)
+    got = mixing.mix(docs, LEVELS, share, 2, 3).collect()
+    assert len(got) == len(rows)
+    held = sum(r[4] for r in rows)
+    passes, rest = divmod(int(share * held + 1e-6), held)
+    taken = sum((r.copies - passes) * r.n_tokens for r in got)
+    assert rest - 10 < taken <= rest and {r.copies for r in got} <= {passes, passes + 1}
+
+
+def test_documents_without_tokens_at_the_border(spark):
+    rows = [(i, "web", "en", "a", 10 if i % 3 else 0) for i in range(300)]
+    schema = "doc_id int, domain string, lang string, source string, n_tokens int"
+    got = mixing.mix(spark.createDataFrame(rows, schema), LEVELS, 0.5, 1, 5).collect()
+    order = {
+        r.doc_id: r.place
+        for r in mixing._placed(
+            spark.createDataFrame([(r[0], 0, 1) for r in rows], "_key int, _passes int, _buckets int"), 5
+        )
+        .selectExpr("_key doc_id", "_place place")
+        .collect()
+    }
+    so_far, want = 0, set()
+    for i in sorted(order, key=order.get):
+        so_far += rows[i][4]
+        if so_far <= 1_000:
+            want.add(i)
+    assert {r.doc_id for r in got if r.copies} == want
+    assert any(rows[i][4] == 0 for i in want)
+
+
+def test_inner_names_are_free_for_other_columns(spark):
+    names = "_n _key _passes _rest _buckets _place _bucket _border _end _some _all _budget _held".split()
+    names += ["level 0", "of level 0", "_part", "_tokens", "_domain", "_copies", "__n"]
+    docs = queries.read(spark, "/root/testdata/sf0.001", "documents")
+    many = docs.withColumns({name: F.concat(F.lit(name), "doc_id") for name in names})
+    levels = [mixing.Level("lang", {}), mixing.Level("source", {})]
+    plain = mixing.mix(docs, levels, 0.5, 2, 1, tokens="n_chars").collect()
+    got = mixing.mix(many, levels, 0.5, 2, 1, tokens="n_chars").collect()
+    assert {r.doc_id: r.copies for r in got} == {r.doc_id: r.copies for r in plain}
+    assert all(r[name] == f"{name}{r.doc_id}" for r in got for name in names)
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id int, domain string, lang string, source string, n_tokens int")
     assert mixing.mix(docs, LEVELS, 0.5, 2, 1).count() == 0
