@@ -64,6 +64,59 @@ def test_poor_documents_with_a_telling_word_are_found_toxic(spark, halves):
     assert len(missed) <= 0.05 * len(wanted)
 
 
+def by_matrix(chain, texts: list[str]) -> np.ndarray:
+    """Probabilities as in fitting: all features as one matrix, one category after the other."""
+    logits = np.zeros((len(texts), 0))
+    for category in chain:
+        names = list(category.weights)
+        present = np.array([[t in toxicity.terms(x) for t in names] for x in texts], float)
+        own = present @ np.array([category.weights[t] for t in names]) + category.bias
+        own += logits @ np.array(category.chained)
+        logits = np.column_stack([logits, np.clip(own, -30, 30)])
+    found = linear.sigmoid(logits)
+    found[[not toxicity.words_of(x) for x in texts]] = 0
+    return found
+
+
+def test_scores_are_those_of_the_fitted_matrix(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = queries.read(spark, folder, "documents")
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.learn(docs, queries.read(spark, folder, "labels"), categories, "doc_id")
+    texts = [r.text for r in docs.limit(150).collect()] + ["", "*", "a*b **", "x" * 200_000]
+    scorer = toxicity.Scorer(chain)
+    got = np.array([scorer.score(x) for x in texts])
+    assert np.abs(got - by_matrix(chain, texts)).max() < 1e-9
+    rated = toxicity.rate(docs.select("doc_id", "text"), chain).collect()
+    for row in rated:
+        assert row.rejected == (row.p_toxic >= chain[-1].threshold)
+
+
+def test_a_fold_has_no_part_in_choosing_its_terms(spark):
+    # A word that only documents of fold 0 have, all of them toxic.
+    rows = [(i, i % 4, int(i % 8 < 4), ["own", "x"] if i % 4 == 0 and i % 8 < 4 else ["x", f"w{i % 8}"])
+            for i in range(400)]
+    table = spark.createDataFrame(rows, "_number long, _fold int, `label 0` int, terms array<string>")
+    chosen = toxicity._selected(table, ["label 0"])
+    assert "own" not in chosen["label 0", 0]
+    assert all("own" in chosen["label 0", k] for k in (1, 2, 3, toxicity.WHOLE))
+    # Brute force of one choice.
+    seen = [r for r in rows if r[1] != 2]
+    positive = sum(r[2] for r in seen)
+    for term, ratio in chosen["label 0", 2].items():
+        p = sum(term in r[3] for r in seen if r[2])
+        n = sum(term in r[3] for r in seen if not r[2])
+        want = np.log((p + 0.5) / (positive + 1) / ((n + 0.5) / (len(seen) - positive + 1)))
+        assert abs(ratio - want) < 1e-12
+
+
+def test_a_probability_at_the_threshold_rejects(spark):
+    chain = [toxicity.Category("toxic", {"bad": 1.0}, [], -1.0, 0.5, True)]
+    docs = spark.createDataFrame([(1, "bad"), (2, "good")], "doc_id int, text string")
+    assert {r.doc_id: r.rejected for r in toxicity.rate(docs, chain).collect()} == {1: True, 2: False}
+    assert toxicity.rate(docs.filter("false"), chain).count() == 0
+
+
 def test_chains_need_labels_of_both_kinds(spark):
     docs = queries.read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
     labels = queries.read(spark, "/root/testdata/sf0.001", "labels")
