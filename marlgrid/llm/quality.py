@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlgrid.llm.linear import fit_logistic, labelled_sample, logit
-from marlgrid.llm.texts import map_texts, word_hashes
+from marlgrid.llm.texts import free_prefix, map_texts, word_hashes
 from marlgrid.sources.scratch import materialize
 
 RIDGE = 1e-4
@@ -28,6 +28,9 @@ LEAST_STRENGTH, MOST_STRENGTH = 2.0, 1e4
 # From this posterior on a document is good.
 THRESHOLD = 0.5
 
+# Paths that are broadcast at most, about a hundred bytes each.
+BROADCAST_PATHS = 50_000
+
 # The classes of bytes that are counted.
 CLASSES = {
     "lower": b"abcdefghijklmnopqrstuvwxyz",
@@ -103,15 +106,17 @@ def learn(
 
     None if there is no labelled text, or all labels are alike.
     """
-    usable = docs.select(F.col(key), F.col(text)).filter(F.col(text).isNotNull())
-    sample = labelled_sample(usable, labels, key, {"_good": good}, text=text)
-    number = F.xxhash64(F.col(key), F.lit(3)).alias("_number")
+    usable = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
+    usable = usable.filter(F.col("_text").isNotNull())
+    told = labels.withColumnRenamed(key, "_id")
+    sample = labelled_sample(usable, told, "_id", {"_good": good}, text="_text")
+    number = F.xxhash64(F.col("_id"), F.lit(3)).alias("_number")
 
     def run(texts: list[str]) -> list[list]:
         return [signals(texts).tolist()]
 
     rows = map_texts(
-        sample.select(number, "_good", text), ["_number", "_good"], text, run, {"x": "array<double>"}
+        sample.select(number, "_good", "_text"), ["_number", "_good"], "_text", run, {"x": "array<double>"}
     )
     rows = sorted(tuple(row) for row in rows.collect())
     y = np.array([row[1] for row in rows], float)
@@ -123,19 +128,6 @@ def learn(
     return Evidence(center, scale, weights, bias, float(y.mean()))
 
 
-def _with_evidence(docs: DataFrame, model: Evidence, text: str) -> DataFrame:
-    base = logit(np.array(model.prior))
-
-    def run(texts: list[str]) -> list[np.ndarray]:
-        x = (signals(texts) - model.center) / model.scale
-        evidence = x @ model.weights + model.bias - base
-        empty = np.array([not text.strip() for text in texts], bool)
-        evidence = np.where(empty, -MOST_EVIDENCE, evidence)
-        return [np.clip(evidence, -MOST_EVIDENCE, MOST_EVIDENCE)]
-
-    return map_texts(docs, docs.columns, text, run, {"_evidence": "double"})
-
-
 def _strength(groups: DataFrame, total: str, n: str, mean: Column) -> float:
     """Documents that the mean above is worth, from how much shares vary beyond chance.
 
@@ -182,6 +174,20 @@ def group_shares(rated: DataFrame, host: str, path: str) -> tuple[DataFrame, dic
     return both, {"share": share, "by_host": by_host, "by_path": by_path}
 
 
+def _evidence_of(model: Evidence):
+    """The function from texts to their evidence."""
+    base = logit(np.array(model.prior))
+
+    def run(texts: list[str]) -> list[np.ndarray]:
+        x = (signals(texts) - model.center) / model.scale
+        evidence = x @ model.weights + model.bias - base
+        empty = np.array([not text.strip() for text in texts], bool)
+        evidence = np.where(empty, -MOST_EVIDENCE, evidence)
+        return [np.clip(evidence, -MOST_EVIDENCE, MOST_EVIDENCE)]
+
+    return run
+
+
 def rate(
     docs: DataFrame,
     model: Evidence | None,
@@ -189,51 +195,67 @@ def rate(
     path: str,
     text: str = "text",
     prefix: str = "",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Adds ``evidence``, ``host_share``, ``path_share``, ``posterior`` and ``rejected`` to every row.
 
     The names start with ``prefix``. ``path`` names parts of a ``host``; both may be null,
     which is a group of its own. A text that is null, empty or white space has the
     least evidence. Without a model nothing is rejected and the numbers are null. Repeated
-    rows are rated each; columns with the added names are replaced. The shares are two
+    rows are rated each; columns with the added names are replaced, all others kept, or those
+    of ``keep``. A posterior that equals the threshold is good. An empty table stays empty.
+
+    Evidence is computed once and written down with the kept columns. The shares are two
     grouped aggregates with map-side sums, so a host with most of the documents does
-    no harm, and a document meets them in a join that moves no text while they are small.
+    no harm. Documents meet them by broadcast up to ``BROADCAST_PATHS`` paths. Beyond that
+    rows of numbers do, in a join that adaptive execution can split, and what it gives
+    is attached by row number, so that no text moves by a host.
     """
     names = ["evidence", "host_share", "path_share", "posterior"]
     added = [prefix + name for name in [*names, "rejected"]]
-    kept = [name for name in docs.columns if name not in added]
+    kept = [name for name in (docs.columns if keep is None else keep) if name not in added]
     unknown = [F.lit(None).cast("double").alias(prefix + name) for name in names]
     unknown.append(F.lit(False).alias(prefix + "rejected"))
     if model is None:
         return docs.select(*kept, *unknown)
+    inner = free_prefix([*docs.columns, *added])
+    own = {name: inner + name for name in ("host", "path", "evidence", "p", "row")}
     base = float(logit(np.array(model.prior)))
-    p = 1 / (1 + F.exp(-(F.col("_evidence") + base)))
-    narrow = _with_evidence(docs.select(host, path, text), model, text)
-    shares, world = group_shares(narrow.withColumn("_p", p), host, path)
+    docs = docs.withColumns({own["host"]: F.col(host), own["path"]: F.col(path)})
+    rated = map_texts(
+        docs, [*kept, own["host"], own["path"]], text, _evidence_of(model), {own["evidence"]: "double"}
+    )
+    p = 1 / (1 + F.exp(-(F.col(own["evidence"]) + base)))
+    rated = rated.withColumns({own["p"]: p, own["row"]: F.monotonically_increasing_id()})
+    rated = materialize(rated, "evidence")
+    grouped = rated.select(F.col(own["p"]).alias("_p"), own["host"], own["path"])
+    shares, world = group_shares(grouped, own["host"], own["path"])
     if not world:
         return docs.select(*kept, *unknown)
-    rated = _with_evidence(docs, model, text).withColumn("_p", p)
-    met = rated.join(
-        shares,
-        rated[host].eqNullSafe(shares["_host"]) & rated[path].eqNullSafe(shares["_path"]),
-        "left",
-    )
-    # What a document says itself is its evidence; its group speaks without it.
-    by_host, by_path = world["by_host"], world["by_path"]
-    host_share = (F.col("_host_good") - F.col("_p") + by_host * world["share"]) / (
-        F.col("_host_n") - 1 + by_host
-    )
-    path_share = (F.col("_path_good") - F.col("_p") + by_path * F.col("_host_share")) / (
-        F.col("_path_n") - 1 + by_path
-    )
-    odds = F.log(F.col("_path_share") / (1 - F.col("_path_share"))) + F.col("_evidence")
-    within = lambda share: F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), share))
-    judged = (
-        met.withColumn("_host_share", within(host_share))
-        .withColumn("_path_share", within(path_share))
-        .withColumn("_posterior", 1 / (1 + F.exp(-odds)))
-        .withColumn("_rejected", F.col("_posterior") < THRESHOLD)
-    )
-    return judged.select(
-        *kept, *[F.col(f"_{name}").alias(prefix + name) for name in [*names, "rejected"]]
+    facts = shares.withColumnsRenamed({c: f"{inner}of{c}" for c in shares.columns})
+    met = rated[own["host"]].eqNullSafe(facts[f"{inner}of_host"]) & rated[own["path"]].eqNullSafe(
+        facts[f"{inner}of_path"]
     )
+
+    def judged(rows: DataFrame) -> list[Column]:
+        # What a document says itself is its evidence; its group speaks without it.
+        fact = lambda name: rows[f"{inner}of_{name}"]
+        within = lambda share: F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), share))
+        by_host, by_path = world["by_host"], world["by_path"]
+        p, evidence = rows[own["p"]], rows[own["evidence"]]
+        host_share = within(
+            (fact("host_good") - p + by_host * world["share"]) / (fact("host_n") - 1 + by_host)
+        )
+        path_share = within(
+            (fact("path_good") - p + by_path * host_share) / (fact("path_n") - 1 + by_path)
+        )
+        posterior = 1 / (1 + F.exp(-(F.log(path_share / (1 - path_share)) + evidence)))
+        found = [evidence, host_share, path_share, posterior, posterior < THRESHOLD]
+        return [c.alias(name) for c, name in zip(found, added, strict=True)]
+
+    if shares.count() <= BROADCAST_PATHS:
+        rows = rated.join(F.broadcast(facts), met, "left")
+        return rows.select(*kept, *judged(rows))
+    narrow = rated.select(*own.values()).join(facts, met, "left")
+    verdicts = materialize(narrow.select(own["row"], *judged(narrow)), "verdicts")
+    return rated.select(*kept, own["row"]).join(verdicts, own["row"]).select(*kept, *added)

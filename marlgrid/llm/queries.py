@@ -91,12 +91,16 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's evidence, the shares of its source and language, and its posterior."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    rated = quality_rated(spark, docs, sf_dir).withColumn("kept", ~F.col("rejected"))
-    return rated.drop("text", "source", "lang", "rejected")
+    rated = quality_rated(spark, docs, sf_dir, keep=["doc_id"])
+    return rated.withColumn("kept", ~F.col("rejected")).drop("rejected")
 
 
 def quality_rated(
-    spark: SparkSession, docs: DataFrame, sf_dir: str, prefix: str = ""
+    spark: SparkSession,
+    docs: DataFrame,
+    sf_dir: str,
+    prefix: str = "",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with the columns of ``quality.rate``; sources are hosts, languages their paths."""
     model = quality.learn(
@@ -105,7 +109,7 @@ def quality_rated(
         F.col("quality") == 1,
         "doc_id",
     )
-    return quality.rate(docs, model, "source", "lang", prefix=prefix)
+    return quality.rate(docs, model, "source", "lang", prefix=prefix, keep=keep)
 
 
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,6 +220,83 @@ def test_posteriors_against_brute_force(spark):
     assert quality.LEAST_STRENGTH <= world["by_host"] <= quality.MOST_STRENGTH
 
 
+def brute_posteriors(rows: list[tuple], prior: float) -> list[tuple]:
+    """Host share, path share and posterior of each (host, path, evidence)."""
+    ps = [1 / (1 + np.exp(-(e + np.log(prior / (1 - prior))))) for _, _, e in rows]
+    world = float(np.mean(ps))
+    sums: dict = {}
+    for (h, q, _), p in zip(rows, ps):
+        for group in ((h,), (h, q)):
+            total, n = sums.get(group, (0.0, 0))
+            sums[group] = total + p, n + 1
+
+    def strength(depth, above):
+        groups = {k: v for k, v in sums.items() if len(k) == depth}
+        spread = sum(n * (t / n - above(k)) ** 2 for k, (t, n) in groups.items())
+        chance = {k: above(k) * (1 - above(k)) for k in groups}
+        excess = spread - sum(chance.values())
+        if excess <= 0:
+            return quality.MOST_STRENGTH
+        weight = sum(n * chance[k] for k, (_, n) in groups.items())
+        return min(quality.MOST_STRENGTH, max(quality.LEAST_STRENGTH, weight / excess))
+
+    a = strength(1, lambda k: world)
+    shrunk = lambda k: (sums[k[:1]][0] + a * world) / (sums[k[:1]][1] + a)
+    b = strength(2, shrunk)
+    found = []
+    for (h, q, e), p in zip(rows, ps):
+        host = (sums[h,][0] - p + a * world) / (sums[h,][1] - 1 + a)
+        path = (sums[h, q][0] - p + b * host) / (sums[h, q][1] - 1 + b)
+        found.append((host, path, 1 / (1 + np.exp(-(np.log(path / (1 - path)) + e)))))
+    return found
+
+
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+def test_posteriors_and_strengths_against_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(quality, "BROADCAST_PATHS", broadcast)
+    model = quality.Evidence(
+        np.zeros(len(quality.SIGNALS)), np.ones(len(quality.SIGNALS)),
+        np.where([x == "share_shout" for x in quality.SIGNALS], -20.0, 0.0), 1.0, 0.6,
+    )
+    rng = np.random.default_rng(3)
+    texts = [
+        (None if i % 11 == 0 else f"h{i % 11 % 4}", None if i % 5 == 0 else f"p{i % 3}",
+         "ab" * 10 + "!" * int(rng.poisson(1 + 2 * (i % 4))))
+        for i in range(400)
+    ]
+    texts += [("alone", "p", "words"), (None, None, " "), ("h1", "p1", "x" * 300_000 + "!")]
+    schema = "h string, p string, text string, _p string, _evidence int, __row int, posterior int"
+    docs = spark.createDataFrame([(*t, "mine", 7, i, None) for i, t in enumerate(texts)], schema)
+    got = sorted(quality.rate(docs.repartition(5), model, "h", "p").collect(), key=lambda r: r["__row"])
+    assert [(r.h, r.p, r.text) for r in got] == texts
+    assert {(r._p, r._evidence) for r in got} == {("mine", 7)}
+    evidence = quality._evidence_of(model)([t[2] for t in texts])[0]
+    want = brute_posteriors([(h, p, e) for (h, p, _), e in zip(texts, evidence)], 0.6)
+    for r, e, numbers in zip(got, evidence, want):
+        mine = (r.evidence, r.host_share, r.path_share, r.posterior)
+        assert np.allclose(mine, (e, *numbers), rtol=1e-9, atol=1e-9)
+        assert r.rejected == (r.posterior < 0.5)
+
+
+def test_sources_tell_what_weak_evidence_does_not(spark):
+    # Sources are nearly all good or nearly all poor; texts say so only by chance; few are labelled.
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(3_000):
+        host = i % 60
+        good = rng.random() < (0.95 if host % 2 else 0.05)
+        shouts = int(rng.poisson(6 if good else 10))
+        words = " ".join(f"w{n}" for n in rng.integers(1_000, 9_000, 60))
+        rows.append((i, f"h{host}", f"l{host % 3}", words + " !" * shouts, int(good)))
+    docs = spark.createDataFrame(rows, "doc_id int, source string, lang string, text string, good int")
+    labels = docs.filter("doc_id < 240").select("doc_id", "good")
+    model = quality.learn(docs, labels, F.col("good") == 1, "doc_id")
+    rated = quality.rate(docs, model, "source", "lang").filter("doc_id >= 240").collect()
+    alone = np.mean([(r.evidence + linear.logit(np.array(model.prior)) > 0) == r.good for r in rated])
+    together = np.mean([(r.posterior >= 0.5) == r.good for r in rated])
+    assert alone < 0.8 and together > alone + 0.05, (alone, together)
+
+
 def test_a_poor_host_lowers_its_documents(spark):
     words = " ".join(f"word{i}" for i in range(80))
     junk = "BUY!! NOW!! " * 40
