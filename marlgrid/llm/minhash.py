@@ -35,9 +35,6 @@ from marlgrid.sources.scratch import materialize
 SHINGLE = 5
 DARTS = 64
 ROWS_PER_BAND = 4
-# Texts that agree in fewer coordinates than this are not compared: at a similarity
-# of 0.8 that happens once in a million pairs.
-LEAST_AGREEING = 36
 
 # Darts per text that leave a coordinate empty in one text of eight; those are thrown again.
 THROWN = DARTS * (math.log(DARTS) + 2)
@@ -163,10 +160,9 @@ def _throw(shingle, weight, owner, below) -> tuple:
 
 
 def _signed(texts: list[str]) -> list:
-    """Digest, weight, signature and band keys of each text."""
+    """Digest, weight and band keys of each text."""
     digests: list = []
     totals: list = []
-    signs: list = []
     keys: list = []
     for i in range(0, len(texts), BLOCK):
         block = texts[i : i + BLOCK]
@@ -178,9 +174,8 @@ def _signed(texts: list[str]) -> list:
             key = mix(key * np.uint64(0x100000001B3) + bands[:, :, row])
         digests += digest
         totals += np.bincount(owner, weight, minlength=len(block)).astype(np.int64).tolist()
-        signs += list(sign.view(np.int32))
         keys += list(key.view(np.int64))
-    return [digests, totals, signs, keys]
+    return [digests, totals, keys]
 
 
 def similarities(
@@ -204,19 +199,14 @@ def similarities(
     return np.where(meant, shared / np.maximum(union, 1), -1.0)
 
 
-def _agreeing(a: Column, b: Column) -> Column:
-    same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
-    return F.aggregate(same, F.lit(0), lambda total, x: total + x)
-
-
 def _checked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``) whose texts have a similarity of ``least``.
 
-    Pairs are first narrowed down by weights and signatures. Only the texts of the
-    remaining ones move. A text that is part of very many pairs meets them in joins
-    that adaptive execution can split.
+    Pairs whose weights are too far apart to be similar are left out, and no others. Only
+    the texts of the remaining ones move. A text that is part of very many pairs meets
+    them in joins that adaptive execution can split.
     """
-    facts = nodes.select("node", "weight", "sign")
+    facts = nodes.select("node", "weight")
     named = lambda df, side: df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
     near = (
         pairs.join(named(facts, "a"), F.col("a") == F.col("a_node"))
@@ -224,7 +214,6 @@ def _checked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float)
         .filter(
             F.least("a_weight", "b_weight") >= (least - 1e-9) * F.greatest("a_weight", "b_weight")
         )
-        .filter(_agreeing(F.col("a_sign"), F.col("b_sign")) >= LEAST_AGREEING)
         .select("a", "b")
     )
     near = materialize(near, "candidate-pairs")
@@ -267,31 +256,38 @@ def near_duplicates(
     ``class_id`` is the smallest key that links lead to; two texts are linked if their
     similarity is at least ``least``. ``kept`` tells whether it is the row's own. Texts
     of the same words in the same order, whatever their case and white space, are one.
-    A text that is null or has no word is linked with nothing. Rows that share a key
-    and a text are one document, and all kept if it is. A row without a key gets the class of
-    its text, and is kept if no row with a key has that text.
+    A text that is null or has no word is linked with nothing, and kept. Rows that share a key
+    and a text are one document, and all kept if it is. Rows without a key are compared like
+    all others; they are not kept beside a row with a key. A class in which no row has a
+    key has a null ``class_id``, and one of its rows is kept. Columns other than ``key`` are
+    dropped. An empty table gives no rows.
     """
-    docs = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
+    docs = docs.select(
+        F.col(key).alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash")
+    )
     signed = map_texts(
         docs,
-        ["_id"],
+        ["_id", "_hash"],
         "_text",
         _signed,
         {
             "digest": "binary",
             "weight": "bigint",
-            "sign": "array<int>",
             "bands": "array<bigint>",
         },
     )
+    # Rows have no names but their places, which writing them down fixes.
+    signed = signed.withColumn("_row", F.monotonically_increasing_id())
     signed = materialize(signed, "signatures")
     classes = (
-        signed.filter(F.col("digest").isNotNull() & F.col("_id").isNotNull())
+        signed.filter(F.col("digest").isNotNull())
         .groupBy("digest")
         .agg(
-            F.min("_id").alias("rep"),
+            F.min("_id").alias("least"),
+            F.min("_row").alias("first_row"),
+            # A row that the text can be read from again.
+            F.min(F.struct("_hash", "_id")).alias("rep"),
             F.first("weight").alias("weight"),
-            F.first("sign").alias("sign"),
             F.first("bands").alias("bands"),
         )
         .withColumn("node", F.monotonically_increasing_id())
@@ -308,25 +304,32 @@ def near_duplicates(
     # From here on only texts that share a bucket with another one matter.
     nodes = classes.drop("bands").join(members.select("node").distinct(), "node")
     nodes = materialize(nodes, "member-classes")
-    texts = nodes.join(docs, F.col("rep") == F.col("_id"))
-    texts = texts.select("node", "digest", F.col("_text").alias("text"))
+    meant = (F.col("rep._hash") == F.col("_hash")) & F.col("rep._id").eqNullSafe(F.col("_id"))
+    texts = nodes.join(docs, meant).groupBy("node", "digest").agg(F.first("_text").alias("text"))
     texts = materialize(texts, "member-texts")
     spokes = members.filter("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     links = _checked(spokes.distinct(), nodes, texts, least)
     links = _rest(members, links, nodes, texts, least)
     found = connected_components(links, "text-components")
-    grouped = classes.select("node", "digest", "rep").join(found, "node", "left")
+    grouped = classes.select("node", "digest", "least", "first_row").join(found, "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
-    smallest = grouped.groupBy("component").agg(F.min("rep").alias("class_id"))
+    smallest = grouped.groupBy("component").agg(
+        F.min("least").alias("class_id"), F.min("first_row").alias("first_row")
+    )
     by_digest = materialize(
-        grouped.join(smallest, "component").select("digest", "class_id"), "text-class-ids"
+        grouped.select("digest", "component").join(smallest, "component").drop("component"),
+        "text-class-ids",
     )
-    joined = signed.select("_id", "digest").join(by_digest, "digest", "left")
-    class_id = F.coalesce("class_id", "_id")
+    joined = signed.select("_id", "_row", "digest").join(by_digest, "digest", "left")
+    wordless = F.col("digest").isNull()
+    without_key = F.col("class_id").isNull()
     return joined.select(
         F.col("_id").alias(key),
-        class_id.alias("class_id"),
-        class_id.eqNullSafe(F.col("_id")).alias("kept"),
+        F.when(wordless, F.col("_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(wordless, True)
+        .when(without_key, F.col("_row") == F.col("first_row"))
+        .otherwise(F.col("class_id").eqNullSafe(F.col("_id")))
+        .alias("kept"),
     )
 
 
@@ -343,7 +346,10 @@ def _rest(
     # What is in the hub's component needs no comparison among itself.
     hubs = own.filter("node = hub").select("band", F.col("component").alias("_hub"))
     own = own.join(hubs, "band").withColumn("outside", F.col("component") != F.col("_hub"))
+    # Written down, so that a band of very many texts may be split in the join, and is
+    # summed where its rows are.
     own = own.join(nodes.select("node", "weight"), "node")
+    own = materialize(own, "bucket-components")
     some = own.groupBy("band").agg(
         F.count_if("outside").alias("n_outside"),
         F.sum(F.when(F.col("outside"), F.col("weight"))).alias("weight_outside"),
@@ -357,15 +363,15 @@ def _rest(
     rows, weight = opened.agg(F.count("*"), F.sum(F.col("weight_all") / F.col("size"))).first()
     if not rows:
         return links
-    wanted = nodes.select("node", "sign").join(opened.select("node").distinct(), "node")
+    wanted = opened.select("node").distinct()
     full = map_texts(
         wanted.join(texts, "node"),
-        ["node", "digest", "sign"],
+        ["node", "digest"],
         "text",
         _elements,
         {"_own": "binary", "elements": "array<bigint>"},
     )
-    full = full.filter(F.col("_own") == F.col("digest")).select("node", "sign", "elements")
+    full = full.filter(F.col("_own") == F.col("digest")).select("node", "elements")
     full = materialize(full.dropDuplicates(["node"]), "open-elements")
     lots = 1 + max(rows // TILE_RIGHT, int(weight) // WEIGHT_RIGHT)
     found = _tiles(opened.join(full, "node"), lots, least)
@@ -414,7 +420,6 @@ def _tiles(opened: DataFrame, lots: int, least: float) -> DataFrame:
             "band",
             "node",
             "component",
-            "sign",
             "elements",
         )
         sides.append(rows)
@@ -424,14 +429,13 @@ def _tiles(opened: DataFrame, lots: int, least: float) -> DataFrame:
             table.column(k).to_numpy() for k in ("band", "node", "component")
         )
         left = np.array(table.column("left").to_pylist(), bool)
-        sign = table.column("sign").combine_chunks().flatten().to_numpy().reshape(-1, DARTS)
         lists = table.column("elements").combine_chunks()
         ends = np.cumsum(lists.value_lengths().to_numpy())
         elements = np.split(lists.flatten().to_numpy(), ends[:-1])
         links = []
         for bucket in np.split(np.argsort(band, kind="stable"), _edges(np.sort(band))):
             of = [bucket[left[bucket]], bucket[~left[bucket]]]
-            links += _bucket_links(of, node, component, sign, elements, least)
+            links += _bucket_links(of, node, component, elements, least)
         pairs = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -443,7 +447,7 @@ def _edges(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
 
 
-def _bucket_links(of, node, component, sign, elements, least) -> list[tuple[int, int]]:
+def _bucket_links(of, node, component, elements, least) -> list[tuple[int, int]]:
     """Links between left and right texts of a bucket that connect their components."""
     left, right = of
     if not len(left) or not len(right):
@@ -451,19 +455,16 @@ def _bucket_links(of, node, component, sign, elements, least) -> list[tuple[int,
     sizes = [np.array([len(elements[i]) for i in side]) for side in of]
     light, heavy = np.minimum(sizes[0][:, None], sizes[1]), np.maximum(sizes[0][:, None], sizes[1])
     maybe = (component[left][:, None] != component[right]) & (light >= (least - 1e-9) * heavy)
-    agreeing = np.zeros(maybe.shape, np.int16)
-    for i in range(DARTS):
-        agreeing += sign[left, i][:, None] == sign[right, i]
-    maybe &= agreeing >= LEAST_AGREEING
     if not maybe.any():
         return []
     rows, columns = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
     sets = [[elements[i] for i in left[rows]], [elements[i] for i in right[columns]]]
     names, counts = np.unique(np.concatenate(sets[0] + sets[1]), return_counts=True)
     sorted_sets = [[np.sort(np.searchsorted(names, x)) for x in side] for side in sets]
-    sharing = _share_a_rare_element(sorted_sets, counts, least)
-    one, two = np.nonzero(sharing & maybe[np.ix_(rows, columns)])
-    best = np.argsort(-agreeing[rows[one], columns[two]], kind="stable")
+    sharing = _rare_elements_shared(sorted_sets, counts, least)
+    one, two = np.nonzero((sharing > 0) & maybe[np.ix_(rows, columns)])
+    # Pairs that share more are likelier to be linked, which spares others.
+    best = np.argsort(-sharing[one, two], kind="stable")
     one, two = one[best], two[best]
 
     # Texts that a link has connected already need no other.
@@ -489,8 +490,8 @@ def _bucket_links(of, node, component, sign, elements, least) -> list[tuple[int,
     return links
 
 
-def _share_a_rare_element(sets: list[list[np.ndarray]], counts: np.ndarray, least) -> np.ndarray:
-    """Which left and right sets share one of their rarest elements.
+def _rare_elements_shared(sets: list[list[np.ndarray]], counts: np.ndarray, least) -> np.ndarray:
+    """How many of their rarest elements left and right sets share.
 
     Of sets that share at least ``least`` of their union, each holds a shared element
     among as many of its rarest as can be missing from the other, and one more.
@@ -507,12 +508,13 @@ def _share_a_rare_element(sets: list[list[np.ndarray]], counts: np.ndarray, leas
     order = np.argsort(right, kind="stable")
     right, right_of = right[order], right_of[order]
     low, high = np.searchsorted(right, left, "left"), np.searchsorted(right, left, "right")
-    sharing = np.zeros((len(sets[0]), len(sets[1])), bool)
+    sharing = np.zeros((len(sets[0]), len(sets[1])), np.int32)
     # The right texts of each element, one piece of left elements after another.
     for start in range(0, len(left), PAIRS):
         a, b = low[start : start + PAIRS], high[start : start + PAIRS]
         found = np.arange((b - a).sum()) + np.repeat(a - np.cumsum(b - a) + (b - a), b - a)
-        sharing[np.repeat(left_of[start : start + PAIRS], b - a), right_of[found]] = True
+        pair = np.repeat(left_of[start : start + PAIRS], b - a) * len(sets[1]) + right_of[found]
+        sharing += np.bincount(pair, minlength=sharing.size).reshape(sharing.shape)
     return sharing
 
 

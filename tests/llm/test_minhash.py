@@ -94,6 +94,38 @@ def test_repeated_rows_missing_keys_and_no_rows(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_rows_without_a_key_are_compared(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(900)}" for _ in range(400)]
+    near = lambda i: " ".join([*base[:i], "new", *base[i:]])
+    alone = " ".join(f"v{rng.randrange(900)}" for _ in range(90))
+    # Near copies without a key; some of a row with one, others only of each other.
+    rows = [(4, near(3), "a")] + [(None, near(i), "b") for i in (50, 51, 52)]
+    rows += [(None, f"{alone} {i}", "c") for i in (1, 1, 2, 3)] + [(None, None, "d"), (None, " ", "d")]
+    # One key with several texts, and one text under a key over and over.
+    rows += [(8, f"text number {i} of one key and no other", "e") for i in range(5)]
+    rows += [(8, near(70), "b")] * 3
+    docs = spark.createDataFrame(rows, "doc_id int, text string, class_id string").repartition(5)
+    got = minhash.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    found = Counter(tuple(r) for r in got)
+    assert found[4, 4, True] == 1 and found[None, 4, False] == 3
+    # Repeated rows of key 8 are one document, which is a near copy of that of key 4.
+    assert found[8, 4, False] == 3 and found[8, 8, True] == 5
+    assert found[None, None, True] == 3 and found[None, None, False] == 3
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(300_000)]
+    long = " ".join(words)
+    words[1_000:1_000] = ["more"] * 3
+    rows = [(1, long), (2, " ".join(words)), (3, long[: len(long) // 2]), (4, "x" * 1_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
 def test_agreement_estimates_similarity():
     rng = random.Random(3)
     bases = [" ".join(f"w{rng.randrange(500)}" for _ in range(150)) for _ in range(60)]
@@ -127,7 +159,6 @@ def test_query(spark):
 
 def test_a_bucket_is_connected_as_by_all_pairs(monkeypatch):
     rng = random.Random(12)
-    monkeypatch.setattr(minhash, "LEAST_AGREEING", 0)
     monkeypatch.setattr(minhash, "PAIRS", 7)
     for _ in range(30):
         base = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(8, 60))]
@@ -135,9 +166,8 @@ def test_a_bucket_is_connected_as_by_all_pairs(monkeypatch):
         elements = minhash._elements(texts)[1]
         node = np.arange(len(texts))
         component = node // 2 * 2
-        sign = np.zeros((len(texts), minhash.DARTS), np.int32)
         outside = np.flatnonzero(component != 0)
-        links = minhash._bucket_links([outside, node], node, component, sign, elements, 0.8)
+        links = minhash._bucket_links([outside, node], node, component, elements, 0.8)
         sets = [weighted(text) for text in texts]
         assert all(jaccard(sets[a], sets[b]) >= 0.8 for a, b in links)
         given = [(int(c), i) for i, c in enumerate(component)]
