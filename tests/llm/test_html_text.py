@@ -4,6 +4,10 @@ import html
 import itertools
 import random
 import re
+import time
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from marlgrid.llm import html_text
 from marlgrid.llm.queries import op4_html_text, read
@@ -99,6 +103,99 @@ def test_a_frame_word_alone_makes_no_frame():
         assert html_text.main_text(f"<div class='{name}'><p>{text}</p></div>") == text, name
 
 
+LONG = "A paragraph of the article, with as many words as readers are used to."
+
+
+def test_a_form_around_the_page_is_no_form():
+    rest = f"<nav><a href=x>Menu</a></nav><div><h1>Title of it</h1><p>{LONG}</p><p>Short one.</p><p>{LONG}</p></div>"
+    want = f"Title of it\n{LONG}\nShort one.\n{LONG}"
+    for page in (
+        f"<body><form action=a>{rest}<footer>Foot</footer></form></body>",
+        f"<form><div class=page><form>{rest}</form></div></form>",
+        f"<form class=form>{rest.replace('div', 'article')}</form>",
+        f"<form><fieldset>{rest}</fieldset></form><p class=legal>Imprint</p>",
+    ):
+        assert html_text.main_text(page) == want, page
+    small = f"<article><p>{LONG}</p><form><p>Leave your address and we will write to you.</p></form><p>{LONG}</p></article>"
+    assert html_text.main_text(small) == f"{LONG}\n{LONG}"
+
+
+def test_words_of_names_do_not_take_parts_of_an_article():
+    for part in (
+        "<div class='legal'>{}</div>",
+        "<p class='market share'>{}</p>",
+        "<div class='social-history'><p>{}</p></div>",
+        "<details class='disclaimer'><summary>More on it</summary>{}</details>",
+        "<address>{}</address>",
+        "<noscript><p>{}</p></noscript>",
+        "<section id=discussion><h2>Discussion</h2><p>{}</p></section>",
+    ):
+        inner = part.format(LONG)
+        page = f"<header><a href=x>Home</a></header><article><h1>Title</h1><p>{LONG}</p>{inner}<p>{LONG}</p></article>"
+        assert html_text.main_text(page).count(LONG) == 3, part
+    # Beside the article the same names say what they mean.
+    for name in ("legal", "notice", "share", "alert"):
+        page = f"<div class={name}><p>{LONG}</p></div><article><p>Text. {LONG}</p></article>"
+        assert html_text.main_text(page) == f"Text. {LONG}", name
+
+
+def labels(page: str) -> tuple[list[bool], list[bool]]:
+    """Labels by the score alone, and by the cut."""
+    found, elements = html_text.blocks(page)
+    scores = [block.score(html_text.WEIGHTS) for block in found]
+    return [x > 0 for x in scores], html_text.minimum_cut(scores, list(html_text._edges(found, elements)))
+
+
+def test_the_cut_changes_labels_for_the_better():
+    page = f"<div><p>{LONG}</p><div>Figure one</div><p>{LONG}</p></div><ul><li>a<li>b</ul>"
+    alone, cut = labels(page)
+    assert alone == [True, False, True, False, False] and cut == [True, True, True, False, False]
+    # Words among links of a list without a name.
+    words = "Words enough to be taken for a line of text here"
+    page = f"<ul><li><a href=x>a</a><li>{words}<li><a href=x>b</a></ul><p>{LONG}</p>"
+    alone, cut = labels(page)
+    assert alone == [False, True, False, True] and cut == [False, False, False, True]
+
+
+def without_article(page: str) -> str:
+    return html_text.ARTICLE_TAG.sub(r"\1div", page)
+
+
+def article_blocks(page: str) -> list[str]:
+    return html_text.main_text(page).split("\n")
+
+
+def test_weights_learned_from_labelled_pages(spark, monkeypatch):
+    pages = read(spark, SF, "pages")
+    held_out = F.pmod(F.col("page_id"), F.lit(3)) == 0
+    weights = html_text.learn(pages.filter(~held_out), "page_id")
+    found = wanted = right = 0
+    for row in pages.filter(held_out).collect():
+        got = Counter(html_text.main_text(without_article(row.html), weights).split("\n"))
+        want = Counter(article_blocks(row.html))
+        found, wanted, right = found + got.total(), wanted + want.total(), right + (got & want).total()
+    assert right / found > 0.99 and right / wanted > 0.99, (right, found, wanted)
+    # Signs that no page has keep their weights, and so do all without labelled pages.
+    assert weights["pre"] == html_text.WEIGHTS["pre"] and weights["p"] != html_text.WEIGHTS["p"]
+    for none in (pages.filter("false"), pages.withColumn("html", F.lit("<p>no article</p>"))):
+        assert html_text.learn(none, "page_id") == html_text.WEIGHTS
+    monkeypatch.setattr(html_text, "PAGES", 20)
+    hot = pages.withColumn("page_id", F.when(F.col("page_id") % 2 == 0, 1).otherwise(F.col("page_id")))
+    assert html_text.learn(hot, "page_id").keys() == html_text.WEIGHTS.keys()
+
+
+def test_deep_and_wide_pages_take_time_in_proportion():
+    def seconds(page: str) -> float:
+        start = time.process_time()
+        html_text.main_text(page)
+        return time.process_time() - start
+
+    for part in ("<div>x", "<form><p>x", "<svg><desc>", "<button><b>", "</p><li>x", "<article class=ad>y"):
+        assert seconds(part * 20_000) < 5, part
+    text = html_text.main_text("<div>Some words that are a sentence." * 20_000)
+    assert text.count("\n") == 19_999
+
+
 def test_odd_pages():
     assert html_text.main_text("") == ""
     assert html_text.main_text("<nav><a href=x>Menu</a></nav>") == ""
