@@ -84,8 +84,8 @@ ARTICLE_NAMES = frozenset("article post entry story main articlebody hentry".spl
 WEIGHTS = {
     "in article": 3.0,
     "called content": 2.0,
-    "boilerplate": -10.0,
-    "doubtful": -6.0,
+    "boilerplate": -14.0,
+    "doubtful": -7.0,
     "doubtful in article": -2.5,
     "header": -5.0,
     "links": -4.0,
@@ -106,8 +106,10 @@ HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 # Capacities of the edges between blocks.
 ADJACENT, SIBLINGS = 2.0, 1.0
 
-# Labelled pages that weights are learned from in the mean, and what holds them to ``WEIGHTS``.
+# Labelled pages that weights are learned from in the mean, blocks of one of them, and what
+# holds them to ``WEIGHTS``.
 PAGES = 1_000
+PAGE_BLOCKS = 200
 RIDGE = 1e-2
 HASH_RANGE = 1 << 30
 
@@ -579,8 +581,8 @@ def learn(pages: DataFrame, key: str, page: str = "html") -> dict[str, float]:
     """``WEIGHTS`` moved towards what tells the blocks of article elements from others.
 
     About ``PAGES`` pages, drawn by a hash of ``key``, are looked at in tasks; signs and
-    labels of their blocks go to the driver. Signs that these pages do not have keep their
-    weights; without any labelled page all do. Every block of a page counts, every page alike.
+    labels of their blocks go to the driver, those of ``PAGE_BLOCKS`` of a page at most. Signs that these pages do not have keep their
+    weights; without any labelled page all do. Every page counts alike.
     """
     number = F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(HASH_RANGE))
     n = pages.count()
@@ -589,7 +591,8 @@ def learn(pages: DataFrame, key: str, page: str = "html") -> dict[str, float]:
     drawn = drawn.groupBy(F.col(key).alias("_id")).agg(F.min_by(page, F.md5(page)).alias("_page"))
 
     def run(found: list[str]) -> list[list]:
-        both = [labelled(x) for x in found]
+        # Of a long page every second or third block, and so on.
+        both = [(b := labelled(x))[:: 1 + len(b) // PAGE_BLOCKS] for x in found]
         signs = [[value for row, _ in blocks_ for value in row] for blocks_ in both]
         return [signs, [[float(label) for _, label in blocks_] for blocks_ in both]]
 

@@ -118,8 +118,9 @@ def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's main text."""
-    return html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    """Every page's main text, by weights learned from a sample of pages with an article element."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, weights=html_text.learn(pages, "page_id"))
 
 
 def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
