@@ -1,11 +1,19 @@
 from __future__ import annotations
 
-import public_tokenizers  # noqa: F401
+import hashlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
 from pyspark.sql import functions as F
+from test_classifiers import brute_posteriors, by_matrix
+from test_minhash import brute as brute_classes
+from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from marlgrid.llm import queries
+from marlgrid.llm import quality, queries, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -38,12 +46,61 @@ def test_stages_take_effect(spark):
     assert all(r.n_tokens == len(r.ids) for r in rows)
 
 
+def test_inner_names_are_free_for_other_columns(spark):
+    folder = "/root/testdata/sf0.001"
+    names = ["_row", "_rejected", "_copies", "_tokens", "_domain", "_p", "_evidence", "_passes", "_host"]
+    names += ["_id", "_text", "__row", "p_toxic", "evidence", "least", "class_id", "_pass"]
+    plain = queries.read(spark, folder, "documents")
+    many = plain.withColumns({name: F.concat(F.lit(name), "doc_id") for name in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, many, folder)
+        assert got.columns == many.columns, name
+        rows = got.collect()
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in names), name
+        want = Counter(r.doc_id for r in stage(spark, plain, folder).collect())
+        assert Counter(r.doc_id for r in rows) == want, name
+
+
+def test_the_whole_against_brute_force(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    labels = queries.read(spark, folder, "labels")
+    docs = queries.read(spark, folder, "documents")
+    rows = docs.collect()
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.learn(docs, labels, categories, "doc_id")
+    rated = by_matrix(chain, [r.text for r in rows])[:, -1]
+    rows = [r for r, p in zip(rows, rated) if p < chain[-1].threshold]
+    model = quality.learn(docs, labels, F.col("quality") == 1, "doc_id")
+    evidence = quality._evidence_of(model)([r.text for r in rows])[0]
+    groups = [(r.source, r.lang, e) for r, e in zip(rows, evidence)]
+    posteriors = [p for _, _, p in brute_posteriors(groups, model.prior)]
+    assert np.abs(np.array(posteriors) - 0.5).min() > 1e-6
+    rows = [r for r, p in zip(rows, posteriors) if p >= 0.5]
+    classes = brute_classes([(r.doc_id, r.text) for r in rows])
+    rows = [r for r in rows if classes[r.doc_id] == r.doc_id]
+    spark.createDataFrame(rows, docs.schema).coalesce(1).write.parquet(f"{tmp_path}/kept")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/kept/*.parquet'")
+    taken = con.execute(f"SELECT doc_id, copies FROM ({queries.SQL['op5_mixture']})").fetchall()
+    copies = {doc_id: n for doc_id, n in taken if n}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want: Counter = Counter()
+    for r in rows:
+        if r.doc_id in copies:
+            ids = tokenizer.encode(r.text, add_special_tokens=False).ids
+            decoded = tokenizer.decode(ids, skip_special_tokens=False)
+            digest = hashlib.sha256(decoded.encode()).hexdigest()
+            want[r.doc_id, r.lang, r.source, len(ids), tuple(ids), digest] = copies[r.doc_id]
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert Counter((*r[:4], tuple(r.ids), r.decoded_sha256) for r in got) == want
+
+
 def test_run_and_registration(spark):
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     folder = "/root/testdata/sf0.001"
     assert corpus_pipeline.run(spark, folder).count() > 0
     registered = [name for name in contract.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in registered) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in registered) == list(range(1, 14))
 
 
 def test_rows_without_an_id_stay(spark):
