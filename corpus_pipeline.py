@@ -13,19 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlgrid.llm import bpe, minhash, queries
+from marlgrid.llm.texts import free_prefix
 from marlgrid.sources.scratch import materialize
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain of classifiers does not find toxic."""
-    rated = queries.toxicity_rated(spark, docs, sf_dir, prefix="_")
-    return rated.filter(~F.col("_rejected")).select(*docs.columns)
+    prefix = free_prefix(docs.columns)
+    rated = queries.toxicity_rated(spark, docs, sf_dir, prefix=prefix)
+    return rated.filter(~F.col(f"{prefix}rejected")).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are good by their own signs and those of their source."""
-    rated = queries.quality_rated(spark, docs, sf_dir, prefix="_")
-    return rated.filter(~F.col("_rejected")).select(*docs.columns)
+    prefix = free_prefix(docs.columns)
+    rated = queries.quality_rated(spark, docs, sf_dir, prefix=prefix)
+    return rated.filter(~F.col(f"{prefix}rejected")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,24 +38,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     several texts of one id are compared like all others. A row without an id stays
     before one with an id, then the one of the smallest id.
     """
-    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    classes = minhash.near_duplicates(rows.select("_row", "text"), key="_row")
+    row = f"{free_prefix(docs.columns)}row"
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = minhash.near_duplicates(rows.select(row, "text"), key=row)
     # Only classes of several rows matter; their smallest row tells them apart.
     several = classes.filter(~F.col("kept")).select("class_id").distinct()
-    members = materialize(classes.join(several, "class_id").select("class_id", "_row"), "copies")
-    named = members.join(rows.select("_row", "doc_id"), "_row")
+    members = materialize(classes.join(several, "class_id").select("class_id", row), "copies")
+    named = members.join(rows.select(row, "doc_id"), row)
     # A null is the least value of a struct's field.
-    stay = named.groupBy("class_id").agg(F.min(F.struct("doc_id", "_row")).alias("least"))
-    dropped = members.join(stay.select(F.col("least._row").alias("_row")), "_row", "left_anti")
-    dropped = materialize(dropped.select("_row"), "dropped-rows")
-    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
+    stay = named.groupBy("class_id").agg(F.min(F.struct("doc_id", row)).alias("least"))
+    dropped = members.join(stay.select(F.col("least")[row].alias(row)), row, "left_anti")
+    dropped = materialize(dropped.select(row), "dropped-rows")
+    return rows.join(dropped, row, "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mixture takes, as often as it takes them."""
-    taken = queries.mixed(queries.mixture_columns(docs)).filter("_copies > 0")
-    passes = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
-    return taken.select(*docs.columns, passes.alias("_pass")).drop("_pass")
+    prefix = free_prefix(docs.columns)
+    mixed = queries.mixed(queries.mixture_columns(docs, prefix), prefix)
+    copies = F.col(f"{prefix}copies")
+    passes = F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias(f"{prefix}pass")
+    return mixed.filter(copies > 0).select(*docs.columns, passes).drop(f"{prefix}pass")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
