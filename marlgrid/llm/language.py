@@ -4,12 +4,14 @@ The kernel of two texts is the number of character n-grams, of every length up t
 ``LONGEST``, that occur in both (a blended spectrum of presence bits), divided by the
 geometric mean of the two texts' own numbers. N-grams are hashed to ``BUCKETS`` buckets,
 so many that a long text in a large script fills a small part of them. A text is the
-list of its buckets, and is compared with landmarks through the buckets these have. A Nyström map over landmark texts makes features of the kernel, and one-versus-rest ridge
+list of its buckets, and is compared with landmarks through the buckets these have. A
+Nyström map over landmark texts makes features of the kernel, and one-versus-rest ridge
 regression over the features gives a margin per language.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -28,7 +30,8 @@ BUCKETS = 1 << BUCKET_BITS
 # them; and the most of all languages, which share them if there are many.
 TRAIN_TEXTS, ALL_TEXTS = 400, 25_600
 LANDMARKS, ALL_LANDMARKS = 40, 1_280
-# Buckets of a landmark; one that has more is represented by its smallest.
+# Buckets of a landmark. Texts that have more are landmarks only where a language has too
+# few others, and are then represented by their smallest buckets, a sample by hash.
 LANDMARK_BUCKETS = 1 << 14
 
 RIDGE = 1e-3
@@ -46,39 +49,28 @@ _TABLES: dict[str, np.ndarray] = {}
 
 
 def _letters(codes: np.ndarray) -> np.ndarray:
+    """Which code points are letters, or marks, such as vowel signs, that belong to letters."""
     if "letters" not in _TABLES:
-        points = range(0x110000)
-        _TABLES["letters"] = np.array([chr(c).isalpha() for c in points])
+        points = map(chr, range(0x110000))
+        _TABLES["letters"] = np.array([c.isalpha() or unicodedata.category(c)[0] == "M" for c in points])
     return _TABLES["letters"][codes]
 
 
-def _segments(text: str) -> list[str]:
-    """Parts of a long text, cut at a space where there is one.
+def has_letters(text: str) -> bool:
+    """Whether there is anything to tell a language by."""
+    return any(map(str.isalpha, text))
 
-    The word before the space is in both parts, so that no n-gram is lost or made.
-    """
-    parts = []
-    while len(text) > SEGMENT:
-        cut = text.rfind(" ", 1, SEGMENT)
-        cut = cut if cut > 0 else SEGMENT
-        parts.append(text[:cut])
-        back = text.rfind(" ", 1, cut)
-        text = text[back if back > 0 else cut :]
-    return [*parts, text]
 
+def _codes(text: str) -> np.ndarray:
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(_letters(codes), codes, 0)
 
-def _keys(texts: Sequence[str], rows: Sequence[int]) -> np.ndarray:
-    """The buckets of the n-grams of each text, in order, with the row given for it above."""
-    # Runs of anything but letters count as one space, as does each end of a text.
-    joined = "".join([f" {text} " for text in texts])
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    part = np.repeat(np.arange(len(texts)), [len(text) + 2 for text in texts])
-    starts = np.cumsum([0, *(len(text) + 2 for text in texts[:-1])])
-    codes = np.where(_letters(codes), codes, 0)
-    kept = (codes > 0) | np.concatenate([[True], codes[:-1] > 0])
-    kept[starts] = True
-    codes, part = codes[kept], part[kept]
-    row = np.asarray(rows)[part]
+
+def _grams(codes: np.ndarray, part: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The buckets of the n-grams of code points, in order, with their row above; 0 is a space.
+
+    No n-gram reaches from one part into another.
+    """
     found = []
     hashes = codes * np.uint32(0x9E3779B1)
     for n in range(1, LONGEST + 1):
@@ -93,6 +85,34 @@ def _keys(texts: Sequence[str], rows: Sequence[int]) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
+def _keys(texts: Sequence[str], rows: Sequence[int]) -> np.ndarray:
+    """The n-grams of whole texts, see ``_grams``, with the row given for each."""
+    # Runs of anything but letters count as one space, as does each end of a text.
+    codes = _codes("".join([f" {text} " for text in texts]))
+    part = np.repeat(np.arange(len(texts)), [len(text) + 2 for text in texts])
+    starts = np.cumsum([0, *(len(text) + 2 for text in texts[:-1])])
+    kept = (codes > 0) | np.concatenate([[True], codes[:-1] > 0])
+    kept[starts] = True
+    return _grams(codes[kept], part[kept], np.asarray(rows)[part[kept]])
+
+
+def _long_keys(text: str, row: int) -> np.ndarray:
+    """The same of one long text, piece by piece; a piece goes on from the end of the last one."""
+    found = []
+    before = np.zeros(1, np.uint32)
+    for start in range(0, len(text), SEGMENT):
+        codes = _codes(text[start : start + SEGMENT] + " " * (start + SEGMENT >= len(text)))
+        codes = codes[(codes > 0) | (np.concatenate([before[-1:], codes[:-1]]) > 0)]
+        codes = np.concatenate([before, codes])
+        if len(codes) >= LONGEST or start + SEGMENT >= len(text):
+            # Spaces behind the last word make no n-gram beyond the first of them.
+            found.append(_grams(codes, np.zeros(len(codes), int), np.full(len(codes), row)))
+            before = codes[-(LONGEST - 1) :]
+        else:
+            before = codes
+    return np.unique(np.concatenate(found))
+
+
 def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct buckets of all texts, text by text and in order, and the text of each."""
     found = []
@@ -100,13 +120,16 @@ def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     rows: list[int] = []
     size = 0
     for i, text in enumerate(texts):
-        for part in _segments(text.lower()):
-            few.append(part)
-            rows.append(i)
-            size += len(part)
-            if size > SEGMENT:
-                found.append(_keys(few, rows))
-                few, rows, size = [], [], 0
+        text = text.lower()
+        if len(text) > SEGMENT:
+            found.append(_long_keys(text, i))
+            continue
+        few.append(text)
+        rows.append(i)
+        size += len(text)
+        if size > SEGMENT:
+            found.append(_keys(few, rows))
+            few, rows, size = [], [], 0
     if few:
         found.append(_keys(few, rows))
     keys = np.zeros(0, np.int64)
@@ -115,19 +138,6 @@ def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return keys & (BUCKETS - 1), keys >> BUCKET_BITS
 
 
-def presence(texts: list[str]) -> np.ndarray:
-    """One row of n-gram bits per text, as float32; all zero for a text without a letter."""
-    bits = np.zeros((len(texts), BUCKETS), np.float32)
-    bucket, row = buckets(texts)
-    bits[row, bucket] = 1
-    return bits
-
-
-def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The normalized kernel between rows of bits; 0 for a row without any."""
-    return _normalized(left @ right.T, left.sum(1), right.sum(1))
-
-
 def _normalized(shared: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return shared / np.maximum(np.sqrt(np.outer(left, right)), 1.0)
 
@@ -221,8 +231,8 @@ def learn(
 
     Rows are drawn by a hash of ``key``, about ``TRAIN_TEXTS`` of each language. All
     languages found share ``ALL_TEXTS`` and ``ALL_LANDMARKS`` alike, with one text of each at
-    least; of several texts of one key and language one is taken. Only the landmarks' buckets and kernel values come to the driver. None if
-    there is nothing to learn from.
+    least; of several texts of one key and language one is taken. Only the landmarks' buckets
+    and kernel values come to the driver. None if there is nothing to learn from.
     """
     usable = docs.filter(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = materialize(usable.groupBy(F.col(lang).alias("_lang")).count(), "languages")
@@ -246,14 +256,14 @@ def learn(
     drawn = materialize(drawn, "language-texts")
 
     def buckets_of(texts: list[str]) -> list[list]:
-        found = []
-        for text in texts:
-            found.append(buckets([text])[0][:LANDMARK_BUCKETS].astype(np.int32).tobytes())
-        return [found]
+        found = [buckets([text])[0] if has_letters(text) else [] for text in texts]
+        cut = [np.array(x[:LANDMARK_BUCKETS], np.int32).tobytes() for x in found]
+        return [cut, [len(x) > LANDMARK_BUCKETS for x in found]]
 
-    told = map_texts(drawn, ["_number", "_lang"], "_text", buckets_of, {"buckets": "binary"})
+    added = {"buckets": "binary", "long": "boolean"}
+    told = map_texts(drawn, ["_number", "_lang"], "_text", buckets_of, added)
     told = materialize(told.filter(F.length("buckets") > 0), "language-buckets")
-    by_number = Window.partitionBy("_lang").orderBy("_number", "buckets")
+    by_number = Window.partitionBy("_lang").orderBy("long", "_number", "buckets")
     ranked = told.withColumn("_rank", F.row_number().over(by_number)).filter(F.col("_rank") <= marks)
     rows = ranked.orderBy("_rank", "_lang").limit(ALL_LANDMARKS).collect()
     if not rows:
@@ -269,8 +279,9 @@ def learn(
             block = texts[i : i + BLOCK]
             bucket, row = buckets(block)
             values = against[0].kernel(bucket, row, len(block)).astype(np.float32)
-            told = np.bincount(row, minlength=len(block)) > 0
-            found += [v.tobytes() if t else None for v, t in zip(values, told, strict=True)]
+            found += [
+                v.tobytes() if has_letters(x) else None for v, x in zip(values, block, strict=True)
+            ]
         return [found]
 
     rated = map_texts(drawn, ["_number", "_lang"], "_text", values_of, {"values": "binary"})
@@ -290,9 +301,9 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
     ``score`` is the margin of the language, brought to 0 to 1. A text that is null,
     empty or without a letter gets ``und`` and 0; so does every text if there is no
     model. Ties go to the language that sorts first. Repeated rows are judged each;
-    columns with those two names are replaced. No row moves between tasks.
+    columns with those two names are replaced. No row moves between tasks. An empty table
+    stays empty.
     """
-
     against: list[Landmarks] = []
 
     def judge(texts: list[str]) -> list[list]:
@@ -305,7 +316,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
         for i in range(0, len(texts), BLOCK):
             block = texts[i : i + BLOCK]
             bucket, row = buckets(block)
-            told = np.bincount(row, minlength=len(block)) > 0
+            told = np.array([has_letters(x) for x in block], bool)
             margins = model.margins(against[0].kernel(bucket, row, len(block)).astype(np.float32))
             best = margins.argmax(axis=1)
             score = np.clip((margins[np.arange(len(best)), best] + 1) / 2, 0.0, 1.0)
