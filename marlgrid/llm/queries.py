@@ -321,10 +321,38 @@ def _spelling_sql() -> str:
     """
 
 
+# The patterns once more, as expressions written by hand, so that SQL checks how they are read.
+START, STOP = r"^([^/?#]*\.)?", "([^A-Za-z0-9_.%-]|$)"
+PATTERN_SQL = {
+    "||ads.": START + r"ads\.",
+    "||ads-": START + "ads-",
+    "||adult-": START + "adult-",
+    "||casino-": START + "casino-",
+    "||spam-": START + "spam-",
+    "||*-bets.": START + r".*-bets\.",
+    "||*-pills.": START + r".*-pills\.",
+    "||doubleclick.net^": START + r"doubleclick\.net" + STOP,
+    "/login^": "/login" + STOP,
+    "/signup^": "/signup" + STOP,
+    "/cart^": "/cart" + STOP,
+    "/checkout^": "/checkout" + STOP,
+    "/wp-admin^": "/wp-admin" + STOP,
+    "/search?": r"/search\?",
+    "?page=*&ref=": r"\?page=.*&ref=",
+    "/feed.xml|": r"/feed\.xml$",
+    "/casino^": "/casino" + STOP,
+    "/print^": "/print" + STOP,
+    "&print=1": "&print=1",
+    "@@||docs.*/search?": START + r"docs\..*/search\?",
+    "@@/en/*?page=": r"/en/.*\?page=",
+}
+
+
 def _url_sql() -> str:
     quote = lambda text: "'" + text.replace("'", "''") + "'"
-    rows = lambda rules: ", ".join(
-        f"({quote(r.text)}, {quote(r.action)}, {quote(url_rules.regex_of(r))})" for r in rules
+    patterns = ", ".join(
+        f"({quote(text)}, {quote('allow' if text[:2] == '@@' else 'block')}, {quote('(?s)' + regex)})"
+        for text, regex in PATTERN_SQL.items()
     )
     return f"""
         WITH cut AS (
@@ -336,14 +364,17 @@ def _url_sql() -> str:
                                       '{url_rules.LOWER}') AS host,
                    substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS tail
             FROM cut
-        ), prefixes(text, action, regex) AS (VALUES {rows(PREFIX_RULES)}
-        ), patterns(text, action, regex) AS (VALUES {rows(PATTERN_RULES)}
+        ), prefixes(action, of_host, of_path) AS (VALUES
+            ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+            ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+        ), patterns(text, action, regex) AS (VALUES {patterns}
         ), urls AS (
-            SELECT DISTINCT host, tail FROM parts
+            SELECT DISTINCT host, tail, regexp_extract(tail, '^[^?#]*') AS path FROM parts
         ), longest AS (
-            SELECT host, tail, arg_max(text, length(text)) AS rule,
-                   arg_max(action, length(text)) AS action
-            FROM urls, prefixes WHERE regexp_matches(host || tail, regex)
+            SELECT host, tail, arg_max(of_host || of_path, length(of_host || of_path)) AS rule,
+                   arg_max(action, length(of_host || of_path)) AS action
+            FROM urls, prefixes
+            WHERE (host = of_host OR ends_with(host, '.' || of_host)) AND starts_with(path, of_path)
             GROUP BY host, tail
         ), found AS (
             SELECT host, tail, min(text) FILTER (action = 'allow') AS exception,

@@ -15,6 +15,7 @@ cannot be indexed and runs on every URL.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
@@ -22,6 +23,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlgrid.llm.texts import free_prefix
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATOR = "[^A-Za-z0-9_.%-]"
 
@@ -93,46 +96,44 @@ def url_tokens(host: Column, tail: Column) -> Column:
 
 def token_counts(tokens: DataFrame, wanted: Sequence[str]) -> dict[str, int]:
     """Rows of ``tokens`` (column ``tokens``) that hold each of ``wanted``; one number per token."""
-    rows = (
-        tokens.select(F.explode("tokens").alias("token"))
-        .filter(F.col("token").isin(list(wanted)))
-        .groupBy("token")
-        .count()
-        .collect()
+    asked = tokens.sparkSession.range(1).select(
+        F.explode(F.from_json(F.lit(json.dumps(list(wanted))), "array<string>")).alias("wanted")
     )
+    held = tokens.select(F.explode("tokens").alias("token")).groupBy("token").count()
+    rows = held.join(asked, F.col("token") == F.col("wanted")).collect()
     return {row["token"]: row["count"] for row in rows}
 
 
-def rule_index(rules: Sequence[Rule], counts: Mapping[str, int]) -> tuple[Column, int, Column]:
-    """A constant hash table from token to rules, its size, and the rules without a token.
+ENTRY = "struct<token:string,regex:string,text:string,action:string,prefix:boolean>"
+
 
-    A rule stands under the literal of its own that the fewest URLs hold.
+def rule_index(
+    prefixes: Sequence[Rule], patterns: Sequence[Rule], counts: Mapping[str, int]
+) -> tuple[Column, int, Column]:
+    """A hash table from token to rules, its size, and the rules without a token.
+
+    A rule stands under the literal of its own that the fewest URLs hold. Table and
+    rules are one constant value each, however many rules there are.
     """
     size = 1
-    while size < 2 * len(rules):
+    while size < 2 * (len(prefixes) + len(patterns)):
         size *= 2
-
-    def entry(rule: Rule, token: str) -> Column:
-        fields = {
-            "token": token,
-            "regex": regex_of(rule),
-            "text": rule.text,
-            "action": rule.action,
-        }
-        return F.struct(*[F.lit(value).alias(name) for name, value in fields.items()])
-
-    kind = "array<struct<token:string,regex:string,text:string,action:string>>"
-    slots: list[list[Column]] = [[] for _ in range(size)]
-    always = []
-    for rule in rules:
-        literals = tokens_of(rule)
-        if literals:
-            token = min(literals, key=lambda t: (counts.get(t, 0), t))
-            slots[_slot(token, size)].append(entry(rule, token))
-        else:
-            always.append(entry(rule, ""))
-    table = F.array(*[F.array(*slot).cast(kind) for slot in slots])
-    return table, size, F.array(*always).cast(kind)
+    slots: list[list[dict]] = [[] for _ in range(size)]
+    always: list[dict] = []
+    for rules, prefix in ((prefixes, True), (patterns, False)):
+        for rule in rules:
+            literals = tokens_of(rule)
+            token = min(literals, key=lambda t: (counts.get(t, 0), t), default="")
+            entry = {
+                "token": token,
+                "regex": regex_of(rule),
+                "text": rule.text,
+                "action": rule.action,
+                "prefix": prefix,
+            }
+            (slots[_slot(token, size)] if literals else always).append(entry)
+    constant = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)
+    return constant(slots, f"array<array<{ENTRY}>>"), size, constant(always, f"array<{ENTRY}>")
 
 
 def _slot(token: str, size: int) -> int:
@@ -149,19 +150,13 @@ def _slot_column(token: Column, size: int) -> Column:
     return number % F.lit(size) + F.lit(1)
 
 
-def matching_rules(host: Column, tail: Column, tokens: Column, rules, counts) -> Column:
-    """The rules that match, as an array of ``token``, ``regex``, ``text`` and ``action``."""
-    table, size, always = rule_index(rules, counts)
-    indexed = sorted({min(t, key=lambda x: (counts.get(x, 0), x)) for t in map(tokens_of, rules) if t})
-    known = F.filter(tokens, lambda t: t.isin(indexed))
-    fetched = F.flatten(
-        F.transform(
-            known,
-            lambda t: F.filter(
-                F.element_at(table, _slot_column(t, size)), lambda r: r["token"] == t
-            ),
-        )
-    )
+def matching_rules(
+    host: Column, tail: Column, tokens: Column, index: tuple[Column, int, Column]
+) -> Column:
+    """The rules of ``rule_index`` that match, as an array of its entries."""
+    table, size, always = index
+    of = lambda t: F.filter(F.element_at(table, _slot_column(t, size)), lambda r: r["token"] == t)
+    fetched = F.flatten(F.transform(F.filter(tokens, lambda t: t != ""), of))
     subject = F.concat(host, tail)
     return F.filter(F.concat(fetched, always), lambda r: F.rlike(subject, r["regex"]))
 
@@ -175,30 +170,34 @@ def judge_urls(
     ``rule`` is null and a URL is blocked if a blocking pattern matches it and no
     exception does; ``pattern`` is the first such rule in sort order, or null. A null
     URL, or one without ``://``, has an empty host and path, fits no rule and is allowed.
-    Repeated rows are judged each; columns of those names are replaced.
+    Repeated rows are judged each; columns of those names are replaced. An empty table stays
+    empty.
     """
-    rules = [*prefixes, *patterns]
     parts = url_parts(F.col(url))
-    every_token = sorted({t for rule in rules for t in tokens_of(rule)})
+    every_token = sorted({t for rule in [*prefixes, *patterns] for t in tokens_of(rule)})
     tokens = pages.select(url_tokens(parts["host"], parts["tail"]).alias("tokens"))
     counts = token_counts(tokens, every_token)
+    index = rule_index(prefixes, patterns, counts)
     names = [c for c in pages.columns if c not in ("host", "path", "rule", "pattern", "verdict")]
+    inner = free_prefix(pages.columns)
+    tail, found, best = (F.col(inner + name) for name in ("tail", "found", "best"))
     cut = pages.select(
-        *names, parts["host"].alias("host"), parts["path"].alias("path"), parts["tail"].alias("_tail")
+        *names,
+        parts["host"].alias("host"),
+        parts["path"].alias("path"),
+        parts["tail"].alias(f"{inner}tail"),
     )
-    cut = cut.withColumn("_tokens", url_tokens(F.col("host"), F.col("_tail")))
+    cut = cut.withColumn(f"{inner}tokens", url_tokens(F.col("host"), tail))
     matched = cut.withColumn(
-        "_matched",
-        matching_rules(F.col("host"), F.col("_tail"), F.col("_tokens"), rules, counts),
+        f"{inner}found", matching_rules(F.col("host"), tail, F.col(f"{inner}tokens"), index)
     )
-    prefix_texts = [rule.text for rule in prefixes]
-    fits = F.filter("_matched", lambda r: r["text"].isin(prefix_texts))
+    fits = F.filter(found, lambda r: r["prefix"])
     longest = F.array_max(
         F.transform(
             fits, lambda r: F.struct(F.length(r["text"]).alias("n"), r["text"], r["action"])
         )
     )
-    others = F.filter("_matched", lambda r: ~r["text"].isin(prefix_texts))
+    others = F.filter(found, lambda r: ~r["prefix"])
     decided = F.coalesce(
         F.array_min(F.transform(F.filter(others, lambda r: r["action"] == "allow"), lambda r: r["text"])),
         F.array_min(F.transform(others, lambda r: r["text"])),
@@ -206,13 +205,13 @@ def judge_urls(
     blocked = F.exists(others, lambda r: r["action"] == "block") & ~F.exists(
         others, lambda r: r["action"] == "allow"
     )
-    return matched.withColumn("_longest", longest).select(
+    return matched.withColumn(f"{inner}best", longest).select(
         *names,
         "host",
         "path",
-        F.col("_longest.text").alias("rule"),
-        F.when(F.col("_longest").isNull(), decided).alias("pattern"),
+        best["text"].alias("rule"),
+        F.when(best.isNull(), decided).alias("pattern"),
         F.coalesce(
-            F.col("_longest.action"), F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
+            best["action"], F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
         ).alias("verdict"),
     )
