@@ -28,6 +28,9 @@ from marlgrid.sources.scratch import materialize
 DIMENSIONS = 8
 SAMPLE = 8_192
 
+# Dimensions whose cells intervals are matched on.
+MET = 3
+
 # Vectors of an interval, and of a part that is compared as a whole.
 INTERVAL = 8_192
 LEAF = 512
@@ -72,6 +75,8 @@ class TileJoin:
         self.points = np.column_stack([projected, rest])
         self.links = np.zeros(len(units))
         self.edges: list[tuple[np.ndarray, np.ndarray]] = []
+        # Pairs of vectors that were compared.
+        self.compared = 0
 
     def distant(self, a: slice, b: slice) -> bool:
         left, right = self.points[a], self.points[b]
@@ -100,6 +105,7 @@ class TileJoin:
                 self.join(a, half)
 
     def compare(self, a: slice, b: slice, same: bool) -> None:
+        self.compared += (a.stop - a.start) * (b.stop - b.start)
         near = self.single[a] @ self.single[b].T >= self.least - SINGLE
         if same:
             np.fill_diagonal(near, False)
@@ -174,7 +180,11 @@ def near_vectors(
     smallest key that links lead to, ``kept`` tells whether it is the row's own.
     Vectors that are null, empty, zero, or hold a null or a number that is not finite
     have no links, nor have vectors of different length with each other. Exact copies,
-    however many, stand for one vector in the join. Repeated rows count each.
+    however many, stand for one vector in the join. Repeated rows count each. Other columns
+    are dropped. An empty table gives no rows.
+
+    What boxes rule out depends on the vectors: if they have few leading dimensions, nearly
+    all pairs; if all dimensions vary alike, none, and work grows with their square.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(key).alias("_key"), F.col(vector).alias("_vector"))
@@ -263,24 +273,27 @@ def _tiles(nodes: DataFrame) -> DataFrame:
     """Pairs of intervals that may hold linked vectors, as ``_one`` <= ``_two``.
 
     Linked vectors lie in the same or in adjacent cells of every dimension. Intervals
-    are matched on the cells of the first dimension that they touch, and kept if
-    their boxes of cells are adjacent in the others.
+    meet where one has vectors in a cell of the first ``MET`` dimensions and the other in
+    the same or an adjacent one, and are kept if their boxes of cells are adjacent in
+    the others.
     """
     dimensions = len(nodes.select("_cells").first()["_cells"])
     low = [F.min(F.col("_cells")[i]) for i in range(dimensions)]
     high = [F.max(F.col("_cells")[i]) for i in range(dimensions)]
     boxes = nodes.groupBy("_interval").agg(F.array(*low).alias("low"), F.array(*high).alias("high"))
     boxes = materialize(boxes, "intervals")
-    first, last = F.col("low")[0], F.col("high")[0]
-    one = boxes.select(
-        F.col("_interval").alias("_one"),
-        F.struct("low", "high").alias("a"),
-        F.explode(F.sequence(first - 1, last + 1)).alias("cell"),
-    )
-    two = boxes.select(
-        F.col("_interval").alias("_two"),
-        F.struct("low", "high").alias("b"),
-        F.explode(F.sequence(first, last)).alias("cell"),
+    met = range(min(MET, dimensions))
+    held = nodes.select("_interval", *[F.col("_cells")[i].alias(f"c{i}") for i in met]).distinct()
+    held = materialize(held, "interval-cells")
+    near = held
+    for i in met:
+        steps = F.explode(F.array(F.col(f"c{i}") - 1, F.col(f"c{i}"), F.col(f"c{i}") + 1))
+        near = near.withColumn(f"c{i}", steps)
+    one = near.withColumnRenamed("_interval", "_one")
+    two = held.withColumnRenamed("_interval", "_two")
+    pairs = one.join(two, [f"c{i}" for i in met]).filter("_one <= _two").select("_one", "_two").distinct()
+    box = lambda name, side: boxes.select(
+        F.col("_interval").alias(name), F.struct("low", "high").alias(side)
     )
     apart = F.exists(
         F.zip_with(
@@ -290,8 +303,8 @@ def _tiles(nodes: DataFrame) -> DataFrame:
         ),
         lambda gap: gap > 1,
     )
-    met = one.join(two, "cell").filter((F.col("_one") <= F.col("_two")) & ~apart)
-    return met.select("_one", "_two").distinct()
+    both = pairs.join(box("_one", "a"), "_one").join(box("_two", "b"), "_two")
+    return both.filter(~apart).select("_one", "_two")
 
 
 def _linked(nodes: DataFrame, basis: np.ndarray, width: int, least: float) -> DataFrame:

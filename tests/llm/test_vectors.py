@@ -88,6 +88,48 @@ def test_distant_parts_are_skipped(monkeypatch):
     assert compared and all((a < 64) == (b < 64) for a, b in compared)
 
 
+def share_compared(units: np.ndarray, leaf: int, monkeypatch) -> float:
+    """Pairs that a join of all vectors in grid order compares, of all there are."""
+    monkeypatch.setattr(vectors, "LEAF", leaf)
+    basis = vectors.principal_axes(units)
+    cells = np.floor(units @ basis / (np.sqrt(0.2) * (1 + 1e-9))).astype(int)
+    units = units[np.lexsort(cells.T[::-1])]
+    n = len(units)
+    tile = vectors.TileJoin(units, np.full(n, units.shape[1]), np.ones(n), basis, 0.9)
+    tile.join(slice(0, n), slice(0, n))
+    # Parts that meet themselves are compared as a whole.
+    return tile.compared / (n * n / 2)
+
+
+def test_what_boxes_rule_out(monkeypatch):
+    rng = np.random.default_rng(5)
+    n, width = 4_096, 64
+    flat = vectors.unit_rows(rng.normal(size=(n, width)))
+    few = vectors.unit_rows(rng.normal(size=(n, width)) * 0.6 ** np.arange(width))
+    centers = rng.normal(size=(6, width))
+    clusters = vectors.unit_rows(centers[rng.integers(6, size=n)] + 0.1 * rng.normal(size=(n, width)))
+    assert share_compared(flat, 64, monkeypatch) > 0.99
+    assert share_compared(few, 64, monkeypatch) < 0.6
+    assert share_compared(clusters, 64, monkeypatch) < 0.25
+
+
+@pytest.mark.parametrize("clustered", [True, False])
+def test_intervals_of_distant_cells_do_not_meet(spark, monkeypatch, clustered):
+    monkeypatch.setattr(vectors, "INTERVAL", 16)
+    rng = np.random.default_rng(6)
+    centers = 4 * rng.normal(size=(8, 12)) if clustered else np.zeros((8, 12))
+    x = centers[rng.integers(8, size=400)] + rng.normal(size=(400, 12)) * (0.2 if clustered else 1)
+    rows = [(i, [float(v) for v in row.astype(np.float32)]) for i, row in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    tiles = []
+    plain = vectors._tiles
+    monkeypatch.setattr(vectors, "_tiles", lambda nodes: tiles.append(plain(nodes)) or tiles[-1])
+    got = sorted(tuple(r) for r in vectors.near_vectors(table).collect())
+    assert got == sorted(brute(rows))
+    share = tiles[0].count() / (25 * 26 / 2)
+    assert share < 0.6 if clustered else share <= 1
+
+
 def test_query(spark):
     rows = [(r.vec_id, r.embedding) for r in read(spark, SF, "embeddings").collect()]
     got = sorted(tuple(r) for r in op3_near_vectors(spark, SF).collect())
