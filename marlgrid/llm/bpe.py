@@ -224,7 +224,7 @@ def encode(
     With ``decoded`` it also adds, under that name, what ``decode`` makes of them, in the
     same pass. ``path`` names a tokenizer file that every executor has. A null or
     empty text has no ids. Repeated rows are encoded each; columns that are called as the
-    added ones are replaced. No row moves between tasks.
+    added ones are replaced. No row moves between tasks. An empty table stays empty.
     """
     made: list = []
 

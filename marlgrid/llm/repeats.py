@@ -130,7 +130,7 @@ def repeat_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     ``span_ends`` (the union of those substrings' spans, in words), ``base_failed``
     and ``kept``. A null or empty text has no words and fails. Repeated rows are
     judged each; columns of ``docs`` with these names are replaced. No row moves
-    between tasks.
+    between tasks. An empty table stays empty.
     """
     names = [
         "n_words",

@@ -92,6 +92,18 @@ def test_against_brute_force(spark):
         assert all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
 
 
+def test_a_very_long_text(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(300_000)]
+    rows = [(1, " ".join(words + words[:5_000])), (2, "ab " * 300_000), (3, "x" * 2_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r.doc_id: r for r in repeats.repeat_rules(docs).collect()}
+    assert (got[1].n_words, got[1].longest_repeat, got[1].covered_words) == (305_000, 5_000, 10_000)
+    assert got[1].kept and (got[1].span_starts, got[1].span_ends) == ([0, 300_000], [5_000, 305_000])
+    assert got[2].longest_repeat == 299_999 and got[2].base_failed
+    assert (got[3].n_words, got[3].word_chars, got[3].base_failed) == (1, 2_000_000, True)
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id int, text string")
     assert repeats.repeat_rules(docs).count() == 0
