@@ -343,13 +343,16 @@ def _rest(
         .join(components, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
-    # What is in the hub's component needs no comparison among itself.
+    own = materialize(own, "bucket-components")
+    # Buckets of a single component are done with. The others are few as a rule, and small
+    # enough to be sent to the members, however many of those one band has.
+    ends = own.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     hubs = own.filter("node = hub").select("band", F.col("component").alias("_hub"))
+    hubs = materialize(hubs.join(ends.filter("a != b").select("band"), "band"), "open-hubs")
+    # What is in the hub's component needs no comparison among itself.
     own = own.join(hubs, "band").withColumn("outside", F.col("component") != F.col("_hub"))
-    # Written down, so that a band of very many texts may be split in the join, and is
-    # summed where its rows are.
     own = own.join(nodes.select("node", "weight"), "node")
-    own = materialize(own, "bucket-components")
+    own = materialize(own, "open-members")
     some = own.groupBy("band").agg(
         F.count_if("outside").alias("n_outside"),
         F.sum(F.when(F.col("outside"), F.col("weight"))).alias("weight_outside"),
