@@ -222,9 +222,9 @@ def _fit_chain(
     every: list[str],
 ) -> list[Category]:
     found = table.column("found").to_pylist()
-    present = np.zeros((len(found), len(every)), np.float32)
+    present = np.zeros((len(found), len(every)), bool)
     for i, numbers in enumerate(found):
-        present[i, numbers] = 1
+        present[i, numbers] = True
     fold = table.column("_fold").to_numpy()
     place = {term: i for i, term in enumerate(every)}
     chain: list[Category] = []
@@ -233,7 +233,8 @@ def _fit_chain(
     def features(ratios: dict[str, float]) -> np.ndarray:
         # Terms are scaled by how well each tells the category on its own.
         columns = [place[term] for term in ratios]
-        return np.column_stack([present[:, columns] * np.array(list(ratios.values())), earlier])
+        scaled = present[:, columns] * np.array(list(ratios.values()), np.float32)
+        return np.column_stack([scaled, earlier.astype(np.float32)])
 
     for name in names:
         y = np.array(table.column(name).to_pylist(), np.float64)
