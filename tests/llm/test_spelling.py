@@ -7,9 +7,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from compare import assert_same, duck
 
 from marlgrid.llm import spelling
-from marlgrid.llm.queries import op11_spelling, read
+from marlgrid.llm.queries import SQL, op11_spelling, read
 
 SF = "/root/testdata/sf0.001"
 UPPER = {c: c + 32 for c in range(65, 91)}
@@ -138,3 +139,9 @@ def test_query(spark):
     found = op11_spelling(spark, SF)
     assert found.columns == ["word", "n", "n_near", "form", "form_n", "root"]
     assert set(got(found)) == brute(rows)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_matches_sql(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    assert assert_same(op11_spelling(spark, folder), duck(folder), SQL["op11_spelling"]) > 0

@@ -4,10 +4,11 @@ import math
 
 import numpy as np
 import pytest
+from compare import assert_same, duck
 from pyspark.sql import functions as F
 
 from marlgrid.llm import topk
-from marlgrid.llm.queries import op13_top_products, read
+from marlgrid.llm.queries import SQL, op13_top_products, read
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "vec_id bigint, embedding array<float>"
@@ -138,3 +139,9 @@ def test_later_rounds_leave_finished_queries_out(spark, monkeypatch):
 def test_query(spark):
     rows = [(r.vec_id, r.embedding) for r in read(spark, SF, "embeddings").collect()]
     assert text(op13_top_products(spark, SF).collect()) == text(brute(rows))
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_matches_sql(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    assert assert_same(op13_top_products(spark, folder), duck(folder), SQL["op13_top_products"]) > 0
