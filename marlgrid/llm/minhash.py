@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlgrid.llm.components import connected_components
+from marlgrid.llm.sieve import sieve
 from marlgrid.llm.texts import map_texts, mix, word_hashes
 from marlgrid.sources.scratch import materialize
 
@@ -300,10 +301,15 @@ def near_duplicates(
         .filter("size > 1")
     )
     buckets = materialize(buckets, "buckets")
-    members = materialize(banded.join(buckets, "band"), "bucket-members")
+    # A band is a hash already. Most have one text, and need not move to learn that.
+    shared, _ = sieve(banded, F.col("band"), buckets, F.col("band"))
+    members = materialize(shared.join(buckets, "band"), "bucket-members")
     # From here on only texts that share a bucket with another one matter.
     nodes = classes.drop("bands").join(members.select("node").distinct(), "node")
     nodes = materialize(nodes, "member-classes")
+    # Texts without a bucket are most of the corpus, and stay where they are.
+    place = lambda of: F.xxhash64(f"{of}_hash", f"{of}_id")
+    docs, _ = sieve(docs, place(""), nodes, place("rep."))
     meant = (F.col("rep._hash") == F.col("_hash")) & F.col("rep._id").eqNullSafe(F.col("_id"))
     texts = nodes.join(docs, meant).groupBy("node", "digest").agg(F.first("_text").alias("text"))
     texts = materialize(texts, "member-texts")
@@ -399,7 +405,8 @@ def _tiles(opened: DataFrame, lots: int, least: float) -> DataFrame:
     """Links, as ``a`` and ``b``, that connect what is similar in each open bucket.
 
     The texts outside the hub's component are the left side of a bucket's tiles, all its
-    texts the right side. Small buckets share ``lots`` tiles.
+    texts the right side. Small buckets share ``lots`` tiles, and each of their texts is sent
+    once for both sides.
     """
     parts = lambda n, most, weight, heaviest: F.greatest(
         F.ceil(F.col(n) / most), F.ceil(F.col(weight) / heaviest)
@@ -411,7 +418,7 @@ def _tiles(opened: DataFrame, lots: int, least: float) -> DataFrame:
     tile = F.when(small, F.pmod(F.xxhash64("band"), F.lit(lots))).otherwise(F.col("band"))
     sides = []
     for left in (True, False):
-        rows = opened.filter("outside") if left else opened
+        rows = opened.filter(F.col("outside") & ~small) if left else opened
         own = F.pmod(mine, lefts if left else rights)
         others = F.sequence(F.lit(0).cast("bigint"), (rights if left else lefts) - 1)
         rows = rows.select(
@@ -419,7 +426,8 @@ def _tiles(opened: DataFrame, lots: int, least: float) -> DataFrame:
             small.alias("small"),
             own.alias("row" if left else "column"),
             F.explode(others).alias("column" if left else "row"),
-            F.lit(left).alias("left"),
+            (F.lit(left) | (small & F.col("outside"))).alias("left"),
+            F.lit(not left).alias("right"),
             "band",
             "node",
             "component",
@@ -431,13 +439,13 @@ def _tiles(opened: DataFrame, lots: int, least: float) -> DataFrame:
         band, node, component = (
             table.column(k).to_numpy() for k in ("band", "node", "component")
         )
-        left = np.array(table.column("left").to_pylist(), bool)
+        left, right = (np.array(table.column(k).to_pylist(), bool) for k in ("left", "right"))
         lists = table.column("elements").combine_chunks()
         ends = np.cumsum(lists.value_lengths().to_numpy())
         elements = np.split(lists.flatten().to_numpy(), ends[:-1])
         links = []
         for bucket in np.split(np.argsort(band, kind="stable"), _edges(np.sort(band))):
-            of = [bucket[left[bucket]], bucket[~left[bucket]]]
+            of = [bucket[left[bucket]], bucket[right[bucket]]]
             links += _bucket_links(of, node, component, elements, least)
         pairs = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})

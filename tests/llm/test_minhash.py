@@ -126,6 +126,27 @@ def test_a_very_long_text(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
+def test_only_texts_of_buckets_move(spark, conf):
+    # As with more texts than can be sent to every task.
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rng = random.Random(21)
+    texts = [" ".join(f"{rng.randrange(10**9)}" for _ in range(900)) for _ in range(400)]
+    rows = [*enumerate(texts), (400, texts[7] + " more"), (401, texts[9].replace(" ", "\n", 1))]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4).localCheckpoint()
+    before = shuffled(spark)
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == {i: {400: 7, 401: 9}.get(i, i) for i in range(402)}
+    assert shuffled(spark) - before < 0.25 * sum(len(text) for text in texts)
+
+
+def shuffled(spark) -> int:
+    """Bytes that this application has written for shuffles."""
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    executors = context.statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
 def test_agreement_estimates_similarity():
     rng = random.Random(3)
     bases = [" ".join(f"w{rng.randrange(500)}" for _ in range(150)) for _ in range(60)]
