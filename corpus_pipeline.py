@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlgrid.llm import bpe, minhash, queries
+from marlgrid.llm.sieve import sieve
 from marlgrid.llm.texts import free_prefix
 from marlgrid.sources.scratch import materialize
 
@@ -49,7 +50,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stay = named.groupBy("class_id").agg(F.min(F.struct("doc_id", row)).alias("least"))
     dropped = members.join(stay.select(F.col("least")[row].alias(row)), row, "left_anti")
     dropped = materialize(dropped.select(row), "dropped-rows")
-    return rows.join(dropped, row, "left_anti").select(*docs.columns)
+    # However many are dropped, texts that are surely kept do not move to be compared with them.
+    maybe, sure = sieve(rows, F.xxhash64(row), dropped, F.xxhash64(row))
+    kept = sure.unionByName(maybe.join(dropped, row, "left_anti"))
+    return kept.select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import duckdb
@@ -9,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from test_classifiers import brute_posteriors, by_matrix
 from test_minhash import brute as brute_classes
+from test_minhash import shuffled
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -134,3 +136,16 @@ def test_one_row_of_each_group_stays(spark):
     wanted += [(6, None), (6, None), (None, ""), (None, text[5])]
     order = lambda x: (x[0] or 0, x[1] or "")
     assert sorted(rest, key=order) == sorted(wanted, key=order)
+
+
+def test_texts_that_are_kept_do_not_move(spark, conf):
+    # As with more dropped rows than can be sent to every task.
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rng = random.Random(22)
+    texts = [" ".join(f"{rng.randrange(10**9)}" for _ in range(900)) for _ in range(400)]
+    rows = [*enumerate(texts), (400, texts[7] + " more"), (401, texts[9]), (None, texts[11])]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4).localCheckpoint()
+    before = shuffled(spark)
+    got = Counter(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == Counter([*(i for i in range(400) if i != 11), None])
+    assert shuffled(spark) - before < 0.25 * sum(len(text) for text in texts)
