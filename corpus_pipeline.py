@@ -2,7 +2,9 @@
 
 Each stage takes what the one before it kept. ``run`` writes every stage's rows as
 Parquet in the shared folder and reads them back for the next one, so that a lost
-executor never costs more than one stage.
+executor never costs more than one stage. The stages lower the session's size of Arrow
+batches, see ``small_batches``: executors serve all of them one after another, and keep
+what the largest batches took.
 """
 
 from __future__ import annotations
@@ -14,12 +16,13 @@ from pyspark.sql import functions as F
 
 from marlgrid.llm import bpe, minhash, queries
 from marlgrid.llm.sieve import sieve
-from marlgrid.llm.texts import free_prefix
+from marlgrid.llm.texts import free_prefix, small_batches
 from marlgrid.sources.scratch import materialize
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain of classifiers does not find toxic."""
+    small_batches(spark)
     prefix = free_prefix(docs.columns)
     rated = queries.toxicity_rated(spark, docs, sf_dir, prefix=prefix)
     return rated.filter(~F.col(f"{prefix}rejected")).select(*docs.columns)
@@ -27,6 +30,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are good by their own signs and those of their source."""
+    small_batches(spark)
     prefix = free_prefix(docs.columns)
     rated = queries.quality_rated(spark, docs, sf_dir, prefix=prefix)
     return rated.filter(~F.col(f"{prefix}rejected")).select(*docs.columns)
@@ -39,6 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     several texts of one id are compared like all others. A row without an id stays
     before one with an id, then the one of the smallest id.
     """
+    small_batches(spark)
     row = f"{free_prefix(docs.columns)}row"
     rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     classes = minhash.near_duplicates(rows.select(row, "text"), key=row)
@@ -67,6 +72,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids, and a digest of the text decoded from them."""
+    small_batches(spark)
     docs = docs.select("doc_id", "lang", "source", "text")
     decoded = bpe.encode(docs, queries.VOCABULARY, decoded="decoded")
     return decoded.select(

@@ -6,7 +6,9 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import psutil
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from test_classifiers import brute_posteriors, by_matrix
 from test_minhash import brute as brute_classes
@@ -15,7 +17,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from marlgrid.llm import quality, queries, toxicity
+from marlgrid.llm import quality, queries, texts, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -149,3 +151,30 @@ def test_texts_that_are_kept_do_not_move(spark, conf):
     got = Counter(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
     assert got == Counter([*(i for i in range(400) if i != 11), None])
     assert shuffled(spark) - before < 0.25 * sum(len(text) for text in texts)
+
+
+def test_tasks_get_whole_texts_in_small_batches(spark, conf):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    for told, most in (("64m", 2_000_000), ("500k", 512_000)):
+        conf(texts.BATCH_SETTING, told)
+        docs = spark.range(0, 3_000, 1, 1).selectExpr("id doc_id", "repeat('word ', 1200) text")
+        docs = docs.selectExpr("*", "'en' lang", "'web' source")
+        assert corpus_pipeline.token_ids(spark, docs, "").agg(F.sum("n_tokens")).first()[0] == 3_600_000
+        rows = docs.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in rows) == 3_000
+        assert max(r.size for r in rows) < 1.1 * most
+
+
+def test_freed_memory_is_given_back():
+    resident = psutil.Process().memory_info
+    held = [np.ones(64_000, np.uint8) for _ in range(2_000)]
+    # What lies between is freed, but no end of the heap is.
+    some = held[::20]
+    del held
+    before = resident().rss
+    texts.give_back()
+    assert before - resident().rss > 60_000_000
+    assert all(x.all() for x in some)
